@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions.ema import EMA_SPAN, ema_fold, ema_frame_rows
-from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, sequence_frame
+from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, SeqFrame, sequence_frame
+
+
+def ema_column(sf: SeqFrame, col: str = "close", span: int = EMA_SPAN,
+               history: int | None = None):
+    """EMA of ``col`` as a window expression over a prepared ``SeqFrame``."""
+    h = history or ema_frame_rows(span)
+    return ema_fold(F.collect_list(col).over(sf.rows(-(h - 1), 0)), span)
 
 
 def with_ema(df: DataFrame, col: str = "close", span: int = EMA_SPAN, out: str = "EMA5",
@@ -21,5 +28,4 @@ def with_ema(df: DataFrame, col: str = "close", span: int = EMA_SPAN, out: str =
     """
     h = history or ema_frame_rows(span)
     sf = sequence_frame(df, keys, order, lookback=h - 1, block_rows=max(block_rows, h))
-    closes = F.collect_list(col).over(sf.rows(-(h - 1), 0))
-    return sf.finish(sf.df.withColumn(out, ema_fold(closes, span)))
+    return sf.finish(sf.df.withColumn(out, ema_column(sf, col, span, h)))

@@ -151,3 +151,216 @@ def ema5_hist30_q(spark, sf):
 def ema5_hist530_q(spark, sf):
     """EMA over a bounded buffer of at most 530 closes."""
     return with_ema(I.hourly_bars(spark, sf), history=530)
+
+
+# ---------------------------------------------------------------- features
+
+from tickforge.operators import features as FT  # noqa: E402
+from tickforge.operators import metrics as MT  # noqa: E402
+from tickforge.schemas import FEATURES_G2  # noqa: E402
+
+SEQ = 3
+NX = SEQ * len(FEATURES_G2)
+X_COLS = [f"x_{i}" for i in range(NX)]
+SCALED_COLS = [f"{f}_s" for f in FEATURES_G2]
+
+
+def _feat(spark, sf):
+    return FT.with_positions(I.hourly_bars(spark, sf))
+
+
+def _scaled(spark, sf, keep=("close",)):
+    feat = _feat(spark, sf)
+    return FT.apply_minmax(feat, FT.fit_minmax(feat), keep_bounds=list(keep))
+
+
+@query("scaler_fit", Q.scaler(Q.FEAT_H))
+def scaler_fit_q(spark, sf):
+    """A1: per-symbol min/max of the 7 features over the first 80 % of rows."""
+    return FT.fit_minmax(_feat(spark, sf))
+
+
+@query("scale", f"SELECT symbol, datetime, pos, {', '.join(SCALED_COLS)} FROM ({Q.scaled(Q.FEAT_H)})")
+def scale_q(spark, sf):
+    """min-max transform of all rows with the fitted scaler (unclipped)."""
+    return _scaled(spark, sf, keep=()).select("symbol", "datetime", "pos", *SCALED_COLS)
+
+
+@query("inverse_close", f"""
+SELECT symbol, datetime, close, close_s, {Q.inverse_expr('close', 'close_s')} AS close_back
+FROM ({Q.SCALED_H})""")
+def inverse_close_q(spark, sf):
+    """scale the target, then invert it back to price units."""
+    s = _scaled(spark, sf)
+    back = FT.minmax_inverse(F.col("close_s"), F.col("close_min"), F.col("close_max"))
+    return s.select("symbol", "datetime", "close", "close_s", back.alias("close_back"))
+
+
+@query("sliding_windows", Q.windows(Q.SCALED_H))
+def sliding_windows_q(spark, sf):
+    """Windows of the 3 previous scaled bars, flattened time-major,
+    with the scaled close of the bar as target."""
+    w = FT.sliding_windows(_scaled(spark, sf), SCALED_COLS, SEQ)
+    return w.select("symbol", "datetime", "widx", "y",
+                    *[F.col("x")[i].alias(c) for i, c in enumerate(X_COLS)])
+
+
+@query("windows_incl_current", Q.windows(Q.SCALED_H, include_current=True))
+def windows_incl_current_q(spark, sf):
+    """Stream-style windows ending with the current bar."""
+    w = FT.sliding_windows(_scaled(spark, sf), SCALED_COLS, SEQ, target=None,
+                           include_current=True)
+    return w.select("symbol", "datetime", "widx",
+                    *[F.col("x")[i].alias(c) for i, c in enumerate(X_COLS)])
+
+
+@query("chrono_split", f"""
+SELECT symbol, datetime, pos, n, pos < floor(0.8 * n) AS fit_row,
+       CASE WHEN pos >= {SEQ} THEN (pos - {SEQ}) < floor(0.8 * (n - {SEQ})) END AS train_window
+FROM ({Q.FEAT_H})""")
+def chrono_split_q(spark, sf):
+    """Chronological 80/20 split of rows (scaler) and of windows (models)."""
+    f = _feat(spark, sf)
+    return f.select("symbol", "datetime", "pos", "n", FT.fit_rows().alias("fit_row"),
+                    F.when(F.col("pos") >= SEQ,
+                           FT.window_split(F.col("pos") - F.lit(SEQ), "n", SEQ))
+                    .alias("train_window"))
+
+
+@query("new_bar_flag", """
+SELECT symbol, poll_ts, event_id, bar_datetime,
+       coalesce(lag(bar_datetime) OVER w <> bar_datetime, TRUE) AS is_new
+FROM (SELECT event_type AS symbol, ts AS poll_ts, event_id,
+             date_trunc('hour', ts) AS bar_datetime FROM events) p
+WINDOW w AS (PARTITION BY symbol ORDER BY poll_ts, event_id)""")
+def new_bar_flag_q(spark, sf):
+    """A poll is new when its newest bar differs from the previous poll's."""
+    ev = B.table(spark, sf, "events")
+    polls = ev.select(F.col("event_type").alias("symbol"), F.col("ts").alias("poll_ts"),
+                      "event_id", F.date_trunc("hour", "ts").alias("bar_datetime"))
+    return FT.flag_new_bars(polls, "symbol", ["poll_ts", "event_id"])
+
+
+@query("warmup_gate", f"""
+SELECT symbol, datetime, pos, CASE WHEN pos >= {SEQ} THEN EMA5 END AS forecast_next
+FROM ({Q.FEAT_H})""")
+def warmup_gate_q(spark, sf):
+    """No forecast until 3 bars are buffered (null before)."""
+    f = _feat(spark, sf).withColumn("forecast_next", F.col("EMA5"))
+    return FT.warmup_gate(f, SEQ, cols=["forecast_next"]).select(
+        "symbol", "datetime", "pos", "forecast_next")
+
+
+# ---------------------------------------------------------------- metrics
+
+BASELINES = {"Naive": "close", "EMA5": "EMA5"}
+DASH_MODELS = ["Naive", "EMA5", "LinearRegression"]
+
+
+def _forecasts(spark, sf):
+    return MT.next_bar_forecasts(_feat(spark, sf), BASELINES)
+
+
+@query("next_bar_forecasts", Q.FC_H)
+def next_bar_forecasts_q(spark, sf):
+    """Forecast made at bar t-1 matched with the close of bar t."""
+    return _forecasts(spark, sf)
+
+
+@query("metrics_by_model", f"""
+SELECT symbol, model_type, count(*) AS n,
+       round(avg(power(ps - as_, 2)), 9) AS mse, round(sqrt(avg(power(ps - as_, 2))), 9) AS rmse
+FROM (SELECT fc.symbol, model_type, pos, n,
+             {Q.scale_expr('close', 'predicted_price')} AS ps,
+             {Q.scale_expr('close', 'actual_price')} AS as_
+      FROM ({Q.FC_H}) fc JOIN ({Q.scaler(Q.FEAT_H, ['close'])}) s USING (symbol)) t
+WHERE pos >= floor(0.8 * n) GROUP BY ALL""")
+def metrics_by_model_q(spark, sf):
+    """A2/M6: hold-out (last 20 %) MSE and RMSE per symbol × model on scaled prices."""
+    feat = _feat(spark, sf)
+    fc = MT.next_bar_forecasts(feat, BASELINES)
+    sc = FT.fit_minmax(feat, ["close"])
+    j = fc.join(sc, "symbol")
+    lo, hi = F.col("close_min"), F.col("close_max")
+    j = j.withColumns({"predicted_price": FT.minmax_transform(F.col("predicted_price"), lo, hi),
+                       "actual_price": FT.minmax_transform(F.col("actual_price"), lo, hi)})
+    m = MT.error_metrics(j.where(~FT.fit_rows()), ["symbol", "model_type"])
+    return m.select("symbol", "model_type", "n", F.round("mse", 9).alias("mse"),
+                    F.round(F.sqrt("mse"), 9).alias("rmse"))
+
+
+@query("dashboard_metrics", f"""
+WITH fc AS ({Q.FC_H}),
+m AS (SELECT symbol, model_type, avg(power(predicted_price - actual_price, 2)) AS mse,
+             avg({Q.pct_err()}) * 100.0 AS mape FROM fc GROUP BY ALL),
+s AS (SELECT DISTINCT symbol FROM fc),
+models(model_type) AS (VALUES {", ".join(f"('{m}')" for m in DASH_MODELS)})
+SELECT s.symbol, models.model_type, round(coalesce(m.mse, 0), 4) AS mse,
+       round(sqrt(coalesce(m.mse, 0)), 4) AS rmse, round(coalesce(m.mape, 0), 2) AS mape
+FROM s CROSS JOIN models LEFT JOIN m ON m.symbol = s.symbol AND m.model_type = models.model_type""")
+def dashboard_metrics_q(spark, sf):
+    """A3: dashboard MSE/RMSE/MAPE per symbol × model, zeros for a model
+    without records."""
+    return MT.dashboard_metrics(_forecasts(spark, sf), DASH_MODELS)
+
+
+@query("naive_forecast_eval", f"""
+SELECT symbol, model_type, count(*) AS n,
+       round(avg(power(predicted_price - actual_price, 2)), 9) AS mse,
+       round(avg(abs(predicted_price - actual_price)), 9) AS mae,
+       round(avg({Q.pct_err()}) * 100.0, 9) AS mape,
+       round(sqrt(avg(power(predicted_price - actual_price, 2))), 9) AS rmse
+FROM ({Q.FC_H}) GROUP BY ALL""")
+def naive_forecast_eval_q(spark, sf):
+    """A4: MAE / RMSE / MAPE of next-bar forecasts over the whole run."""
+    m = MT.error_metrics(_forecasts(spark, sf), ["symbol", "model_type"])
+    return m.select("symbol", "model_type", "n",
+                    *[F.round(c, 9).alias(c) for c in ("mse", "mae", "mape")],
+                    F.round(F.sqrt("mse"), 9).alias("rmse"))
+
+
+@query("topk_predictions", f"""
+SELECT symbol, model_type, datetime, predicted_price, actual_price, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, model_type ORDER BY datetime DESC) AS rn
+  FROM ({Q.FC_H})) WHERE rn <= 25""")
+def topk_predictions_q(spark, sf):
+    """Newest 25 predictions per symbol × model."""
+    t = MT.read_predictions(_forecasts(spark, sf), limit=25, per_group=["symbol", "model_type"])
+    return t.select("symbol", "model_type", "datetime", "predicted_price", "actual_price", "rn")
+
+
+@query("read_predictions", f"""
+SELECT symbol, model_type, datetime, predicted_price, actual_price FROM ({Q.FC_H})
+WHERE symbol = 'click' AND model_type = 'EMA5' ORDER BY datetime DESC LIMIT 50""")
+def read_predictions_q(spark, sf):
+    """Newest-first read with optional symbol / model filters."""
+    t = MT.read_predictions(_forecasts(spark, sf), symbol="click", model_type="EMA5", limit=50)
+    return t.select("symbol", "model_type", "datetime", "predicted_price", "actual_price")
+
+
+@query("series_by_model", f"""
+SELECT symbol, model_type, count(*) AS n_points, min(datetime) AS first_t, max(datetime) AS last_t,
+       arg_min(predicted_price, datetime) AS first_p, arg_max(predicted_price, datetime) AS last_p
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, model_type ORDER BY datetime DESC) AS rn
+      FROM ({Q.FC_H})) WHERE rn <= 100 GROUP BY ALL""")
+def series_by_model_q(spark, sf):
+    """A5: time-ordered series per model over the newest 100 points."""
+    top = MT.read_predictions(_forecasts(spark, sf), limit=100, per_group=["symbol", "model_type"])
+    s = MT.series_by_model(top, ["symbol", "model_type"])
+    return s.select("symbol", "model_type", F.size("series").alias("n_points"),
+                    F.col("series")[0]["t"].alias("first_t"),
+                    F.element_at("series", -1)["t"].alias("last_t"),
+                    F.col("series")[0]["p"].alias("first_p"),
+                    F.element_at("series", -1)["p"].alias("last_p"))
+
+
+@query("display_points", f"""
+SELECT symbol, model_type, datetime, strftime(datetime, '%H:%M:%S') AS label,
+       round(predicted_price, 2) AS predicted_price, round(actual_price, 2) AS actual_price
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, model_type ORDER BY datetime DESC) AS rn
+      FROM ({Q.FC_H})) WHERE rn <= 100""")
+def display_points_q(spark, sf):
+    """Chart projection of the newest 100 points per model."""
+    top = MT.read_predictions(_forecasts(spark, sf), limit=100, per_group=["symbol", "model_type"])
+    return MT.display_points(top).select("symbol", "model_type", "datetime", "label",
+                                         "predicted_price", "actual_price")

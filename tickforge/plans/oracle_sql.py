@@ -56,3 +56,82 @@ SELECT *, list_reduce(list({col}) OVER (PARTITION BY symbol ORDER BY datetime
                       ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW),
                       lambda acc, v: {ema_sql_lambda(span)}) AS {out}
 FROM ({src_sql}) s"""
+
+
+G2 = ["open", "high", "low", "close", "volume", "timestamp", "EMA5"]
+SEQ_LEN = 3
+TINY = "CAST('2.220446049250313e-15' AS DOUBLE)"
+
+
+def positions(src_sql: str) -> str:
+    return f"""
+SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY datetime) - 1 AS pos,
+       count(*) OVER (PARTITION BY symbol) AS n
+FROM ({src_sql}) p"""
+
+
+FEAT_H = positions(ema(HOURLY))
+
+
+def scaler(feat_sql: str, feats: list[str] = G2) -> str:
+    cols = ", ".join(f"min({f}) AS {f}_min, max({f}) AS {f}_max" for f in feats)
+    return f"SELECT symbol, {cols} FROM ({feat_sql}) f WHERE pos < floor(0.8 * n) GROUP BY symbol"
+
+
+def _scale(f: str) -> str:
+    rng = f"CAST({f}_max - {f}_min AS DOUBLE)"
+    return f"(1.0::DOUBLE / CASE WHEN {rng} < {TINY} THEN 1.0::DOUBLE ELSE {rng} END)"
+
+
+def scale_expr(f: str, x: str | None = None) -> str:
+    x = x or f
+    return f"(CAST({x} AS DOUBLE) * {_scale(f)} + (0.0::DOUBLE - CAST({f}_min AS DOUBLE) * {_scale(f)}))"
+
+
+def inverse_expr(f: str, v: str) -> str:
+    return f"(({v} - (0.0::DOUBLE - CAST({f}_min AS DOUBLE) * {_scale(f)})) / {_scale(f)})"
+
+
+def scaled(feat_sql: str, feats: list[str] = G2, keep_bounds: tuple[str, ...] = ()) -> str:
+    cols = ", ".join(f"{scale_expr(f)} AS {f}_s" for f in feats)
+    bounds = "".join(f", s.{f}_min, s.{f}_max" for f in keep_bounds)
+    return f"SELECT f.*, {cols}{bounds} FROM ({feat_sql}) f JOIN ({scaler(feat_sql, feats)}) s USING (symbol)"
+
+
+SCALED_H = scaled(FEAT_H, keep_bounds=("close",))
+
+
+def windows(scaled_sql: str, feats: list[str] = G2, seq_len: int = SEQ_LEN,
+            include_current: bool = False) -> str:
+    first = seq_len - 1 if include_current else seq_len
+    xs = []
+    for k in range(seq_len):
+        lag = (seq_len - 1 - k) if include_current else (seq_len - k)
+        for i, f in enumerate(feats):
+            xs.append(f"lag({f}_s, {lag}) OVER w AS x_{k * len(feats) + i}")
+    y = "" if include_current else ", close_s AS y"
+    return f"""
+SELECT * EXCLUDE (pos) FROM (
+  SELECT symbol, datetime, pos, pos - {first} AS widx{y}, {", ".join(xs)}
+  FROM ({scaled_sql}) s WINDOW w AS (PARTITION BY symbol ORDER BY datetime)) q
+WHERE pos >= {first}"""
+
+
+def forecasts(feat_sql: str) -> str:
+    """Baseline next-bar forecasts (previous close, previous EMA5) in long form."""
+    return f"""
+SELECT symbol, datetime, pos, n, model_type, predicted_price, actual_price FROM (
+  SELECT symbol, datetime, pos, n, 'Naive' AS model_type, prev_close AS predicted_price,
+         close AS actual_price FROM L
+  UNION ALL
+  SELECT symbol, datetime, pos, n, 'EMA5', prev_ema, close FROM L) u
+WHERE predicted_price IS NOT NULL""".replace("FROM L", f"""FROM (
+  SELECT *, lag(close) OVER w AS prev_close, lag(EMA5) OVER w AS prev_ema
+  FROM ({feat_sql}) f WINDOW w AS (PARTITION BY symbol ORDER BY datetime)) l""")
+
+
+FC_H = forecasts(FEAT_H)
+
+
+def pct_err(p: str = "predicted_price", a: str = "actual_price") -> str:
+    return f"CASE WHEN {a} = 0 THEN NULL ELSE abs(({p} - {a}) / {a}) END"

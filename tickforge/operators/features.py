@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.ema import EMA_SPAN, ema_frame_rows
 from tickforge.operators.indicators import ema_column
-from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, sequence_frame
+from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, ordered_frame, sequence_frame
 from tickforge.schemas import DEFAULT_SEQ_LEN, FEATURES_G2
 
 FIT_FRACTION = 0.8
@@ -98,8 +98,7 @@ def sliding_windows(scaled: DataFrame, features: list[str], seq_len: int = DEFAU
     with the row itself.  Adds ``X`` (``seq_len × F`` array), ``x`` (the
     time-major flattening) and ``widx`` (0-based window index).
     """
-    sf = sequence_frame(scaled, keys, order, lookback=seq_len,
-                        block_rows=max(block_rows, seq_len))
+    sf = ordered_frame(scaled, keys, order, lookback=seq_len, block_rows=block_rows)
     frame = sf.rows(-(seq_len - 1), 0) if include_current else sf.rows(-seq_len, -1)
     vec = F.array(*[F.col(f).cast("double") for f in features])
     df = (sf.df.withColumn("X", F.collect_list(vec).over(frame))
@@ -125,7 +124,7 @@ def flag_new_bars(polls: DataFrame, keys: list[str] | str, poll_order: list[str]
                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """A poll is new when the newest bar it saw differs from the previous
     poll's (the first poll of a key is new)."""
-    sf = sequence_frame(polls, keys, poll_order, lookback=1, block_rows=block_rows)
+    sf = ordered_frame(polls, keys, poll_order, lookback=1, block_rows=block_rows)
     prev = F.lag(bar_time, 1).over(sf.window)
     df = sf.df.withColumn("is_new", prev.isNull() | (prev != F.col(bar_time)))
     return sf.finish(df)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, sequence_frame
+from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, ordered_frame
 
 
 def squared_error(pred: Column, actual: Column) -> Column:
@@ -72,7 +72,7 @@ def next_bar_forecasts(feat: DataFrame, models: dict[str, str], keys: str = "sym
     the carried ``pos``/``n`` when present.  The pairing is a lag of one row
     over the blocked frame (no self-join).
     """
-    sf = sequence_frame(feat, keys, order, lookback=1, block_rows=block_rows)
+    sf = ordered_frame(feat, keys, order, lookback=1, block_rows=block_rows)
     df = sf.df.withColumns({f"_prev_{m}": F.lag(c, 1).over(sf.window) for m, c in models.items()})
     df = sf.finish(df)
     carry = [c for c in ("pos", "n") if c in feat.columns]

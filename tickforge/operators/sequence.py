@@ -151,3 +151,39 @@ def sequence_frame(df: DataFrame, keys: list[str] | str, order: list[str] | str,
                .withColumn(HALO, F.col("_sq_dst") != F.col(BLK))
                .withColumn(BLK, F.col("_sq_dst")).drop("_sq_dst"))
     return SeqFrame(blocked, keys, order, lookback)
+
+
+def position_frame(df: DataFrame, keys: list[str] | str, lookback: int, pos: str = "pos",
+                   n: str | None = "n", block_rows: int = DEFAULT_BLOCK_ROWS) -> SeqFrame:
+    """Blocked frame for rows that already carry their exact position.
+
+    Blocks are fixed ranges of ``block_rows`` positions and the halo is the
+    last ``lookback`` positions of the previous block — no counting pass and
+    no plan join, just one explode before the window's shuffle.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if block_rows < max(lookback, 1):
+        raise ValueError("block_rows must be at least lookback")
+    p = F.col(pos)
+    blk = F.floor(p / F.lit(block_rows)).cast("long")
+    in_halo = (F.lit(lookback) > 0) & (F.pmod(p, F.lit(block_rows)) >= F.lit(block_rows - lookback))
+    dst = F.explode(F.when(in_halo, F.array(blk, blk + 1)).otherwise(F.array(blk)))
+    out = (df.withColumn("_sq_dst", dst)
+           .withColumn(HALO, F.col("_sq_dst") != blk)
+           .withColumn(BLK, F.col("_sq_dst"))
+           .withColumn(BSTART, F.col(BLK) * F.lit(block_rows))
+           .withColumn(HCOUNT, F.when(F.col(BLK) > 0, F.lit(lookback)).otherwise(F.lit(0)))
+           .withColumn(NTOTAL, F.col(n) if n else F.lit(None).cast("long"))
+           .withColumn(BKT, F.lit(None).cast("long"))
+           .withColumn(NXT, F.lit(None).cast("long"))
+           .drop("_sq_dst"))
+    return SeqFrame(out, keys, [pos], lookback)
+
+
+def ordered_frame(df: DataFrame, keys: list[str] | str, order: list[str] | str, lookback: int,
+                  block_rows: int = DEFAULT_BLOCK_ROWS) -> SeqFrame:
+    """``position_frame`` when ``df`` has ``pos``, else ``sequence_frame``."""
+    if "pos" in df.columns:
+        return position_frame(df, keys, lookback, n="n" if "n" in df.columns else None,
+                              block_rows=max(block_rows, lookback))
+    return sequence_frame(df, keys, order, lookback, block_rows=max(block_rows, lookback))

@@ -17,6 +17,7 @@ from tickforge.operators import clean as C
 from tickforge.operators.indicators import with_ema
 from tickforge.plans import inputs as I
 from tickforge.plans import oracle_sql as Q
+from tickforge.session import materialize
 from tickforge.sources import bars as B
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -166,7 +167,8 @@ SCALED_COLS = [f"{f}_s" for f in FEATURES_G2]
 
 
 def _feat(spark, sf):
-    return FT.with_positions(I.hourly_bars(spark, sf))
+    """Hourly bars + EMA5 + pos + n, materialised once (several branches read it)."""
+    return materialize(FT.with_positions(I.hourly_bars(spark, sf)))
 
 
 def _scaled(spark, sf, keep=("close",)):
@@ -364,3 +366,71 @@ def display_points_q(spark, sf):
     top = MT.read_predictions(_forecasts(spark, sf), limit=100, per_group=["symbol", "model_type"])
     return MT.display_points(top).select("symbol", "model_type", "datetime", "label",
                                          "predicted_price", "actual_price")
+
+
+# ---------------------------------------------------------------- models
+
+from tickforge.models import knn as KNN  # noqa: E402
+from tickforge.models import linear as LIN  # noqa: E402
+
+
+def _windows(spark, sf):
+    """Training/test windows of the hourly bars (symbol, widx, x, y, n, split)."""
+    w = FT.sliding_windows(_scaled(spark, sf), SCALED_COLS, SEQ)
+    return w.withColumn("train", FT.window_split("widx", "n", SEQ))
+
+
+def _moment_names(d):
+    return (["n", "sy"] + [f"sx_{i}" for i in range(d)] + [f"sxy_{i}" for i in range(d)]
+            + [f"sxx_{i}_{j}" for i in range(d) for j in range(i, d)])
+
+
+def _moments_sql(d):
+    cols = ["CAST(count(*) AS DOUBLE) AS n", "sum(y) AS sy"]
+    cols += [f"sum(x_{i}) AS sx_{i}" for i in range(d)]
+    cols += [f"sum(x_{i} * y) AS sxy_{i}" for i in range(d)]
+    cols += [f"sum(x_{i} * x_{j}) AS sxx_{i}_{j}" for i in range(d) for j in range(i, d)]
+    return f"""
+SELECT symbol, moment, round(value, 6) AS value FROM (
+  UNPIVOT (SELECT symbol, {", ".join(cols)} FROM ({Q.WIN_H}) w WHERE {Q.TRAIN_COND} GROUP BY symbol)
+  ON COLUMNS(* EXCLUDE (symbol)) INTO NAME moment VALUE value)"""
+
+
+@query("ols_moments", _moments_sql(NX))
+def ols_moments_q(spark, sf):
+    """M1 fit, distributed part: per-symbol moment sums of the training windows."""
+    m = LIN.moments(_windows(spark, sf).where("train"), NX)
+    names = _moment_names(NX)
+    vals = F.concat(F.array(F.col("n").cast("double"), F.col("sy")), "sx", "sxy", "sxx")
+    pairs = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("moment"), vals.alias("value"))
+    return (m.select("symbol", F.explode(pairs).alias("_p"))
+            .select("symbol", F.col("_p.moment").alias("moment"),
+                    F.round("_p.value", 6).alias("value")))
+
+
+@query("ols_predict")
+def ols_predict_q(spark, sf):
+    """M1: per-symbol OLS fitted on the training windows, scored on the
+    hold-out windows (scaled close)."""
+    w = _windows(spark, sf)
+    model = LIN.fit(w.where("train"), NX)
+    return LIN.predict(w.where(~F.col("train")), model).select(
+        "symbol", "datetime", "y", "pred_linear")
+
+
+@query("knn_predict", f"""
+WITH w AS ({Q.WIN_H}),
+tr AS (SELECT * FROM w WHERE {Q.TRAIN_COND}),
+te AS (SELECT * FROM w WHERE NOT ({Q.TRAIN_COND})),
+c AS (SELECT te.symbol, te.datetime, tr.widx AS tid, tr.y AS ty, {Q.sq_dist_sql(NX)} AS dist2
+      FROM te JOIN tr ON te.symbol = tr.symbol),
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol, datetime ORDER BY dist2, tid) AS rn FROM c)
+SELECT symbol, datetime, round(avg(ty), 9) AS pred_knn FROM r WHERE rn <= 5 GROUP BY ALL""")
+def knn_predict_q(spark, sf):
+    """Exact 5-NN regression of each hold-out window on the training
+    windows of its symbol (projection-band search, no all-pairs join)."""
+    w = _windows(spark, sf)
+    train = w.where("train").select("symbol", F.col("widx").alias("tid"), "x", "y")
+    test = w.where(~F.col("train")).select("symbol", F.col("widx").alias("qid"), "datetime", "x")
+    p = KNN.predict(train, test, NX, k=5)
+    return p.select("symbol", "datetime", F.round("pred_knn", 9).alias("pred_knn"))

@@ -102,7 +102,7 @@ SCALED_H = scaled(FEAT_H, keep_bounds=("close",))
 
 
 def windows(scaled_sql: str, feats: list[str] = G2, seq_len: int = SEQ_LEN,
-            include_current: bool = False) -> str:
+            include_current: bool = False, extra: str = "") -> str:
     first = seq_len - 1 if include_current else seq_len
     xs = []
     for k in range(seq_len):
@@ -112,7 +112,7 @@ def windows(scaled_sql: str, feats: list[str] = G2, seq_len: int = SEQ_LEN,
     y = "" if include_current else ", close_s AS y"
     return f"""
 SELECT * EXCLUDE (pos) FROM (
-  SELECT symbol, datetime, pos, pos - {first} AS widx{y}, {", ".join(xs)}
+  SELECT symbol, datetime, pos, pos - {first} AS widx{y}{extra}, {", ".join(xs)}
   FROM ({scaled_sql}) s WINDOW w AS (PARTITION BY symbol ORDER BY datetime)) q
 WHERE pos >= {first}"""
 
@@ -135,3 +135,12 @@ FC_H = forecasts(FEAT_H)
 
 def pct_err(p: str = "predicted_price", a: str = "actual_price") -> str:
     return f"CASE WHEN {a} = 0 THEN NULL ELSE abs(({p} - {a}) / {a}) END"
+
+
+WIN_H = windows(SCALED_H, extra=", n")
+TRAIN_COND = f"widx < floor(0.8 * (n - {SEQ_LEN}))"
+
+
+def sq_dist_sql(d: int, a: str = "te", b: str = "tr") -> str:
+    return "(0.0::DOUBLE" + "".join(f" + ({a}.x_{i} - {b}.x_{i}) * ({a}.x_{i} - {b}.x_{i})"
+                                    for i in range(d)) + ")"

@@ -100,3 +100,11 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(zpath)
     sc._tickforge_shipped = True
+
+
+def materialize(df, eager: bool = True):
+    """Cut the lineage of a table reused by several branches: a reliable
+    checkpoint into the shared ``spark.checkpoint.dir`` (survives executor
+    loss, and later stages read it instead of recomputing the plan)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)

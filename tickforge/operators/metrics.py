@@ -14,7 +14,7 @@ from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, ordered_frame
 
 
 def squared_error(pred: Column, actual: Column) -> Column:
-    return F.pow(pred - actual, 2)
+    return (pred - actual) * (pred - actual)
 
 
 def absolute_error(pred: Column, actual: Column) -> Column:

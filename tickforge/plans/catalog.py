@@ -271,7 +271,7 @@ def next_bar_forecasts_q(spark, sf):
 
 @query("metrics_by_model", f"""
 SELECT symbol, model_type, count(*) AS n,
-       round(avg(power(ps - as_, 2)), 9) AS mse, round(sqrt(avg(power(ps - as_, 2))), 9) AS rmse
+       round(avg((ps - as_) * (ps - as_)), 9) AS mse, round(sqrt(avg((ps - as_) * (ps - as_))), 9) AS rmse
 FROM (SELECT fc.symbol, model_type, pos, n,
              {Q.scale_expr('close', 'predicted_price')} AS ps,
              {Q.scale_expr('close', 'actual_price')} AS as_
@@ -293,7 +293,7 @@ def metrics_by_model_q(spark, sf):
 
 @query("dashboard_metrics", f"""
 WITH fc AS ({Q.FC_H}),
-m AS (SELECT symbol, model_type, avg(power(predicted_price - actual_price, 2)) AS mse,
+m AS (SELECT symbol, model_type, avg((predicted_price - actual_price) * (predicted_price - actual_price)) AS mse,
              avg({Q.pct_err()}) * 100.0 AS mape FROM fc GROUP BY ALL),
 s AS (SELECT DISTINCT symbol FROM fc),
 models(model_type) AS (VALUES {", ".join(f"('{m}')" for m in DASH_MODELS)})
@@ -308,10 +308,10 @@ def dashboard_metrics_q(spark, sf):
 
 @query("naive_forecast_eval", f"""
 SELECT symbol, model_type, count(*) AS n,
-       round(avg(power(predicted_price - actual_price, 2)), 9) AS mse,
+       round(avg((predicted_price - actual_price) * (predicted_price - actual_price)), 9) AS mse,
        round(avg(abs(predicted_price - actual_price)), 9) AS mae,
        round(avg({Q.pct_err()}) * 100.0, 9) AS mape,
-       round(sqrt(avg(power(predicted_price - actual_price, 2))), 9) AS rmse
+       round(sqrt(avg((predicted_price - actual_price) * (predicted_price - actual_price))), 9) AS rmse
 FROM ({Q.FC_H}) GROUP BY ALL""")
 def naive_forecast_eval_q(spark, sf):
     """A4: MAE / RMSE / MAPE of next-bar forecasts over the whole run."""
@@ -434,3 +434,97 @@ def knn_predict_q(spark, sf):
     test = w.where(~F.col("train")).select("symbol", F.col("widx").alias("qid"), "datetime", "x")
     p = KNN.predict(train, test, NX, k=5)
     return p.select("symbol", "datetime", F.round("pred_knn", 9).alias("pred_knn"))
+
+
+# ---------------------------------------------------------------- messages / sinks
+
+from tickforge.operators.sequence import ordered_frame  # noqa: E402
+from tickforge.sinks import messages as MSG  # noqa: E402
+from tickforge.sinks import tables as TB  # noqa: E402
+from tickforge.sinks import upsert as UP  # noqa: E402
+from tickforge.sources import stream as ST  # noqa: E402
+
+UPSERT_UPDATE_COLS = ["close_actual", "close_predicted", "ema5", "inc_loss"]
+UPSERT_KEEP_COLS = ["open_price", "high_price", "low_price", "volume"]
+TARGET_BEFORE = "2024-01-20 00:00:00"
+UPDATES_FROM = "2024-01-10 00:00:00"
+
+
+@query("to_kafka_json", Q.bar_json(Q.HOURLY))
+def to_kafka_json_q(spark, sf):
+    """Bars as keyed messages (key = symbol, value = JSON bar)."""
+    return MSG.encode_bars(I.hourly_bars(spark, sf))
+
+
+@query("parse_kafka_json", f"""
+SELECT symbol, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, open, high, low, close, volume
+FROM ({Q.HOURLY})""")
+def parse_kafka_json_q(spark, sf):
+    """Decode a topic holding bar messages and foreign messages
+    (``events.props`` objects): bad or foreign values parse to nulls and are
+    dropped by ``close IS NOT NULL``."""
+    ev = B.table(spark, sf, "events")
+    foreign = ev.select(F.col("event_type").alias("key"), F.col("props").alias("value"))
+    topic = MSG.encode_bars(I.hourly_bars(spark, sf)).unionByName(foreign)
+    return ST.decode_bars(topic)
+
+
+def _with_lags(spark, sf):
+    feat = _feat(spark, sf)
+    fr = ordered_frame(feat, "symbol", "datetime", lookback=1)
+    return fr.finish(fr.df.withColumns({"prev_close": F.lag("close", 1).over(fr.window),
+                                        "prev_ema": F.lag("EMA5", 1).over(fr.window)}))
+
+
+def result_rows(df, pred):
+    """F9 rows (one per bar) with the forecast in ``close_predicted`` and its
+    squared error in ``inc_loss``."""
+    return df.select(
+        "symbol", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("trade_date"),
+        F.col("open").alias("open_price"), F.col("high").alias("high_price"),
+        F.col("low").alias("low_price"), F.col("close").alias("close_actual"),
+        F.col(pred).alias("close_predicted"), F.col("EMA5").alias("ema5"), "volume",
+        ((F.col(pred) - F.col("close")) * (F.col(pred) - F.col("close"))).alias("inc_loss"),
+        F.current_timestamp().alias("created_at"))
+
+
+_t = Q.result_rows("prev_close", f"datetime < TIMESTAMP '{TARGET_BEFORE}'")
+_u = Q.result_rows("prev_ema", f"datetime >= TIMESTAMP '{UPDATES_FROM}'")
+_keep = ", ".join(f"CASE WHEN t.symbol IS NOT NULL THEN t.{c} ELSE u.{c} END AS {c}"
+                  for c in UPSERT_KEEP_COLS)
+_upd = ", ".join(f"CASE WHEN u.symbol IS NOT NULL THEN u.{c} ELSE t.{c} END AS {c}"
+                 for c in UPSERT_UPDATE_COLS)
+
+
+@query("upsert_latest", f"""
+SELECT coalesce(t.symbol, u.symbol) AS symbol, coalesce(t.trade_date, u.trade_date) AS trade_date,
+       {_keep}, {_upd}
+FROM ({_t}) t FULL OUTER JOIN ({_u}) u ON t.symbol = u.symbol AND t.trade_date = u.trade_date""")
+def upsert_latest_q(spark, sf):
+    """K4: merge a batch of result rows into the result table on
+    (symbol, trade_date): conflicts update close/prediction/EMA/loss and keep
+    the first open/high/low/volume (``created_at`` left out of the check)."""
+    rows = _with_lags(spark, sf)
+    target = result_rows(rows.where(F.col("datetime") < F.lit(TARGET_BEFORE).cast("timestamp")),
+                         "prev_close")
+    updates = result_rows(rows.where(F.col("datetime") >= F.lit(UPDATES_FROM).cast("timestamp")),
+                          "prev_ema")
+    merged = UP.upsert(target, updates, ["symbol", "trade_date"], UPSERT_UPDATE_COLS,
+                       order="created_at")
+    return merged.drop("created_at")
+
+
+@query("unpivot_predictions", """
+SELECT symbol, round(predicted_price, 6) AS predicted_price, round(actual_price, 6) AS actual_price,
+       model_type, timestamp FROM (
+  SELECT symbol, prev_close AS predicted_price, close AS actual_price, 'Naive' AS model_type,
+         datetime AS timestamp FROM L
+  UNION ALL
+  SELECT symbol, prev_ema, close, 'EMA5', datetime FROM L) u""".replace(
+    "FROM L", f"FROM ({Q.FEAT_LAGS_H}) l"))
+def unpivot_predictions_q(spark, sf):
+    """Wide prediction rows -> long rows (label map, 6 decimals,
+    event-time ``timestamp``; the stable ``id`` hash is left out of the check)."""
+    wide = _with_lags(spark, sf).select("symbol", "datetime", F.col("close").alias("actual_price"),
+                                        "prev_close", "prev_ema")
+    return TB.to_long(wide, [("Naive", "prev_close"), ("EMA5", "prev_ema")]).drop("id")

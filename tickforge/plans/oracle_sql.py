@@ -144,3 +144,25 @@ TRAIN_COND = f"widx < floor(0.8 * (n - {SEQ_LEN}))"
 def sq_dist_sql(d: int, a: str = "te", b: str = "tr") -> str:
     return "(0.0::DOUBLE" + "".join(f" + ({a}.x_{i} - {b}.x_{i}) * ({a}.x_{i} - {b}.x_{i})"
                                     for i in range(d)) + ")"
+
+
+def bar_json(src: str) -> str:
+    return f"""
+SELECT symbol AS key,
+       CAST(to_json(struct_pack(symbol := symbol,
+            datetime := strftime(datetime, '%Y-%m-%d %H:%M:%S'), open := open, high := high,
+            low := low, close := close, volume := volume)) AS VARCHAR) AS value
+FROM ({src}) b"""
+
+
+FEAT_LAGS_H = f"""
+SELECT *, lag(close) OVER w AS prev_close, lag(EMA5) OVER w AS prev_ema
+FROM ({FEAT_H}) f WINDOW w AS (PARTITION BY symbol ORDER BY datetime)"""
+
+
+def result_rows(pred: str, where: str) -> str:
+    return f"""
+SELECT symbol, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS trade_date, open AS open_price,
+       high AS high_price, low AS low_price, close AS close_actual, {pred} AS close_predicted,
+       EMA5 AS ema5, volume, ({pred} - close) * ({pred} - close) AS inc_loss
+FROM ({FEAT_LAGS_H}) l WHERE {where}"""

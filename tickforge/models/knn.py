@@ -26,6 +26,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickforge.session import materialize
+
 SLACK = 1e-9
 
 
@@ -64,6 +66,10 @@ def predict(train: DataFrame, queries: DataFrame, d: int, k: int = 5, cell_rows:
          .withColumn("qcell", F.least(F.greatest(
              F.floor((F.col("qp") - F.col("p0")) / F.col("cw")), F.lit(0)), F.col("nc"))))
 
+    # both sides are read by every search round: materialise them once
+    tr = materialize(tr)
+    q = materialize(q)
+
     def cells(lo: Column, hi: Column) -> Column:
         lo = F.greatest(lo, F.lit(0))
         hi = F.least(hi, F.col("nc"))

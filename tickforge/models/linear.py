@@ -3,10 +3,10 @@
 Fit = one grouped aggregation of the moment sums ``n, Σy, Σx, Σxy, Σxxᵀ``
 (upper triangle) — partial sums per map task, so a hot symbol is reduced
 before the shuffle — followed by a per-symbol solve on a one-row-per-symbol
-table.  The solve centres the moments, standardises the columns and takes
-the minimum-norm solution over eigen-directions above a relative tolerance:
-collinear inputs (the timestamp lags of regular bars) get the same
-predictions as a least-squares solver would give.
+table.  The solve centres the moments and takes the minimum-norm solution over the
+eigen-directions above a relative tolerance — the solution a least-squares
+solver gives on centred data, so exactly collinear inputs (lagged timestamps,
+repeated prices) extrapolate the same way.
 """
 
 from __future__ import annotations
@@ -47,20 +47,16 @@ def solve_moments(n: float, sy: float, sx: np.ndarray, sxy: np.ndarray,
     mx, my = sx / n, sy / n
     C = S - n * np.outer(mx, mx)
     c = sxy - n * mx * my
-    sd = np.sqrt(np.clip(np.diag(C), 0.0, None))
-    live = sd > 1e-12 * max(sd.max(), 1e-300)
+    # minimum-norm solution in the raw centred coordinates (what a
+    # least-squares solver on centred data returns); eigen-directions below
+    # the tolerance are the exact collinearities of the inputs.
+    w, V = np.linalg.eigh(C)
+    top = w.max() if len(w) else 0.0
+    keep = w > rel_tol * top if top > 0 else np.zeros_like(w, bool)
+    rank = int(keep.sum())
     coef = np.zeros(d)
-    rank = 0
-    if live.any():
-        Dl = sd[live]
-        Cs = C[np.ix_(live, live)] / np.outer(Dl, Dl)
-        cs = c[live] / Dl
-        w, V = np.linalg.eigh(Cs)
-        keep = w > rel_tol * max(w.max(), 0.0) if w.max() > 0 else np.zeros_like(w, bool)
-        rank = int(keep.sum())
-        if rank:
-            beta = V[:, keep] @ ((V[:, keep].T @ cs) / w[keep])
-            coef[live] = beta / Dl
+    if rank:
+        coef = V[:, keep] @ ((V[:, keep].T @ c) / w[keep])
     return float(my - mx @ coef), coef, rank
 
 

@@ -1,0 +1,160 @@
+"""HBLSTM per symbol as Spark jobs (M4 predict, M5 train, M11 state).
+
+Windows (``symbol, widx, x = flattened (seq_len × F), y``) are cut into
+shards of at most ``shard_rows`` consecutive windows, hash-partitioned by
+``(symbol, shard)`` once and checkpointed, so every training round reads
+them in place.  A round cogroups each shard with its symbol's model state
+and runs ``sync_epochs`` epochs of shuffled minibatch Adam in a pandas
+function; the shard states of a symbol are then averaged (weighted by window
+count) with a fan-in of at most ``fan_in`` states per group, level by level.
+A symbol that fits in one shard is therefore trained exactly like one
+sequential minibatch-Adam run; a symbol holding a third of the data trains
+on many executors (local SGD with periodic averaging).  The state table
+(weights, Adam moments, step) is checkpointed after every round.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickforge.models import hblstm_net as N
+from tickforge.session import materialize
+
+STATE_FIELDS = [
+    T.StructField("symbol", T.StringType()),
+    T.StructField("params", T.ArrayType(T.DoubleType())),
+    T.StructField("adam_m", T.ArrayType(T.DoubleType())),
+    T.StructField("adam_v", T.ArrayType(T.DoubleType())),
+    T.StructField("step", T.LongType()),
+    T.StructField("n_train", T.LongType()),
+    T.StructField("loss", T.DoubleType()),
+]
+STATE_SCHEMA = T.StructType(STATE_FIELDS)
+SHARD_STATE_SCHEMA = T.StructType(STATE_FIELDS + [T.StructField("shard", T.LongType())])
+
+
+def _windows_to_xy(pdf: pd.DataFrame, seq_len: int, n_features: int):
+    X = np.stack(pdf["x"].to_numpy()).reshape(len(pdf), seq_len, n_features)
+    y = pdf["y"].to_numpy(dtype=float) if "y" in pdf else None
+    return X, y
+
+
+def fit(windows: DataFrame, seq_len: int, n_features: int, hidden: int = 64,
+        epochs: int = 50, batch_size: int = 16, lr: float = 1e-4, seed: int = 0,
+        shard_rows: int = 100_000, sync_epochs: int = 5, fan_in: int = 32,
+        init: DataFrame | None = None) -> DataFrame:
+    """Train one network per symbol; returns the state table (one row per
+    symbol).  ``init`` resumes from a saved state table (weights and Adam
+    moments), otherwise weights start from a seeded uniform init."""
+    layout = N.Layout(n_features, hidden)
+    parts = windows.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    w = (windows.select("symbol", "widx", "x", "y")
+         .withColumn("shard", F.floor(F.col("widx") / F.lit(shard_rows)).cast("long"))
+         .repartition(int(parts), "symbol", "shard"))
+    w = materialize(w)
+    # fresh column ids: the shard list is cogrouped with the table it comes from
+    shards = w.select(F.col("symbol").alias("symbol"), F.col("shard").alias("shard")).distinct()
+
+    if init is None:
+        def _init(it):
+            for pdf in it:
+                rows = []
+                for s in pdf["symbol"]:
+                    p = N.init_params(layout, N.symbol_seed(seed, s))
+                    rows.append((s, p, np.zeros_like(p), np.zeros_like(p), 0, 0, float("nan")))
+                yield pd.DataFrame(rows, columns=STATE_SCHEMA.fieldNames())
+        state = w.select(F.col("symbol").alias("symbol")).distinct().mapInPandas(_init, STATE_SCHEMA)
+    else:
+        state = init.select(*STATE_SCHEMA.fieldNames())
+    state = materialize(state)
+
+    done = 0
+    while done < epochs:
+        n_ep = min(sync_epochs, epochs - done)
+        first_epoch = done
+
+        def _train(win: pd.DataFrame, st: pd.DataFrame) -> pd.DataFrame:
+            if win.empty or st.empty:
+                return pd.DataFrame(columns=SHARD_STATE_SCHEMA.fieldNames())
+            r = st.iloc[0]
+            win = win.sort_values("widx", kind="stable")
+            X, y = _windows_to_xy(win, seq_len, n_features)
+            rng = np.random.default_rng([seed, N.symbol_seed(seed, r["symbol"]),
+                                         int(win["shard"].iloc[0]), first_epoch])
+            flat, m, v, step, loss = N.train_epochs(
+                np.asarray(r["params"], float), np.asarray(r["adam_m"], float),
+                np.asarray(r["adam_v"], float), int(r["step"]), layout, X, y,
+                n_ep, batch_size, lr, rng)
+            return pd.DataFrame([(r["symbol"], flat, m, v, step, len(y), loss,
+                                  int(win["shard"].iloc[0]))],
+                                columns=SHARD_STATE_SCHEMA.fieldNames())
+
+        per_shard = shards.join(state, "symbol")
+        trained = (w.groupBy("symbol", "shard")
+                   .cogroup(per_shard.groupBy("symbol", "shard"))
+                   .applyInPandas(_train, SHARD_STATE_SCHEMA))
+        state = materialize(average_states(trained, fan_in))
+        done += n_ep
+    return state
+
+
+def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    n = pdf["n_train"].to_numpy(dtype=float)
+    wts = n / n.sum() if n.sum() > 0 else np.full(len(n), 1.0 / len(n))
+
+    def avg(col):
+        return np.tensordot(wts, np.stack(pdf[col].to_numpy()), axes=1)
+
+    loss = pdf["loss"].to_numpy(dtype=float)
+    return pd.DataFrame([(pdf["symbol"].iloc[0], avg("params"), avg("adam_m"), avg("adam_v"),
+                          int(pdf["step"].max()), int(n.sum()),
+                          float(np.nansum(loss * wts)), int(pdf["shard"].min()))],
+                        columns=SHARD_STATE_SCHEMA.fieldNames())
+
+
+def average_states(per_shard: DataFrame, fan_in: int = 32) -> DataFrame:
+    """Window-count-weighted average of shard states per symbol, reducing at
+    most ``fan_in`` states per group per level (no unbounded group)."""
+    df = per_shard.withColumn("shard", F.dense_rank().over(
+        Window.partitionBy("symbol").orderBy("shard")) - 1)
+    df = df.withColumn("shard", F.col("shard").cast("long"))
+    while True:
+        width = df.groupBy("symbol").agg(F.max("shard").alias("mx")).agg(F.max("mx")).first()[0]
+        if width is None or width < 1:
+            break
+        df = (df.withColumn("_grp", F.floor(F.col("shard") / F.lit(fan_in)))
+              .groupBy("symbol", "_grp").applyInPandas(lambda p: _merge(p.drop(columns="_grp")),
+                                                       SHARD_STATE_SCHEMA)
+              .withColumn("shard", F.floor(F.col("shard") / F.lit(fan_in)).cast("long")))
+        df = materialize(df)
+    return df.select(*STATE_SCHEMA.fieldNames())
+
+
+def predict(windows: DataFrame, state: DataFrame, seq_len: int, n_features: int,
+            hidden: int = 64, out: str = "pred_hblstm", shard_rows: int = 100_000) -> DataFrame:
+    """Forward pass of each symbol's network over its windows (vectorised
+    per shard); returns the window rows with ``out`` added."""
+    layout = N.Layout(n_features, hidden)
+    cols = windows.columns
+    w = windows.withColumn("_shard", F.floor(F.col("widx") / F.lit(shard_rows)).cast("long"))
+    per_shard = (w.select(F.col("symbol").alias("symbol"), F.col("_shard").alias("_shard"))
+                 .distinct().join(state.select("symbol", "params"), "symbol"))
+    schema = T.StructType([f for f in windows.schema.fields] + [T.StructField(out, T.DoubleType())])
+
+    def _fwd(win: pd.DataFrame, st: pd.DataFrame) -> pd.DataFrame:
+        if win.empty:
+            return pd.DataFrame(columns=schema.fieldNames())
+        res = win[cols].copy()
+        if st.empty:
+            res[out] = np.nan
+            return res
+        X, _ = _windows_to_xy(win, seq_len, n_features)
+        res[out] = N.forward(np.asarray(st["params"].iloc[0], float), layout, X)
+        return res
+
+    return (w.groupBy("symbol", "_shard").cogroup(per_shard.groupBy("symbol", "_shard"))
+            .applyInPandas(_fwd, schema))

@@ -528,3 +528,37 @@ def unpivot_predictions_q(spark, sf):
     wide = _with_lags(spark, sf).select("symbol", "datetime", F.col("close").alias("actual_price"),
                                         "prev_close", "prev_ema")
     return TB.to_long(wide, [("Naive", "prev_close"), ("EMA5", "prev_ema")]).drop("id")
+
+
+from tickforge.models import hblstm as HBL  # noqa: E402
+from tickforge.models import tree as TREE  # noqa: E402
+from tickforge.plans import training as TRN  # noqa: E402
+
+
+@query("tree_predict")
+def tree_predict_q(spark, sf):
+    """M2: per-symbol depth-10 regression tree fitted on the training
+    windows, scored on the hold-out windows (scaled close)."""
+    w = _windows(spark, sf)
+    model = TREE.fit(w.where("train"), NX, max_depth=10)
+    return TREE.predict(w.where(~F.col("train")), model).select("symbol", "datetime", "y", "pred_dt")
+
+
+@query("hblstm_predict")
+def hblstm_predict_q(spark, sf):
+    """M4/M5: per-symbol HBLSTM (hidden 64, 50 epochs, batch 16, Adam 1e-4)
+    trained on the training windows, scored on the hold-out windows."""
+    w = materialize(_windows(spark, sf))
+    state = HBL.fit(w.where("train"), SEQ, len(FEATURES_G2))
+    return HBL.predict(w.where(~F.col("train")), state, SEQ, len(FEATURES_G2)).select(
+        "symbol", "datetime", "y", "pred_hblstm")
+
+
+@query("score_all_models")
+def score_all_models_q(spark, sf):
+    """Q1/M7/M9: train the four models for every symbol and score the
+    hold-out windows in price units (wide prediction rows)."""
+    cfg = TRN.ModelConfig()
+    scaler, w = TRN.prepare_windows(I.hourly_bars(spark, sf), cfg)
+    models = TRN.train_all(w, scaler, cfg)
+    return TRN.score(w.where(~F.col("train")), models)

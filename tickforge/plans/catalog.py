@@ -562,3 +562,72 @@ def score_all_models_q(spark, sf):
     scaler, w = TRN.prepare_windows(I.hourly_bars(spark, sf), cfg)
     models = TRN.train_all(w, scaler, cfg)
     return TRN.score(w.where(~F.col("train")), models)
+
+
+# ---------------------------------------------------------------- streaming
+
+from tickforge.streaming import jobs as SJ  # noqa: E402
+
+STREAM_FROM = "2024-01-25 00:00:00"
+
+
+@query("stream_ema5", f"SELECT symbol, datetime, close, EMA5 FROM ({Q.ema(Q.HOURLY)})")
+def stream_ema5_q(spark, sf):
+    """Bars replayed as keyed messages in 3 time chunks through
+    a file-source stream (2 files per trigger); EMA5 kept in per-symbol state
+    equals the batch EMA."""
+    root = SJ.new_scratch(spark, "stream-ema5")
+    SJ.replay_messages(I.hourly_bars(spark, sf), root + "/msgs", chunks=3)
+    paths = SJ.run_replay(spark, root + "/msgs", root + "/out", max_files_per_trigger=2)
+    return spark.read.parquet(paths.capture).select("symbol", "datetime", "close", "EMA5")
+
+
+def _stream_scorer(models):
+    """Per-batch scoring of the stateless models on the stream's windows."""
+    cfg = models.config
+
+    def score(ready):
+        w = ready.withColumn("widx", F.unix_micros("datetime"))
+        w = LIN.predict(w, models.linear)
+        w = TREE.predict(w, models.tree, max_depth=cfg.tree_depth)
+        w = KNN.predict(models.knn_train, w.withColumn("qid", F.col("widx")), cfg.flat_size,
+                        k=cfg.knn_k).drop("qid")
+        lo, hi = F.col("close_min"), F.col("close_max")
+        preds = ["pred_linear", "pred_dt", "pred_knn", "pred_hblstm"]
+        w = w.withColumns({p: FT.minmax_inverse(F.col(p), lo, hi) for p in preds})
+        return w.select("symbol", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+                        F.col("close").alias("actual_price"), *preds)
+    return score
+
+
+def _stream_predictions(spark, sf):
+    cfg = TRN.ModelConfig()
+    bars = materialize(I.hourly_bars(spark, sf))
+    cut = F.lit(STREAM_FROM).cast("timestamp")
+    hist, live = bars.where(F.col("datetime") < cut), bars.where(F.col("datetime") >= cut)
+    scaler, w = TRN.prepare_windows(hist, cfg)
+    models = TRN.train_all(w, scaler, cfg)
+    seeds = SJ.seed_state(FT.with_positions(hist), scaler, models.hblstm, cfg.seq_len)
+    root = SJ.new_scratch(spark, "stream-predict")
+    SJ.replay_messages(live, root + "/msgs", chunks=4)
+    paths = SJ.run_replay(spark, root + "/msgs", root + "/out", scaler=scaler, seeds=seeds,
+                          score_fn=_stream_scorer(models), max_files_per_trigger=4,
+                          seq_len=cfg.seq_len, hidden=cfg.hidden, lr=cfg.lr)
+    return spark.read.parquet(paths.predictions).drop("batch_id")
+
+
+@query("stream_predict")
+def stream_predict_q(spark, sf):
+    """Models trained on the history before the stream,
+    state seeded from it; each streamed bar is forecast by the four models
+    from the 3 bars before it, then HBLSTM learns it (one Adam step)."""
+    return _stream_predictions(spark, sf)
+
+
+@query("prequential_eval")
+def prequential_eval_q(spark, sf):
+    """Predict-then-learn evaluation of the stream — MAE, RMSE, MAPE
+    per symbol × model over the streamed bars."""
+    long = TB.to_long(_stream_predictions(spark, sf), decimals=12)
+    m = MT.error_metrics(long, ["symbol", "model_type"])
+    return m.select("symbol", "model_type", "n", "mae", "rmse", "mape")

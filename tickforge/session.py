@@ -77,16 +77,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``tickforge`` importable in Python workers (once per context).
+    """Make ``tickforge`` usable in every Python worker (once per context).
 
-    The package is zipped on the driver and registered with ``addPyFile``;
-    Spark then serves it to every executor, as ``--py-files`` would.
+    Its functions are pickled by value, and the package is also zipped on the
+    driver and registered with ``addPyFile`` (served to every executor, as
+    ``--py-files`` would) for code that imports it by name.
     """
     import zipfile
 
     sc = spark.sparkContext
     if getattr(sc, "_tickforge_shipped", False):
         return
+    # Functions and classes of this package are pickled by value, so Python
+    # processes that never received the zip (driver-side streaming runners)
+    # can still run them.
+    import importlib
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(importlib.import_module("tickforge"))
     root = os.path.dirname(os.path.abspath(__file__))
     fd, zpath = tempfile.mkstemp(prefix="tickforge-", suffix=".zip")
     os.close(fd)

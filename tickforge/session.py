@@ -116,3 +116,14 @@ def materialize(df, eager: bool = True):
     loss, and later stages read it instead of recomputing the plan)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_stream_state_store(spark: SparkSession) -> None:
+    """Keyed state with several variables needs the RocksDB state store
+    (column families); set it when the session runs another provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)

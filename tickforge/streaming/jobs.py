@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickforge.operators import clean as C
 from tickforge.schemas import FEATURES_G2, STREAM_BAR
-from tickforge.session import scratch_path
+from tickforge.session import ensure_stream_state_store, scratch_path
 from tickforge.sinks import messages as MSG
 from tickforge.sources import stream as ST
 from tickforge.streaming.processor import OUTPUT, SEED_SCHEMA, BarForecaster
@@ -92,6 +92,7 @@ def forecast_stream(bars: DataFrame, scaler: DataFrame | None = None,
                     emit_state: bool = False, features: list[str] = FEATURES_G2) -> DataFrame:
     """Keyed stateful step (R4/R5/R6): ``groupBy(symbol)`` then the
     per-symbol processor.  The scaler is a stream-static join."""
+    ensure_stream_state_store(bars.sparkSession)
     rows = bars
     if scaler is not None:
         rows = rows.join(scaler_arrays(scaler, features), "symbol", "left")

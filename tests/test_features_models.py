@@ -81,3 +81,50 @@ def test_knn_matches_brute_force_with_ties(spark):
         d = ((pts[:40] - pts[i]) ** 2).sum(axis=1)
         order = np.lexsort((np.arange(40), d))[:5]
         assert np.isclose(got.loc[i, "pred_knn"], ys[order].mean()), i
+
+
+def _exact_cart(X, y, depth, min_leaf=1):
+    """Exact squared-error CART (threshold = each distinct value but the
+    largest), ties to the lower feature then lower threshold."""
+    def sse(v):
+        return float(((v - v.mean()) ** 2).sum()) if len(v) else 0.0
+
+    def grow(idx, d):
+        yv = y[idx]
+        if d == depth or len(idx) < 2:
+            return ("leaf", yv.mean())
+        best = None
+        for f in range(X.shape[1]):
+            for t in np.unique(X[idx, f])[:-1]:
+                left = idx[X[idx, f] <= t]
+                right = idx[X[idx, f] > t]
+                g = sse(yv) - sse(y[left]) - sse(y[right])
+                if g > 1e-12 and (best is None or g > best[0] + 1e-12):
+                    best = (g, f, t, left, right)
+        if best is None:
+            return ("leaf", yv.mean())
+        _, f, t, left, right = best
+        return ("split", f, t, grow(left, d + 1), grow(right, d + 1))
+
+    def pred(node, x):
+        while node[0] == "split":
+            node = node[3] if x[node[1]] <= node[2] else node[4]
+        return node[1]
+
+    root = grow(np.arange(len(y)), 0)
+    return np.array([pred(root, x) for x in X])
+
+
+def test_tree_equals_exact_cart_on_few_distinct_values(spark):
+    from tickforge.models import tree as TR
+    rng = np.random.default_rng(5)
+    X = rng.integers(0, 4, size=(200, 3)).astype(float)
+    y = X[:, 0] * 2 + (X[:, 1] > 1) + rng.normal(scale=0.1, size=200)
+    df = spark.createDataFrame([("s", X[i].tolist(), float(y[i])) for i in range(200)],
+                               "symbol string, x array<double>, y double")
+    model = TR.fit(df, 3, max_depth=3)
+    got = TR.predict(df.withColumn("i", F.monotonically_increasing_id()), model, max_depth=3)
+    got = got.orderBy("i").toPandas()["pred_dt"].to_numpy()
+    ref = _exact_cart(X, y, 3)
+    assert np.allclose(np.sort(got), np.sort(ref))
+    assert np.allclose(got, ref)

@@ -17,7 +17,7 @@ from tickforge.streaming.processor import OUTPUT, SEED_SCHEMA, BarForecaster
 
 
 def replay_messages(bars: DataFrame, path: str, chunks: int = 3,
-                    files_per_chunk: int | None = None) -> list[str]:
+                    files_per_chunk: int | None = None, first_chunk: int = 0) -> list[str]:
     """Write bars as keyed message files in ``chunks`` consecutive time
     ranges (R9).  Each range is written after the previous one and
     hash-partitioned by symbol, so a file source that takes files oldest
@@ -35,7 +35,7 @@ def replay_messages(bars: DataFrame, path: str, chunks: int = 3,
     for k in range(chunks):
         a, b = lo + k * step, lo + (k + 1) * step
         part = bars.where((F.unix_micros("datetime") >= a) & (F.unix_micros("datetime") < b))
-        out = f"{path.rstrip('/')}/chunk={k:05d}"
+        out = f"{path.rstrip('/')}/chunk={first_chunk + k:05d}"
         MSG.encode_bars(part).repartition(parts, "key").write.mode("overwrite").json(out)
         written.append(out)
     return written
@@ -117,15 +117,34 @@ class SinkPaths:
     late: str = field(init=False)
     states: str = field(init=False)
     csv: str = field(init=False)
+    results: str = field(init=False)
 
     def __post_init__(self):
         r = self.root.rstrip("/")
         self.capture, self.predictions = f"{r}/capture", f"{r}/predictions"
         self.late, self.states, self.csv = f"{r}/late", f"{r}/model_state", f"{r}/batches_csv"
+        self.results = f"{r}/results"
+
+
+# Columns of the keyed result table and the ones a conflict updates.
+RESULT_UPDATE_COLS = ["close_actual", "close_predicted", "ema5", "inc_loss"]
+
+
+def result_rows(bars: DataFrame) -> DataFrame:
+    """Result-table rows of streamed bars: prices, EMA5, the HBLSTM forecast
+    in price units (null during warm-up) and its online loss."""
+    from tickforge.operators.features import minmax_inverse
+    pred = minmax_inverse(F.col("pred_hblstm"), F.col("close_min"), F.col("close_max"))
+    return bars.select(
+        "symbol", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("trade_date"),
+        F.col("open").alias("open_price"), F.col("high").alias("high_price"),
+        F.col("low").alias("low_price"), F.col("close").alias("close_actual"),
+        pred.alias("close_predicted"), F.col("EMA5").alias("ema5"), "volume", "inc_loss",
+        F.current_timestamp().alias("created_at"))
 
 
 def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
-                       console: bool = False):
+                       console: bool = False, upsert_results: bool = True):
     """``foreachBatch`` handler (R3): compute stays in DataFrames; the
     handler only writes.  Every write is keyed by ``batch_id`` so a replayed
     batch overwrites its own output (no side effects inside transforms)."""
@@ -145,6 +164,10 @@ def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
                            F.lit(int(batch_id)).alias("version"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("symbol").parquet(paths.states))
+            if upsert_results:
+                from tickforge.sinks.upsert import upsert_table
+                upsert_table(result_rows(bars), paths.results, ["symbol", "trade_date"],
+                             RESULT_UPDATE_COLS, version=batch_id, order="trade_date")
             ready = bars.where("ready")
             if score_fn is not None:
                 wide = score_fn(ready)

@@ -71,6 +71,11 @@ def fit(windows: DataFrame, seq_len: int, n_features: int, hidden: int = 64,
     else:
         state = init.select(*STATE_SCHEMA.fieldNames())
     state = materialize(state)
+    max_shards = shards.groupBy("symbol").count().agg(F.max("count")).first()[0] or 1
+    if max_shards == 1:
+        # every symbol trains on one shard: averaging is the identity, so all
+        # epochs run in one round (same result, seeds are per epoch)
+        sync_epochs = epochs
 
     done = 0
     while done < epochs:
@@ -83,8 +88,10 @@ def fit(windows: DataFrame, seq_len: int, n_features: int, hidden: int = 64,
             r = st.iloc[0]
             win = win.sort_values("widx", kind="stable")
             X, y = _windows_to_xy(win, seq_len, n_features)
-            rng = np.random.default_rng([seed, N.symbol_seed(seed, r["symbol"]),
-                                         int(win["shard"].iloc[0]), first_epoch])
+            sym_seed, shard_id = N.symbol_seed(seed, r["symbol"]), int(win["shard"].iloc[0])
+
+            def rng(e):
+                return np.random.default_rng([seed, sym_seed, shard_id, first_epoch + e])
             flat, m, v, step, loss = N.train_epochs(
                 np.asarray(r["params"], float), np.asarray(r["adam_m"], float),
                 np.asarray(r["adam_v"], float), int(r["step"]), layout, X, y,
@@ -93,11 +100,15 @@ def fit(windows: DataFrame, seq_len: int, n_features: int, hidden: int = 64,
                                   int(win["shard"].iloc[0]))],
                                 columns=SHARD_STATE_SCHEMA.fieldNames())
 
-        per_shard = shards.join(state, "symbol")
+        # explicit repartition (never coalesced by AQE): one task per shard
+        per_shard = shards.join(state, "symbol").repartition(int(parts), "symbol", "shard")
         trained = (w.groupBy("symbol", "shard")
                    .cogroup(per_shard.groupBy("symbol", "shard"))
                    .applyInPandas(_train, SHARD_STATE_SCHEMA))
-        state = materialize(average_states(trained, fan_in))
+        if max_shards == 1:
+            state = materialize(trained.select(*STATE_SCHEMA.fieldNames()))
+        else:
+            state = materialize(average_states(trained, fan_in))
         done += n_ep
     return state
 
@@ -140,9 +151,12 @@ def predict(windows: DataFrame, state: DataFrame, seq_len: int, n_features: int,
     per shard); returns the window rows with ``out`` added."""
     layout = N.Layout(n_features, hidden)
     cols = windows.columns
-    w = windows.withColumn("_shard", F.floor(F.col("widx") / F.lit(shard_rows)).cast("long"))
+    parts = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    w = (windows.withColumn("_shard", F.floor(F.col("widx") / F.lit(shard_rows)).cast("long"))
+         .repartition(parts, "symbol", "_shard"))
     per_shard = (w.select(F.col("symbol").alias("symbol"), F.col("_shard").alias("_shard"))
-                 .distinct().join(state.select("symbol", "params"), "symbol"))
+                 .distinct().join(state.select("symbol", "params"), "symbol")
+                 .repartition(parts, "symbol", "_shard"))
     schema = T.StructType([f for f in windows.schema.fields] + [T.StructField(out, T.DoubleType())])
 
     def _fwd(win: pd.DataFrame, st: pd.DataFrame) -> pd.DataFrame:

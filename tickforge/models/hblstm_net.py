@@ -74,43 +74,47 @@ def _sig(z):
 
 
 def _cell_forward(X, W, b, U, order):
+    """Run one cell over ``X[:, order]``; the input projection of all steps
+    is one matrix product."""
     B, H = X.shape[0], U.shape[1]
+    XW = (X.reshape(-1, X.shape[2]) @ W.T + b).reshape(B, X.shape[1], -1)
     h = np.zeros((B, H)); c = np.zeros((B, H)); k = np.zeros((B, H))
     cache = []
     for t in order:
-        x = X[:, t, :]
-        z = x @ W.T + b + h @ U.T
-        zi, zf, zo, zg, zu = np.split(z, 5, axis=1)
-        i, f, o, u, g = _sig(zi), _sig(zf), _sig(zo), _sig(zu), np.tanh(zg)
+        z = XW[:, t] + h @ U.T
+        s = _sig(z)
+        i, f, o, u = s[:, :H], s[:, H:2 * H], s[:, 2 * H:3 * H], s[:, 4 * H:]
+        g = np.tanh(z[:, 3 * H:4 * H])
         kn = u * g + (1.0 - u) * k
         cn = f * c + i * kn
         tc = np.tanh(cn)
         hn = o * tc
-        cache.append((x, h, c, k, i, f, o, g, u, kn, tc))
+        cache.append((t, h, c, k, i, f, o, g, u, kn, tc))
         h, c, k = hn, cn, kn
     return h, cache
 
 
-def _cell_backward(dh, cache, W, U):
-    dW = np.zeros_like(W); db = np.zeros(W.shape[0]); dU = np.zeros_like(U)
+def _cell_backward(dh, cache, X, U):
+    """Back-propagation through time; weight gradients are accumulated with
+    one product over all steps."""
+    B, H = dh.shape
     dc = np.zeros_like(dh); dk = np.zeros_like(dh)
-    for x, h_prev, c_prev, k_prev, i, f, o, g, u, kn, tc in reversed(cache):
+    dzs, xs, hs = [], [], []
+    for t, h_prev, c_prev, k_prev, i, f, o, g, u, kn, tc in reversed(cache):
         do = dh * tc
         dct = dc + dh * o * (1.0 - tc * tc)
-        df = dct * c_prev
-        di = dct * kn
         dkt = dk + dct * i
-        du = dkt * (g - k_prev)
-        dg = dkt * u
-        dz = np.concatenate([di * i * (1 - i), df * f * (1 - f), do * o * (1 - o),
-                             dg * (1 - g * g), du * u * (1 - u)], axis=1)
-        dW += dz.T @ x
-        db += dz.sum(0)
-        dU += dz.T @ h_prev
+        dz = np.concatenate([dct * kn * i * (1 - i), dct * c_prev * f * (1 - f),
+                             do * o * (1 - o), dkt * u * (1 - g * g),
+                             dkt * (g - k_prev) * u * (1 - u)], axis=1)
+        dzs.append(dz); xs.append(X[:, t]); hs.append(h_prev)
         dh = dz @ U
         dc = dct * f
         dk = dkt * (1.0 - u)
-    return dW, db, dU
+    DZ = np.concatenate(dzs, axis=0)
+    dW = DZ.T @ np.concatenate(xs, axis=0)
+    dU = DZ.T @ np.concatenate(hs, axis=0)
+    return dW, DZ.sum(0), dU
 
 
 def forward(flat: np.ndarray, layout: Layout, X: np.ndarray, keep: bool = False):
@@ -135,8 +139,8 @@ def loss_and_grad(flat: np.ndarray, layout: Layout, X: np.ndarray, y: np.ndarray
     g = {"fc_W": dout.T @ hcat, "fc_b": dout.sum(0)}
     dh = dout @ p["fc_W"]
     H = layout.hidden
-    g["fw_W"], g["fw_b"], g["fw_U"] = _cell_backward(dh[:, :H], cf, p["fw_W"], p["fw_U"])
-    g["bw_W"], g["bw_b"], g["bw_U"] = _cell_backward(dh[:, H:], cb, p["bw_W"], p["bw_U"])
+    g["fw_W"], g["fw_b"], g["fw_U"] = _cell_backward(dh[:, :H], cf, X, p["fw_U"])
+    g["bw_W"], g["bw_b"], g["bw_U"] = _cell_backward(dh[:, H:], cb, X, p["bw_U"])
     flat_g = np.concatenate([g[name].ravel() for name, _ in layout.shapes()])
     return loss, flat_g
 
@@ -156,11 +160,12 @@ def adam_step(flat, m, v, step, grad, lr):
 
 def train_epochs(flat, m, v, step, layout, X, y, epochs, batch_size, lr, rng):
     """Shuffled minibatch Adam; returns state and the mean batch loss of the
-    last epoch."""
+    last epoch.  ``rng`` is a generator, or a function ``epoch -> generator``
+    (0-based epoch within this call) for per-epoch seeding."""
     n = len(y)
     last = float("nan")
-    for _ in range(epochs):
-        order = rng.permutation(n)
+    for e in range(epochs):
+        order = (rng(e) if callable(rng) else rng).permutation(n)
         total, batches = 0.0, 0
         for s in range(0, n, batch_size):
             idx = order[s:s + batch_size]

@@ -46,28 +46,34 @@ def _topk(cand: DataFrame, k: int) -> DataFrame:
     return cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
 
 
-def predict(train: DataFrame, queries: DataFrame, d: int, k: int = 5, cell_rows: int = 16,
-            out: str = "pred_knn", max_rounds: int = 40) -> DataFrame:
-    """kNN predictions for ``queries`` (needs ``symbol, qid, x``) from
-    ``train`` (``symbol, tid, x, y``).  Returns queries + ``out``."""
+def build_index(train: DataFrame, d: int, cell_rows: int = 16) -> tuple[DataFrame, DataFrame]:
+    """Projected, cell-keyed train windows and the per-symbol grid
+    (materialised: every search round and every scoring batch reads them)."""
     tr = train.select("symbol", "tid", F.col("x").alias("tx"), "y").withColumn("tp", _proj("tx", d))
     grid = (tr.groupBy("symbol")
             .agg(F.min("tp").alias("p0"), F.max("tp").alias("p1"), F.count(F.lit(1)).alias("nt"))
             .withColumn("cw", F.greatest((F.col("p1") - F.col("p0"))
                                          / F.greatest(F.col("nt") / F.lit(cell_rows), F.lit(1.0)),
                                          F.lit(1e-12))))
-    grid = grid.withColumn("nc", F.floor((F.col("p1") - F.col("p0")) / F.col("cw")))
+    grid = materialize(grid.withColumn("nc", F.floor((F.col("p1") - F.col("p0")) / F.col("cw"))))
     tr = (tr.join(grid.select("symbol", "p0", "cw"), "symbol")
           .withColumn("cell", F.floor((F.col("tp") - F.col("p0")) / F.col("cw")))
           .select("symbol", "cell", "tid", "tx", "tp", "y"))
+    return materialize(tr), grid
+
+
+def predict(train: DataFrame, queries: DataFrame, d: int, k: int = 5, cell_rows: int = 16,
+            out: str = "pred_knn", max_rounds: int = 40,
+            index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """kNN predictions for ``queries`` (needs ``symbol, qid, x``) from
+    ``train`` (``symbol, tid, x, y``) or a prebuilt ``index``.  Returns
+    queries + ``out``."""
+    tr, grid = index if index is not None else build_index(train, d, cell_rows)
     q = (queries.select("symbol", "qid", F.col("x").alias("qx"))
          .withColumn("qp", _proj("qx", d))
          .join(grid.select("symbol", "p0", "cw", "nt", "nc"), "symbol")
          .withColumn("qcell", F.least(F.greatest(
              F.floor((F.col("qp") - F.col("p0")) / F.col("cw")), F.lit(0)), F.col("nc"))))
-
-    # both sides are read by every search round: materialise them once
-    tr = materialize(tr)
     q = materialize(q)
 
     def cells(lo: Column, hi: Column) -> Column:

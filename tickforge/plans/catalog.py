@@ -574,11 +574,11 @@ STREAM_FROM = "2024-01-25 00:00:00"
 @query("stream_ema5", f"SELECT symbol, datetime, close, EMA5 FROM ({Q.ema(Q.HOURLY)})")
 def stream_ema5_q(spark, sf):
     """Bars replayed as keyed messages in 3 time chunks through
-    a file-source stream (2 files per trigger); EMA5 kept in per-symbol state
+    a file-source stream (8 files per trigger); EMA5 kept in per-symbol state
     equals the batch EMA."""
     root = SJ.new_scratch(spark, "stream-ema5")
     SJ.replay_messages(I.hourly_bars(spark, sf), root + "/msgs", chunks=3)
-    paths = SJ.run_replay(spark, root + "/msgs", root + "/out", max_files_per_trigger=2)
+    paths = SJ.run_replay(spark, root + "/msgs", root + "/out", max_files_per_trigger=8)
     return spark.read.parquet(paths.capture).select("symbol", "datetime", "close", "EMA5")
 
 
@@ -591,7 +591,7 @@ def _stream_scorer(models):
         w = LIN.predict(w, models.linear)
         w = TREE.predict(w, models.tree, max_depth=cfg.tree_depth)
         w = KNN.predict(models.knn_train, w.withColumn("qid", F.col("widx")), cfg.flat_size,
-                        k=cfg.knn_k).drop("qid")
+                        k=cfg.knn_k, index=models.knn_index).drop("qid")
         lo, hi = F.col("close_min"), F.col("close_max")
         preds = ["pred_linear", "pred_dt", "pred_knn", "pred_hblstm"]
         w = w.withColumns({p: FT.minmax_inverse(F.col(p), lo, hi) for p in preds})
@@ -611,7 +611,7 @@ def _stream_predictions(spark, sf):
     root = SJ.new_scratch(spark, "stream-predict")
     SJ.replay_messages(live, root + "/msgs", chunks=4)
     paths = SJ.run_replay(spark, root + "/msgs", root + "/out", scaler=scaler, seeds=seeds,
-                          score_fn=_stream_scorer(models), max_files_per_trigger=4,
+                          score_fn=_stream_scorer(models), max_files_per_trigger=8,
                           seq_len=cfg.seq_len, hidden=cfg.hidden, lr=cfg.lr)
     return spark.read.parquet(paths.predictions).drop("batch_id")
 

@@ -53,6 +53,11 @@ class Models:
     tree: DataFrame
     knn_train: DataFrame
     hblstm: DataFrame
+    knn_index: tuple | None = None
+
+    def __post_init__(self):
+        if self.knn_index is None:
+            self.knn_index = KNN.build_index(self.knn_train, self.config.flat_size)
 
 
 def prepare_windows(bars: DataFrame, cfg: ModelConfig) -> tuple[DataFrame, DataFrame]:
@@ -91,7 +96,8 @@ def score(windows: DataFrame, models: Models, inverse: bool = True) -> DataFrame
     w = TR.predict(w, models.tree, max_depth=cfg.tree_depth)
     w = HB.predict(w, models.hblstm, cfg.seq_len, cfg.input_size, hidden=cfg.hidden)
     q = w.withColumn("qid", F.col("widx"))
-    w = KNN.predict(models.knn_train, q, cfg.flat_size, k=cfg.knn_k).drop("qid")
+    w = KNN.predict(models.knn_train, q, cfg.flat_size, k=cfg.knn_k,
+                    index=models.knn_index).drop("qid")
     preds = ["pred_linear", "pred_dt", "pred_knn", "pred_hblstm"]
     lo, hi = F.col(f"{TARGET_COL}_min"), F.col(f"{TARGET_COL}_max")
     if inverse:

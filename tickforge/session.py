@@ -31,6 +31,9 @@ def get_spark(master: str | None = None, app: str = "tickforge",
         # AQE measures the materialised side before turning a join into a
         # broadcast; this is the size check for every implicit broadcast.
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+        # small inputs with heavy per-row work (distances, tree binning,
+        # network training) keep several tasks instead of one
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         "spark.ui.enabled": "false",
@@ -48,6 +51,13 @@ def get_spark(master: str | None = None, app: str = "tickforge",
     return spark
 
 
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    """Runtime SQL settings the operators rely on, for sessions built
+    elsewhere (the values of ``get_spark``)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickforge.functions.ema import EMA_SPAN, ema_frame_rows
-from tickforge.operators.indicators import ema_column
-from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, ordered_frame, sequence_frame
+from tickforge.operators.indicators import ema_recursive
+from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, map_blocks, ordered_frame, sequence_frame
 from tickforge.schemas import DEFAULT_SEQ_LEN, FEATURES_G2
 
 FIT_FRACTION = 0.8
@@ -28,11 +29,15 @@ def with_positions(bars: DataFrame, keys: list[str] | str = "symbol",
     lookback = ema_frame_rows(ema_span) - 1 if ema_span else 0
     sf = sequence_frame(bars, keys, order, lookback=lookback,
                         block_rows=max(block_rows, lookback))
-    df = sf.df
-    if ema_span:
-        df = df.withColumn("EMA5", ema_column(sf, "close", ema_span))
-    df = df.withColumn("pos", sf.position()).withColumn("n", sf.count())
-    return sf.finish(df)
+    if not ema_span:
+        df = sf.df.withColumn("pos", sf.position()).withColumn("n", sf.count())
+        return sf.finish(df)
+
+    def fn(pdf):
+        pdf["EMA5"] = ema_recursive(pdf["close"].astype(float), ema_span).to_numpy()
+        return pdf
+    return map_blocks(sf, fn, [T.StructField("EMA5", T.DoubleType())],
+                      with_position="pos", with_count="n")
 
 
 def fit_rows(pos: str = "pos", n: str = "n", fraction: float = FIT_FRACTION) -> Column:

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickforge.functions.ema import EMA_SPAN, ema_fold, ema_frame_rows
-from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, SeqFrame, sequence_frame
+from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, SeqFrame, map_blocks, sequence_frame
+
+
+def ema_recursive(values: pd.Series, span: int = EMA_SPAN) -> pd.Series:
+    """Non-adjusted recursive EMA of an ordered series (pandas ``ewm``)."""
+    return values.ewm(span=span, adjust=False).mean()
 
 
 def ema_column(sf: SeqFrame, col: str = "close", span: int = EMA_SPAN,
@@ -21,11 +28,20 @@ def with_ema(df: DataFrame, col: str = "close", span: int = EMA_SPAN, out: str =
              history: int | None = None, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Add the EMA of ``col`` per key in time order.
 
-    ``history=None`` gives the exact recursive EMA (frame long enough for
-    double precision).  A number ``h`` recomputes every value from the last
-    ``h`` rows only (seeded at the oldest of them), as a consumer holding a
-    bounded buffer of closes does.
+    ``history=None`` gives the recursive EMA: one vectorised pass per block of
+    the key's series (the halo of ``ema_frame_rows - 1`` rows carries the
+    recursion across blocks to double precision).  A number ``h`` recomputes
+    every value from the last ``h`` rows only (seeded at the oldest of them),
+    as a consumer holding a bounded buffer of closes does — a window fold.
     """
-    h = history or ema_frame_rows(span)
+    if history is None:
+        h = ema_frame_rows(span)
+        sf = sequence_frame(df, keys, order, lookback=h - 1, block_rows=max(block_rows, h))
+
+        def fn(pdf):
+            pdf[out] = ema_recursive(pdf[col].astype(float), span).to_numpy()
+            return pdf
+        return map_blocks(sf, fn, [T.StructField(out, T.DoubleType())])
+    h = history
     sf = sequence_frame(df, keys, order, lookback=h - 1, block_rows=max(block_rows, h))
     return sf.finish(sf.df.withColumn(out, ema_column(sf, col, span, h)))

@@ -79,7 +79,10 @@ def test_late_bar_changes_no_state(spark):
     for i, r in enumerate([[0], [1, 2]]):
         part = spark.createDataFrame([rows[j] for j in r], df.schema)
         encode_bars(part).write.mode("overwrite").json(f"{src}/chunk={i:05d}")
+    bad = spark.createDataFrame([("a", "2024-01-01 04:00:00", None, 1.0, 1.0, 50.0, 1.0)], df.schema)
+    encode_bars(bad).write.mode("overwrite").json(f"{src}/chunk=00002")
     paths = SJ.run_replay(spark, src, root + "/out", max_files_per_trigger=1)
+    assert spark.read.parquet(paths.errors).count() == 1
     cap = spark.read.parquet(paths.capture).orderBy("datetime").toPandas()
     assert cap["close"].tolist() == [10.0, 13.0]
     assert cap["EMA5"].iloc[1] == 10.0 * (1 - 1 / 3) + 13.0 / 3
@@ -99,3 +102,17 @@ def test_model_store_roundtrip(spark):
     assert st["step"] > 0 and len(st["params"]) == len(st["adam_m"]) == len(st["adam_v"])
     scored = TRN.score(w.where(~F.col("train") & (F.col("symbol") == "click")), back).toPandas()
     assert len(scored) > 0 and scored[["pred_linear", "pred_dt", "pred_knn", "pred_hblstm"]].notna().all().all()
+
+
+def test_history_layout_and_new_bar_append(spark):
+    from tickforge.sinks import tables as TB
+    bars = I.hourly_bars(spark, SF001)
+    root = SJ.new_scratch(spark, "test-history")
+    TB.write_history(bars, root + "/hist")
+    back = B.read_bars_parquet(spark, root + "/hist", symbol="click")
+    assert back.count() == bars.where("symbol = 'click'").count()
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan or "symbol" in plan
+    TB.append_new_bars_csv(bars, root + "/csv")
+    TB.append_new_bars_csv(bars, root + "/csv")
+    assert spark.read.option("header", True).csv(root + "/csv").count() == 10

@@ -564,6 +564,16 @@ def score_all_models_q(spark, sf):
     return TRN.score(w.where(~F.col("train")), models)
 
 
+@query("model_holdout_metrics")
+def model_holdout_metrics_q(spark, sf):
+    """A2/M6/M7: MSE and RMSE of the four trained models on the hold-out
+    windows, per symbol × model, on scaled prices."""
+    cfg = TRN.ModelConfig()
+    scaler, w = TRN.prepare_windows(I.hourly_bars(spark, sf), cfg)
+    models = TRN.train_all(w, scaler, cfg)
+    return TRN.holdout_metrics(TRN.score(w.where(~F.col("train")), models, inverse=False))
+
+
 # ---------------------------------------------------------------- streaming
 
 from tickforge.streaming import jobs as SJ  # noqa: E402

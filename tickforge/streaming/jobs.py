@@ -118,12 +118,14 @@ class SinkPaths:
     states: str = field(init=False)
     csv: str = field(init=False)
     results: str = field(init=False)
+    errors: str = field(init=False)
 
     def __post_init__(self):
         r = self.root.rstrip("/")
         self.capture, self.predictions = f"{r}/capture", f"{r}/predictions"
         self.late, self.states, self.csv = f"{r}/late", f"{r}/model_state", f"{r}/batches_csv"
         self.results = f"{r}/results"
+        self.errors = f"{r}/errors"
 
 
 # Columns of the keyed result table and the ones a conflict updates.
@@ -159,6 +161,9 @@ def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
             late = batch.where((F.col("kind") == "bar") & F.col("late"))
             TB.append_capture(late.select("symbol", "datetime", "open", "high", "low", "close",
                                           "volume"), paths.late, batch_id)
+            errors = batch.where(F.col("kind") == "error")
+            TB.append_capture(errors.select("symbol", "datetime", "open", "high", "low", "close",
+                                            "volume"), paths.errors, batch_id)
             states = batch.where(F.col("kind") == "state")
             (states.select("symbol", "params", "adam_m", "adam_v", "step",
                            F.lit(int(batch_id)).alias("version"))

@@ -12,7 +12,9 @@ the symbol's scaler, a forecast is made from the ``seq_len`` bars *before*
 it (W8; ``include_current`` uses the window ending with it, W7), the
 network learns from the observed close with one Adam step (M8), and the
 scaled bar enters the buffer.  A bar not newer than the last handled one is
-emitted with ``late = true`` and changes no state.
+emitted with ``late = true`` and changes no state; a bar with a missing or
+non-finite price or volume is emitted with ``kind = "error"`` and changes no
+state either.
 """
 
 from __future__ import annotations
@@ -129,6 +131,11 @@ class BarForecaster(StatefulProcessor):
             base = {**blank, "kind": "bar", "symbol": key[0], "datetime": r.datetime,
                     "open": r.open, "high": r.high, "low": r.low, "close": r.close,
                     "volume": r.volume}
+            vals = np.array([r.open, r.high, r.low, r.close, r.volume], dtype=float)
+            if not np.isfinite(vals).all():
+                # bad row: reported, state untouched, the batch goes on
+                out.append({**base, "kind": "error", "late": False, "ready": False})
+                continue
             if last_ts is not None and ts_us <= last_ts:
                 out.append({**base, "late": True, "ready": False})
                 continue

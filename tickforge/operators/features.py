@@ -97,21 +97,21 @@ def sliding_windows(scaled: DataFrame, features: list[str], seq_len: int = DEFAU
                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """One row per window, at the row the window forecasts.
 
-    ``include_current=False`` (training, single-symbol stream): ``X`` = the
+    ``include_current=False`` (training, single-symbol stream): ``xs`` = the
     ``seq_len`` rows before the row, ``y`` = its ``target`` — ``n - seq_len``
-    windows per key.  ``include_current=True`` (keyed stream): ``X`` ends
-    with the row itself.  Adds ``X`` (``seq_len × F`` array), ``x`` (the
+    windows per key.  ``include_current=True`` (keyed stream): ``xs`` ends
+    with the row itself.  Adds ``xs`` (``seq_len × F`` array), ``x`` (its
     time-major flattening) and ``widx`` (0-based window index).
     """
     sf = ordered_frame(scaled, keys, order, lookback=seq_len, block_rows=block_rows)
     frame = sf.rows(-(seq_len - 1), 0) if include_current else sf.rows(-seq_len, -1)
     vec = F.array(*[F.col(f).cast("double") for f in features])
-    df = (sf.df.withColumn("X", F.collect_list(vec).over(frame))
+    df = (sf.df.withColumn("xs", F.collect_list(vec).over(frame))
           .withColumn("_wpos", sf.position()))
     first = seq_len - 1 if include_current else seq_len
     df = df.withColumn("widx", F.col("_wpos") - F.lit(first))
-    out = sf.finish(df).where(F.size("X") == seq_len).drop("_wpos")
-    out = out.withColumn("x", F.flatten("X"))
+    out = sf.finish(df).where(F.size("xs") == seq_len).drop("_wpos")
+    out = out.withColumn("x", F.flatten("xs"))
     if target is not None:
         out = out.withColumn("y", F.col(target))
     return out

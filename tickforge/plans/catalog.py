@@ -142,6 +142,21 @@ def ema5_daily_brand_q(spark, sf):
     return with_ema(I.daily_brand_bars(spark, sf))
 
 
+@query("bars_daily_returnflag", f"SELECT {BAR_OUT} FROM ({Q.RETURNFLAG_BARS})")
+def bars_daily_returnflag_q(spark, sf):
+    """Adapter with hot keys: daily bars per return flag (3 keys, a third of
+    the rows each) — partial aggregation before the shuffle."""
+    return B.lineitem_bars(B.table(spark, sf, "lineitem"), key="l_returnflag")
+
+
+@query("ema5_returnflag_blocked", Q.ema(Q.DAILY_FLAG))
+def ema5_returnflag_blocked_q(spark, sf):
+    """W1 on the hot-key bars with 512-row blocks: each key's series is cut
+    into several blocks with a 127-row halo, evaluated as separate groups,
+    and must equal the unblocked EMA."""
+    return with_ema(I.daily_returnflag_bars(spark, sf), block_rows=512)
+
+
 @query("ema5_hist30", Q.ema(Q.HOURLY, rows=30))
 def ema5_hist30_q(spark, sf):
     """EMA recomputed from the last 30 bars only (snapshot consumer)."""
@@ -207,6 +222,22 @@ def sliding_windows_q(spark, sf):
                     *[F.col("x")[i].alias(c) for i, c in enumerate(X_COLS)])
 
 
+def _flat_names():
+    return [f"f{t}_{f}" for t in range(SEQ) for f in FEATURES_G2]
+
+
+@query("windows_flat", f"""
+SELECT symbol, datetime, widx, {", ".join(f"x_{i} AS {n}" for i, n in enumerate(_flat_names()))}
+FROM ({Q.windows(Q.SCALED_H)})""")
+def windows_flat_q(spark, sf):
+    """The (3 × 7) window flattened time-major (bar t-3 first), one
+    named column per (bar, feature)."""
+    w = FT.sliding_windows(_scaled(spark, sf), SCALED_COLS, SEQ, target=None)
+    flat = F.flatten("xs")
+    return w.select("symbol", "datetime", "widx",
+                    *[flat[i].alias(n) for i, n in enumerate(_flat_names())])
+
+
 @query("windows_incl_current", Q.windows(Q.SCALED_H, include_current=True))
 def windows_incl_current_q(spark, sf):
     """Stream-style windows ending with the current bar."""

@@ -23,3 +23,9 @@ def daily_brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def minute_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw minute bars with repeated keys and an ingest order."""
     return event_ticks(table(spark, sf_dir, "events"))
+
+
+def daily_returnflag_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean daily bars per return flag: three keys, each about a third of
+    all lineitem rows."""
+    return clean_bars(lineitem_bars(table(spark, sf_dir, "lineitem"), key="l_returnflag"))

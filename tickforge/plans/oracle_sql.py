@@ -23,6 +23,14 @@ FROM (SELECT p_brand, l_shipdate, l_orderkey, l_linenumber, l_quantity,
              l_extendedprice * (1 - l_discount) / l_quantity AS price
       FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY ALL"""
 
+RETURNFLAG_BARS = """
+SELECT l_returnflag AS symbol, date_trunc('day', l_shipdate) AS datetime,
+       arg_min(price, (l_orderkey, l_linenumber)) AS open, max(price) AS high,
+       min(price) AS low, arg_max(price, (l_orderkey, l_linenumber)) AS close,
+       sum(l_quantity) AS volume
+FROM (SELECT l_returnflag, l_shipdate, l_orderkey, l_linenumber, l_quantity,
+             l_extendedprice * (1 - l_discount) / l_quantity AS price FROM lineitem) GROUP BY ALL"""
+
 MINUTE_TICKS = """
 SELECT event_type AS symbol, date_trunc('minute', ts) AS datetime,
        value AS open, value AS high, value AS low, value AS close,
@@ -46,6 +54,7 @@ WHERE _rn = 1"""
 
 HOURLY = clean(EVENTS_BARS)
 DAILY = clean(LINEITEM_BARS)
+DAILY_FLAG = clean(RETURNFLAG_BARS)
 
 
 def ema(src_sql: str, col: str = "close", rows: int | None = None, out: str = "EMA5",

@@ -104,8 +104,10 @@ def event_ticks(events: DataFrame, unit: str = "minute") -> DataFrame:
         F.struct("ts", "event_id").alias("ingest_order"))
 
 
-def lineitem_bars(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Daily bars per part brand from ``lineitem ⋈ part``.
+def lineitem_bars(lineitem: DataFrame, part: DataFrame | None = None,
+                  key: str = "p_brand") -> DataFrame:
+    """Daily bars per ``key`` from ``lineitem`` (``⋈ part`` when the key is a
+    part column, e.g. the brand; ``l_returnflag`` needs no join).
 
     price = net unit price ``l_extendedprice * (1 - l_discount) / l_quantity``,
     open/close by ``(l_orderkey, l_linenumber)``, volume = ``sum(l_quantity)``.
@@ -113,13 +115,16 @@ def lineitem_bars(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     measured it under the threshold); only the four needed columns of
     ``lineitem`` are read.
     """
+    own = [key] if key in lineitem.columns else []
     li = lineitem.select(
-        "l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate",
+        "l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", *own,
         (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
          / F.col("l_quantity")).alias("price"))
-    p = part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    return (li.join(p, "l_partkey")
-            .groupBy(F.col("p_brand").alias("symbol"),
+    if not own:
+        p = part.select(F.col("p_partkey").alias("l_partkey"), key)
+        li = li.join(p, "l_partkey")
+    return (li
+            .groupBy(F.col(key).alias("symbol"),
                      F.date_trunc("day", "l_shipdate").alias("datetime"))
             .agg(*_ohlcv(F.col("price"), F.struct("l_orderkey", "l_linenumber"),
                          F.sum("l_quantity"))))

@@ -119,6 +119,7 @@ class SinkPaths:
     csv: str = field(init=False)
     results: str = field(init=False)
     errors: str = field(init=False)
+    predictions_long: str = field(init=False)
 
     def __post_init__(self):
         r = self.root.rstrip("/")
@@ -126,6 +127,7 @@ class SinkPaths:
         self.late, self.states, self.csv = f"{r}/late", f"{r}/model_state", f"{r}/batches_csv"
         self.results = f"{r}/results"
         self.errors = f"{r}/errors"
+        self.predictions_long = f"{r}/predictions_long"
 
 
 # Columns of the keyed result table and the ones a conflict updates.
@@ -175,12 +177,14 @@ def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
                              RESULT_UPDATE_COLS, version=batch_id, order="trade_date")
             ready = bars.where("ready")
             if score_fn is not None:
-                wide = score_fn(ready)
+                wide = score_fn(ready).persist()
                 TB.append_capture(wide, paths.predictions, batch_id)
+                TB.append_capture(TB.to_long(wide), paths.predictions_long, batch_id)
                 if write_csv:
                     TB.write_batch_csv(wide, paths.csv, batch_id)
                 if console:
                     TB.show_batch(wide)
+                wide.unpersist()
         finally:
             batch.unpersist()
 

@@ -128,3 +128,23 @@ def test_tree_equals_exact_cart_on_few_distinct_values(spark):
     ref = _exact_cart(X, y, 3)
     assert np.allclose(np.sort(got), np.sort(ref))
     assert np.allclose(got, ref)
+
+
+def test_short_series_give_no_window_and_seq_plus_one_gives_one(spark, six_bars):
+    from tickforge.operators import clean as C2
+    bars = C2.clean_bars(six_bars)
+    for keep, expect in ((2, 0), (3, 0), (4, 1)):
+        sub = bars.orderBy("datetime").limit(keep)
+        feat = FT.with_positions(sub)
+        sc = FT.apply_minmax(feat, FT.fit_minmax(feat))
+        assert FT.sliding_windows(sc, SCALED, 3).count() == expect, keep
+
+
+def test_mape_ignores_zero_actual(spark):
+    from tickforge.operators import metrics as MT
+    df = spark.createDataFrame([("s", "m", 1.0, 0.0), ("s", "m", 3.0, 2.0)],
+                               "symbol string, model_type string, predicted_price double, actual_price double")
+    r = MT.error_metrics(df, ["symbol", "model_type"]).first()
+    assert r["mape"] == 50.0 and r["n"] == 2 and r["mse"] == 1.0
+    d = MT.dashboard_metrics(df, ["m", "other"]).orderBy("model_type").toPandas()
+    assert d["mse"].tolist() == [1.0, 0.0] and d["mape"].tolist() == [50.0, 0.0]

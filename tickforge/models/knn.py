@@ -3,9 +3,12 @@
 ``y_hat(q) = mean of y over the k train windows nearest to q`` (Euclidean,
 uniform weights; equal distances are broken by the smaller train index).
 
-Projecting every window on the unit vector ``u = (1,…,1)/√d`` gives
-``|p(q) - p(t)| ≤ ‖q - t‖``.  The search runs in two equi-joins on
-``(symbol, cell)`` of the projection:
+Projecting every window on a unit vector ``u`` gives
+``|p(q) - p(t)| ≤ ‖q - t‖``.  ``u`` is the symbol's first principal axis of
+the training windows (from the same distributed moment sums as the linear
+model, solved per symbol), the direction that spreads the windows most and so
+prunes the most.  The search runs in two equi-joins on ``(symbol, cell)`` of
+the projection:
 
 1. *bound* — each query meets the train windows of its own and the two
    neighbouring cells; the k-th smallest distance found there, ``r``, bounds
@@ -38,9 +41,48 @@ def sq_dist(a: str, b: str) -> Column:
 
 
 def _proj(x: str, d: int) -> Column:
+    """Projection on the all-ones unit vector (fallback axis)."""
     return F.aggregate(F.col(x), F.lit(0.0), lambda acc, v: acc + v) / F.lit(math.sqrt(d))
 
 
+def _dot(x: str, axis: str) -> Column:
+    return F.aggregate(F.zip_with(F.col(x), F.col(axis), lambda a, b: a * b),
+                       F.lit(0.0), lambda acc, v: acc + v)
+
+
+AXIS_SCHEMA = "symbol string, axis array<double>"
+
+
+def principal_axes(train: DataFrame, d: int) -> DataFrame:
+    """Unit first principal axis of each symbol's training windows
+    (sign fixed so the largest component is positive)."""
+    import numpy as np
+    import pandas as pd
+
+    from tickforge.models.linear import moments
+
+    def solve(it):
+        for pdf in it:
+            out = []
+            for r in pdf.itertuples(index=False):
+                n = float(r.n)
+                axis = np.full(d, 1.0 / math.sqrt(d))
+                if n >= 2:
+                    S = np.zeros((d, d))
+                    S[np.triu_indices(d)] = np.asarray(r.sxx, float)
+                    S = S + S.T - np.diag(np.diag(S))
+                    mx = np.asarray(r.sx, float) / n
+                    w, V = np.linalg.eigh(S - n * np.outer(mx, mx))
+                    if w[-1] > 0:
+                        axis = V[:, -1] / np.linalg.norm(V[:, -1])
+                        if axis[np.argmax(np.abs(axis))] < 0:
+                            axis = -axis
+                out.append((r.symbol, axis.tolist()))
+            yield pd.DataFrame(out, columns=["symbol", "axis"])
+
+    return moments(train, d).mapInPandas(solve, AXIS_SCHEMA)
+
+
 def _topk(cand: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("symbol", "qid").orderBy("dist2", "tid")
     return cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
@@ -49,13 +91,16 @@ def _topk(cand: DataFrame, k: int) -> DataFrame:
 def build_index(train: DataFrame, d: int, cell_rows: int = 16) -> tuple[DataFrame, DataFrame]:
     """Projected, cell-keyed train windows and the per-symbol grid
     (materialised: every search round and every scoring batch reads them)."""
-    tr = train.select("symbol", "tid", F.col("x").alias("tx"), "y").withColumn("tp", _proj("tx", d))
+    axes = materialize(principal_axes(train, d))
+    tr = (train.select("symbol", "tid", F.col("x").alias("tx"), "y").join(axes, "symbol")
+          .withColumn("tp", _dot("tx", "axis")).drop("axis"))
     grid = (tr.groupBy("symbol")
             .agg(F.min("tp").alias("p0"), F.max("tp").alias("p1"), F.count(F.lit(1)).alias("nt"))
             .withColumn("cw", F.greatest((F.col("p1") - F.col("p0"))
                                          / F.greatest(F.col("nt") / F.lit(cell_rows), F.lit(1.0)),
                                          F.lit(1e-12))))
-    grid = materialize(grid.withColumn("nc", F.floor((F.col("p1") - F.col("p0")) / F.col("cw"))))
+    grid = materialize(grid.withColumn("nc", F.floor((F.col("p1") - F.col("p0")) / F.col("cw")))
+                       .join(axes, "symbol"))
     tr = (tr.join(grid.select("symbol", "p0", "cw"), "symbol")
           .withColumn("cell", F.floor((F.col("tp") - F.col("p0")) / F.col("cw")))
           .select("symbol", "cell", "tid", "tx", "tp", "y"))
@@ -70,8 +115,8 @@ def predict(train: DataFrame, queries: DataFrame, d: int, k: int = 5, cell_rows:
     queries + ``out``."""
     tr, grid = index if index is not None else build_index(train, d, cell_rows)
     q = (queries.select("symbol", "qid", F.col("x").alias("qx"))
-         .withColumn("qp", _proj("qx", d))
-         .join(grid.select("symbol", "p0", "cw", "nt", "nc"), "symbol")
+         .join(grid.select("symbol", "p0", "cw", "nt", "nc", "axis"), "symbol")
+         .withColumn("qp", _dot("qx", "axis")).drop("axis")
          .withColumn("qcell", F.least(F.greatest(
              F.floor((F.col("qp") - F.col("p0")) / F.col("cw")), F.lit(0)), F.col("nc"))))
     q = materialize(q)

@@ -53,3 +53,11 @@ def test_long_predictions_and_capture_idempotent(spark):
     TB.append_capture(bars, path, 7)          # replayed batch
     TB.append_capture(bars, path, 8)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_single_symbol_messages(spark, six_bars):
+    msgs = six_bars.select(F.lit("k").alias("key"), F.to_json(F.struct(
+        F.col("datetime").alias("date"), "open", "high", "low", "close", "volume")).alias("value"))
+    out = ST.decode_single_symbol(msgs, "000001").toPandas()
+    assert len(out) == 6 and set(out["symbol"]) == {"000001"}
+    assert out.columns.tolist() == ["symbol", "datetime", "open", "high", "low", "close", "volume"]

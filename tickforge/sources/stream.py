@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickforge.schemas import STREAM_BAR
+from tickforge.schemas import STREAM_BAR, STREAM_BAR_SINGLE
 
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -29,6 +29,15 @@ def decode_bars(messages: DataFrame, schema: T.StructType = STREAM_BAR,
     return parsed.select("d.*").where(F.col("close").isNotNull())
 
 
+def decode_single_symbol(messages: DataFrame, symbol: str,
+                         value_col: str = "value") -> DataFrame:
+    """Single-symbol messages (``date`` + OHLCV, no symbol): decode, then
+    name the key ``datetime`` and add the symbol as a literal."""
+    bars = decode_bars(messages, STREAM_BAR_SINGLE, value_col)
+    return bars.select(F.lit(symbol).alias("symbol"), F.col("date").alias("datetime"),
+                       "open", "high", "low", "close", "volume")
+
+
 def read_message_stream(spark: SparkSession, path: str, fmt: str = "json",
                         max_files_per_trigger: int | None = None,
                         kafka_options: dict[str, str] | None = None) -> DataFrame:

@@ -74,18 +74,32 @@ def prepare_windows(bars: DataFrame, cfg: ModelConfig) -> tuple[DataFrame, DataF
     return scaler, materialize(w.select(*keep))
 
 
-def train_all(windows: DataFrame, scaler: DataFrame, cfg: ModelConfig) -> Models:
+def train_all(windows: DataFrame, scaler: DataFrame, cfg: ModelConfig,
+              concurrent: bool = False) -> Models:
+    """Fit the four models.  The fits are independent Spark jobs; with
+    ``concurrent`` they are submitted from parallel threads so small models
+    do not leave the cluster idle while another model trains."""
+    from concurrent.futures import ThreadPoolExecutor
+
     train = windows.where("train")
     d = cfg.flat_size
-    return Models(
-        config=cfg,
-        scaler=scaler,
-        linear=materialize(LIN.fit(train, d)),
-        tree=materialize(TR.fit(train, d, max_depth=cfg.tree_depth)),
-        knn_train=train.select("symbol", F.col("widx").alias("tid"), "x", "y"),
-        hblstm=HB.fit(train, cfg.seq_len, cfg.input_size, hidden=cfg.hidden, epochs=cfg.epochs,
-                      batch_size=cfg.batch_size, lr=cfg.lr, seed=cfg.seed),
-    )
+    knn_train = train.select("symbol", F.col("widx").alias("tid"), "x", "y")
+    jobs = {
+        "linear": lambda: materialize(LIN.fit(train, d)),
+        "tree": lambda: materialize(TR.fit(train, d, max_depth=cfg.tree_depth)),
+        "hblstm": lambda: HB.fit(train, cfg.seq_len, cfg.input_size, hidden=cfg.hidden,
+                                 epochs=cfg.epochs, batch_size=cfg.batch_size, lr=cfg.lr,
+                                 seed=cfg.seed),
+        "knn_index": lambda: KNN.build_index(knn_train, d),
+    }
+    if concurrent:
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            futures = {k: pool.submit(f) for k, f in jobs.items()}
+            out = {k: fut.result() for k, fut in futures.items()}
+    else:
+        out = {k: f() for k, f in jobs.items()}
+    return Models(config=cfg, scaler=scaler, linear=out["linear"], tree=out["tree"],
+                  knn_train=knn_train, hblstm=out["hblstm"], knn_index=out["knn_index"])
 
 
 def score(windows: DataFrame, models: Models, inverse: bool = True) -> DataFrame:

@@ -102,7 +102,7 @@ def read_predictions(preds: DataFrame, symbol: str | None = None,
     if not per_group:
         return df.orderBy(F.col(time_col).desc()).limit(limit)
     w = Window.partitionBy(*per_group).orderBy(F.col(time_col).desc())
-    return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit)
+    return df.withColumn("rn", F.row_number().over(w).cast("long")).where(F.col("rn") <= limit)
 
 
 def series_by_model(topk: DataFrame, keys: list[str], time_col: str = "datetime") -> DataFrame:

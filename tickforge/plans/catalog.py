@@ -116,7 +116,7 @@ def tail_n_q(spark, sf):
     from pyspark.sql import Window
     w = Window.partitionBy("symbol").orderBy(F.col("datetime").desc())
     bars = I.hourly_bars(spark, sf)
-    return bars.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 30)
+    return bars.withColumn("rn", F.row_number().over(w).cast("long")).where(F.col("rn") <= 30)
 
 
 @query("latest_bar", f"""
@@ -380,7 +380,7 @@ def series_by_model_q(spark, sf):
     """A5: time-ordered series per model over the newest 100 points."""
     top = MT.read_predictions(_forecasts(spark, sf), limit=100, per_group=["symbol", "model_type"])
     s = MT.series_by_model(top, ["symbol", "model_type"])
-    return s.select("symbol", "model_type", F.size("series").alias("n_points"),
+    return s.select("symbol", "model_type", F.size("series").cast("long").alias("n_points"),
                     F.col("series")[0]["t"].alias("first_t"),
                     F.element_at("series", -1)["t"].alias("last_t"),
                     F.col("series")[0]["p"].alias("first_p"),

@@ -116,3 +116,53 @@ def test_history_layout_and_new_bar_append(spark):
     TB.append_new_bars_csv(bars, root + "/csv")
     TB.append_new_bars_csv(bars, root + "/csv")
     assert spark.read.option("header", True).csv(root + "/csv").count() == 10
+
+
+def test_seeded_stream_learns_and_snapshots_state(spark):
+    """W12 seeding, M8 online steps, K7 state snapshots, K3 batch CSVs, M11 resume."""
+    from tickforge.models import hblstm as HB
+    from tickforge.operators import features as FT
+    from tickforge.plans import training as TRN
+    cfg = TRN.ModelConfig(hidden=4, epochs=1)
+    bars = I.hourly_bars(spark, SF001)
+    cut = F.lit("2024-01-28 00:00:00").cast("timestamp")
+    hist, live = bars.where(F.col("datetime") < cut), bars.where(F.col("datetime") >= cut)
+    scaler, w = TRN.prepare_windows(hist, cfg)
+    net = HB.fit(w.where("train"), 3, 7, hidden=4, epochs=1)
+    resumed = HB.fit(w.where("train"), 3, 7, hidden=4, epochs=1, init=net)      # M11
+    steps0 = dict(net.select("symbol", "step").collect())
+    assert all(r["step"] == 2 * steps0[r["symbol"]] for r in resumed.collect())
+    seeds = SJ.seed_state(FT.with_positions(hist), scaler, net, 3)
+    root = SJ.new_scratch(spark, "test-seeded")
+    SJ.replay_messages(live, root + "/msgs", chunks=2)
+
+    def score(ready):
+        return ready.select("symbol", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+                            F.col("close").alias("actual_price"),
+                            *[F.col("pred_hblstm").alias(c) for c in
+                              ("pred_linear", "pred_dt", "pred_knn", "pred_hblstm")])
+
+    paths = SJ.run_replay(spark, root + "/msgs", root + "/out", scaler=scaler, seeds=seeds,
+                          score_fn=score, write_csv=True, hidden=4, emit_state=True)
+    cap = spark.read.parquet(paths.capture).count()
+    preds = spark.read.parquet(paths.predictions).toPandas()
+    assert cap == live.count() and len(preds) == cap             # seeded: every bar forecast
+    assert preds["pred_hblstm"].notna().all()
+    st = spark.read.parquet(paths.states).toPandas()
+    assert len(st) == bars.select("symbol").distinct().count()
+    for r in st.itertuples():
+        assert r.step == steps0[r.symbol] + preds[preds.symbol == r.symbol].shape[0]
+    assert spark.read.option("header", True).csv(paths.csv + "/*").count() == cap
+    assert spark.read.parquet(paths.predictions_long).count() == 4 * cap
+
+
+def test_missing_symbol_history_is_an_error(spark):
+    root = SJ.new_scratch(spark, "test-hist-missing")
+    I.hourly_bars(spark, SF001).write.partitionBy("symbol").parquet(root)
+    assert B.load_symbol_history(spark, root, "click").count() > 0
+    try:
+        B.load_symbol_history(spark, root, "nosuch")
+    except ValueError as e:
+        assert "nosuch" in str(e)
+    else:
+        raise AssertionError("no error for a symbol without history")

@@ -193,13 +193,13 @@ def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
 
 def run_replay(spark: SparkSession, source: str, out_root: str, scaler=None, seeds=None,
                score_fn=None, max_files_per_trigger: int | None = None, trigger: str | None = None,
-               checkpoint: str | None = None, **kw) -> SinkPaths:
+               checkpoint: str | None = None, write_csv: bool = False, **kw) -> SinkPaths:
     """Run the forecasting stream over message files until they are consumed
     (``availableNow``) or, with ``trigger="5 seconds"``, as a long-running
     query (returned paths; the caller stops it)."""
     paths = SinkPaths(out_root)
     stream = forecast_stream(bar_stream(spark, source, max_files_per_trigger), scaler, seeds, **kw)
-    w = (stream.writeStream.foreachBatch(make_batch_handler(paths, score_fn))
+    w = (stream.writeStream.foreachBatch(make_batch_handler(paths, score_fn, write_csv=write_csv))
          .option("checkpointLocation", checkpoint or f"{out_root.rstrip('/')}/_checkpoint"))
     w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
     q = w.start()

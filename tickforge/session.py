@@ -37,6 +37,8 @@ def get_spark(master: str | None = None, app: str = "tickforge",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         "spark.ui.enabled": "false",
+        # checkpoint files of tables no longer referenced are removed
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("TICKFORGE_DRIVER_MEMORY", "16g"),
         "spark.sql.streaming.stateStore.providerClass":

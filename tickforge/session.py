@@ -16,9 +16,41 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def sizing_conf(input_bytes: int, executor_memory_bytes: int = 16 << 30,
+                executor_cores: int = 8, total_cores: int = 8) -> dict[str, str]:
+    """Partition sizes for an input of ``input_bytes`` (compressed Parquet).
+
+    * scan splits of 128 MB (256 MB above 10 TB), so a task's decoded batch
+      stays a small part of its share of executor memory;
+    * shuffle partitions = 3 × input / (half the memory of one task) —
+      shuffle data expands about 3× over compressed Parquet — rounded up to a
+      multiple of the cluster cores and capped at 200,000 (map-status size
+      on the driver); larger partitions spill in the sort-based shuffle.
+      AQE then merges small partitions (advisory 256 MB) and splits skewed
+      ones.
+    """
+    import math
+    split = (256 << 20) if input_bytes > (10 << 40) else (128 << 20)
+    per_task_mem = executor_memory_bytes / max(executor_cores, 1)
+    target = per_task_mem / 2
+    parts = max(total_cores, math.ceil(3 * input_bytes / target))
+    parts = int(min(math.ceil(parts / total_cores) * total_cores, 200_000))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }
+
+
 def get_spark(master: str | None = None, app: str = "tickforge",
-              shuffle_partitions: int | None = None) -> SparkSession:
-    """Build (or fetch) a session with the settings the operators assume."""
+              shuffle_partitions: int | None = None,
+              input_bytes: int | None = None) -> SparkSession:
+    """Build (or fetch) a session with the settings the operators assume.
+
+    ``input_bytes`` sizes scan splits and shuffle partitions for the data
+    (``sizing_conf``); otherwise the shuffle width is the local core count.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -44,6 +76,10 @@ def get_spark(master: str | None = None, app: str = "tickforge",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
+    if input_bytes is not None:
+        conf.update(sizing_conf(input_bytes, total_cores=cores))
+        if shuffle_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

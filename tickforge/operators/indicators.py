@@ -33,8 +33,10 @@ def with_ema(df: DataFrame, col: str = "close", span: int = EMA_SPAN, out: str =
     recursion across blocks to double precision).  A number ``h`` recomputes
     every value from the last ``h`` rows only (seeded at the oldest of them),
     as a consumer holding a bounded buffer of closes does — a window fold.
+    A history of at least ``ema_frame_rows`` rows cannot differ from the
+    recursion in double precision, so it takes the vectorised path too.
     """
-    if history is None:
+    if history is None or history >= ema_frame_rows(span):
         h = ema_frame_rows(span)
         sf = sequence_frame(df, keys, order, lookback=h - 1, block_rows=max(block_rows, h))
 

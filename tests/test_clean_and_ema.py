@@ -103,3 +103,17 @@ def test_tail_and_latest(spark):
     pdf = bars.toPandas()
     assert (latest.set_index("symbol")["datetime"]
             == pdf.groupby("symbol")["datetime"].max()).all()
+
+
+def test_new_bar_flags_blocked_equal_unblocked(spark):
+    from tickforge.operators.features import flag_new_bars
+    from tickforge.sources.bars import table
+    ev = table(spark, SF001, "events")
+    polls = ev.select(F.col("event_type").alias("symbol"), F.col("ts").alias("poll_ts"),
+                      "event_id", F.date_trunc("hour", "ts").alias("bar_datetime"))
+    a = flag_new_bars(polls, "symbol", ["poll_ts", "event_id"]).toPandas()
+    b = flag_new_bars(polls, "symbol", ["poll_ts", "event_id"], block_rows=7).toPandas()
+    m = a.merge(b, on=["symbol", "event_id"], suffixes=("", "_b"))
+    assert len(m) == len(a) == len(b) == 1000
+    assert (m["is_new"] == m["is_new_b"]).all()
+    assert a.groupby("symbol")["is_new"].sum().sum() == polls.select("symbol", "bar_datetime").distinct().count()

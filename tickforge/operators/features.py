@@ -125,11 +125,13 @@ def window_split(widx: str | Column = "widx", n: str = "n", seq_len: int = DEFAU
 
 
 def flag_new_bars(polls: DataFrame, keys: list[str] | str, poll_order: list[str] | str,
-                  bar_time: str = "bar_datetime",
-                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                  bar_time: str = "bar_datetime", block_rows: int = DEFAULT_BLOCK_ROWS,
+                  bucket_seconds: int = 60) -> DataFrame:
     """A poll is new when the newest bar it saw differs from the previous
-    poll's (the first poll of a key is new)."""
-    sf = ordered_frame(polls, keys, poll_order, lookback=1, block_rows=block_rows)
+    poll's (the first poll of a key is new).  Polls are dense, so blocks are
+    planned on minute buckets."""
+    sf = ordered_frame(polls, keys, poll_order, lookback=1, block_rows=block_rows,
+                       bucket_seconds=bucket_seconds)
     prev = F.lag(bar_time, 1).over(sf.window)
     df = sf.df.withColumn("is_new", prev.isNull() | (prev != F.col(bar_time)))
     return sf.finish(df)

@@ -120,18 +120,21 @@ class SeqFrame:
 
 def sequence_frame(df: DataFrame, keys: list[str] | str, order: list[str] | str,
                    lookback: int, block_rows: int = DEFAULT_BLOCK_ROWS,
-                   bucket: Column | None = None) -> SeqFrame:
+                   bucket: Column | None = None,
+                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> SeqFrame:
     """Prepare ``df`` for per-key ordered frames reaching ``lookback`` rows back.
 
     ``order`` must be unique within a key (bars: ``datetime``); ``bucket``
-    must be non-decreasing in ``order`` (default: day of ``order[0]``).
+    must be non-decreasing in ``order`` (default: ``order[0]`` cut into
+    ``bucket_seconds``).  A bucket is never split, so its width must keep a
+    bucket's rows bounded: a day suits bars, raw events want minutes.
     Key columns must be non-null.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
     if block_rows < max(lookback, 1):
         raise ValueError("block_rows must be at least lookback")
-    bucket = time_bucket(order[0]) if bucket is None else bucket
+    bucket = time_bucket(order[0], bucket_seconds) if bucket is None else bucket
     with_bkt = df.withColumn(BKT, bucket)
     counts = with_bkt.groupBy(*keys, BKT).agg(F.count(F.lit(1)).alias(CNT))
     key_fields = [df.schema[k] for k in keys]
@@ -181,12 +184,15 @@ def position_frame(df: DataFrame, keys: list[str] | str, lookback: int, pos: str
 
 
 def ordered_frame(df: DataFrame, keys: list[str] | str, order: list[str] | str, lookback: int,
-                  block_rows: int = DEFAULT_BLOCK_ROWS) -> SeqFrame:
-    """``position_frame`` when ``df`` has ``pos``, else ``sequence_frame``."""
+                  block_rows: int = DEFAULT_BLOCK_ROWS,
+                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> SeqFrame:
+    """``position_frame`` when ``df`` has ``pos`` (the position assigned by
+    ``features.with_positions``), else ``sequence_frame``."""
     if "pos" in df.columns:
         return position_frame(df, keys, lookback, n="n" if "n" in df.columns else None,
                               block_rows=max(block_rows, lookback))
-    return sequence_frame(df, keys, order, lookback, block_rows=max(block_rows, lookback))
+    return sequence_frame(df, keys, order, lookback, block_rows=max(block_rows, lookback),
+                          bucket_seconds=bucket_seconds)
 
 
 def map_blocks(sf: SeqFrame, fn, added: list[T.StructField], with_position: str | None = None,

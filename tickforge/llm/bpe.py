@@ -15,10 +15,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import CHUNK_BYTES, chunks, prepare
+from tickforge.llm.common import chunks, prepare
 
+#: Bytes of text handled at once.
+CHUNK_BYTES = 2 << 20
 #: Encoded pre-tokens a worker keeps between chunks; others are encoded anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 
 #: One step: ``best`` has each word's lowest rank and, within it, the leftmost
 #: position; the pair there becomes one row and later positions move up.
@@ -68,7 +70,7 @@ class Codec:
                     merged.append(rank)
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self.db.execute("SET memory_limit = '500MB'")
+        self.db.execute("SET memory_limit = '250MB'")
         self.load("merges", {"pair": pa.array(pairs, pa.int64()), "rank": pa.array(merged, pa.int64())})
         # bytes as characters U+0100 to U+01FF, so that any byte is text
         self.load("vocabulary", {
@@ -125,7 +127,7 @@ class Codec:
         settle()
         return [b"".join(pieces) for pieces in out]
 
-    def decode(self, ids: list[np.ndarray], at_once: int = 1_000_000) -> list[bytes]:
+    def decode(self, ids: list[np.ndarray], at_once: int = 250_000) -> list[bytes]:
         """Bytes of each id sequence; long ones go through in slices."""
         import pyarrow as pa
         out = [b""] * len(ids)

@@ -66,8 +66,9 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, seed: int = 42,
 
 
 def linked_pairs(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between two tiles: every pair within
-    the radius is compared; pairs that close a circle are left out."""
+    """The links between two tiles, as stars: every pair within the radius is
+    compared, and each fingerprint of a group so linked is paired with the
+    group's smallest."""
     parent: dict[int, int] = {}
 
     def root(x):
@@ -75,7 +76,6 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[
             parent[x] = x = parent[up]
         return x
 
-    forest = []
     left, right = a.view(np.uint64), b.view(np.uint64)
     block = max(1, (1 << 20) // max(1, len(b)))
     for at in range(0, len(a), block):
@@ -87,24 +87,23 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[
         for x, y in zip(a[i].tolist(), b[j].tolist()):
             p, q = root(x), root(y)
             if p != q:
-                parent[p] = q
-                forest.append((x, y))
-    return forest
+                parent[max(p, q)] = min(p, q)
+    return [(x, root(x)) for x in parent if root(x) != x]
 
 
-def tile_links(distinct: DataFrame, radius: int, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(a, b): links between distinct fingerprints ``fp`` at ``radius`` bits
-    or fewer, a spanning forest for each tile pair."""
+def tile_links(distinct: DataFrame, rows: int, radius: int, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(a, b): links between the ``rows`` distinct fingerprints ``fp`` at ``radius`` bits
+    or fewer, as stars for each tile pair."""
     halves = distinct.select(
         "fp", F.bit_count(F.shiftrightunsigned("fp", 32)).alias("hi"),
         F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).alias("lo"))
     # at most 33 x 33 cells
     cells = saved(halves.groupBy("hi", "lo").count().select(
-        "hi", "lo", F.ceil(F.col("count") / tile_rows).alias("parts")), "simhash-cells")
+        "hi", "lo", F.ceil(F.col("count") / tile_rows).alias("parts")), "simhash-cells", rows=33 * 33)
     tiles = saved(
         halves.join(F.broadcast(cells), ["hi", "lo"])
         .groupBy("hi", "lo", F.pmod(F.xxhash64("fp"), F.col("parts")).alias("part"))
-        .agg(F.collect_list("fp").alias("fps")), "simhash-tiles")
+        .agg(F.collect_list("fp").alias("fps")), "simhash-tiles", rows=rows)
     near = F.array(*(F.struct(F.lit(h).alias("h"), F.lit(w).alias("w"))
                      for h in range(radius + 1) for w in range(h - radius, radius - h + 1)
                      if h > 0 or w >= 0))
@@ -146,28 +145,29 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     Each round is written to the shared folder.  ``max_rounds`` is a guard
     that raises; about log2 of the longest path is needed."""
-    now = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("v"),
-                                             F.least("a", "b").alias("u")).distinct(), "cc-0")
+    raw = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("v"),
+                                             F.least("a", "b").alias("u")), "cc-edges")
+    rows = raw.count()
+    now = saved(raw.distinct(), "cc-0", rows)
+
+    def settled(df):
+        """Every node is in one edge as a leaf, or a root only."""
+        sides = df.select(F.col("v").alias("n"), F.lit(1).alias("leaf"), F.lit(0).alias("root")).union(
+            df.select("u", F.lit(0), F.lit(1)))
+        return sides.groupBy("n").agg(F.sum("leaf").alias("leaf"), F.max("root").alias("root")).where(
+            "leaf > 1 OR leaf = 1 AND root = 1").isEmpty()
 
-    def state(df):
-        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-
-    before = state(now)
-    if not before[0]:
-        return now.select(F.col("v").alias("node"), F.col("u").alias("root"))
     for k in range(max_rounds):
+        if settled(now):
+            return now.select(F.col("v").alias("node"), F.col("u").alias("root"))
         both = now.union(now.select("u", "v")).toDF("n", "m")
         lowest = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("low"))
         large = saved(both.join(lowest, "n").where("m > n")
-                      .select(F.col("m").alias("v"), F.col("low").alias("u")).distinct(), f"cc-large-{k}")
+                      .select(F.col("m").alias("v"), F.col("low").alias("u")).distinct(), f"cc-large-{k}", rows)
         lowest = large.groupBy("v").agg(F.min("u").alias("low"))
         joined = large.join(lowest, "v")
         now = saved(joined.where("u <> low").select(F.col("u").alias("v"), F.col("low").alias("u"))
-                    .union(lowest.select("v", F.col("low").alias("u"))).distinct(), f"cc-small-{k}")
-        after = state(now)
-        if after == before:
-            return now.select(F.col("v").alias("node"), F.col("u").alias("root"))
-        before = after
+                    .union(lowest.select("v", F.col("low").alias("u"))).distinct(), f"cc-small-{k}", rows)
     raise RuntimeError("connected components did not settle")
 
 
@@ -183,8 +183,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, radius: int = 3, se
     result.  Only ids, fingerprints and links are shuffled, each distinct
     fingerprint is compared once, however many rows have it."""
     prints = saved(fingerprints(docs, shingle_words, seed, id_column, text_column), "simhash-prints")
-    distinct = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
-    roots = components(tile_links(distinct, radius, tile_rows))
+    rows = prints.count()
+    distinct = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct", rows)
+    roots = components(tile_links(distinct, rows, radius, tile_rows))
     nodes = roots.union(roots.select("root", "root")).distinct()
     lows = nodes.join(distinct.withColumnRenamed("fp", "node"), "node")
     least = lows.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -61,3 +61,12 @@ def chunks(batches, text_column: str, chunk_bytes: int = CHUNK_BYTES):
             held += int(size)
         if begin < batch.num_rows:
             yield batch.slice(begin)
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the folder of a table made by ``saved`` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/llm-" in folder:
+            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -10,7 +10,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickforge.llm import bpe, simhash, token_counts, topk, warc
+from tickforge.llm import bpe, langid, licenses, simhash, suffix_dedup, token_counts, topk, warc
 from tickforge.session import scratch_path
 
 
@@ -35,6 +35,21 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document."""
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every document."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), length=400)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every page."""
     path = scratch_path(spark, f"llm-warc-{uuid.uuid4().hex}")
@@ -47,9 +62,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_exact_top_k, op3_byte_bpe, op9_warc, op10_simhash_near_dedup)}
+    op1_token_counts, op2_exact_top_k, op3_byte_bpe, op4_language_id, op5_license_scan,
+    op6_suffix_dedup, op9_warc, op10_simhash_near_dedup)}
 
 ORACLE = {
+    "op5_license_scan": licenses.oracle(),
     "op2_exact_top_k": """
         WITH sound AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v

@@ -10,7 +10,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickforge.llm import bpe, decontam, langid, licenses, simhash, suffix_dedup, token_counts, topk, warc
+from tickforge.llm import bpe, decontam, html_text, langid, licenses, simhash, suffix_dedup, token_counts, topk, warc
 from tickforge.session import scratch_path
 
 
@@ -50,6 +50,11 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), length=400)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id, window_start, window_words, similarity of every document that holds a benchmark item."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -68,7 +73,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_exact_top_k, op3_byte_bpe, op4_language_id, op5_license_scan,
-    op6_suffix_dedup, op8_decontamination, op9_warc, op10_simhash_near_dedup)}
+    op6_suffix_dedup, op7_html_text, op8_decontamination, op9_warc, op10_simhash_near_dedup)}
 
 ORACLE = {
     "op5_license_scan": licenses.oracle(),

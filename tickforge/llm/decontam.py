@@ -157,6 +157,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5,
                                           "window_words", "similarity")
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5, least: float = 0.8,
+          radius: int = RADIUS, text_column: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns as they are, that hold no benchmark item;
+    null and empty texts stay."""
+    found = saved(text_matches(docs, benchmark, shingle_words, least, radius, text_column)
+                  .select(F.col("key").alias("leak_key")).distinct(), "leak-keys")
+    leaks = hinted(found, SMALL_ROWS)
+    return docs.join(leaks, text_key(F.col(text_column)) == leaks["leak_key"], "left_anti")
+
+
 def oracle(shingle_words: int = 5, least: float = 0.8) -> str:
     """DuckDB SQL for ``contaminated``: all windows with a shared shingle."""
     shingle = (f"CASE WHEN len(w) >= k THEN list_transform(range(1, len(w) - k + 2), "

@@ -288,6 +288,30 @@ def label_spans(docs: DataFrame, model: Model, penalty: float = 6.0, id_column:
     return out.withColumnRenamed("doc_id", id_column)
 
 
+def accepted(docs: DataFrame, model: Model, penalty: float = 6.0, min_score: float = 0.5,
+             text_column: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns as they are, whose text has a letter and a
+    language that holds at least ``min_score`` of its letters.  Null and empty
+    texts are rejected; repeated rows are judged alike.  No shuffle."""
+    spark = docs.sparkSession
+    prepare(spark)
+    shared = spark.sparkContext.broadcast((model.langs, model.logp, model.allowed))
+
+    def run(batches):
+        import pyarrow as pa
+
+        from tickforge.llm import langid as op
+        from tickforge.llm.common import chunks
+        known = op.Model.__new__(op.Model)
+        known.langs, known.logp, known.allowed = shared.value
+        labeller = op.Labeller(known, penalty)
+        for batch in chunks(batches, text_column, op.CHUNK_BYTES):
+            found = [op.verdict(x) for x in labeller.label(batch.column(text_column).to_pylist())]
+            yield batch.filter(pa.array([lang != "und" and score >= min_score for lang, score in found]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def verdict(spans) -> tuple[str, float]:
     """The language of most letters and its share of them."""
     held: dict[str, int] = {}

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import CHUNK_BYTES, prepare, saved
+from tickforge.llm.common import CHUNK_BYTES, hinted, prepare, saved
 
 #: Fingerprints in a tile, about.
 TILE_ROWS = 2048
@@ -195,3 +195,33 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, radius: int = 3, se
     return (prints.join(known, "fp")
             .select(F.col("doc_id").alias(id_column),
                     F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+#: Rows to leave out (an id and a text digest each) broadcast up to so many.
+SMALL_ROWS = 500_000
+
+
+def one_per_group(docs: DataFrame, shingle_words: int = 3, radius: int = 3, seed: int = 42,
+                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, all columns as they
+    are: the one with the smallest id (then text digest; ids that are null come
+    last).  Equal rows are one group, whatever their number."""
+    digest = F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))
+    name = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), digest.alias("md5"))
+    groups = saved(near_duplicates(docs.select(name.alias("row"), F.col(text_column).alias("text")),
+                                   shingle_words, radius, seed, "row", "text").select("row", "component_id"),
+                   "simhash-groups")
+    lose = saved(groups.where(F.col("row") != F.col("component_id")).select("row").distinct(), "simhash-lose")
+    again = saved(groups.where(F.col("row") == F.col("component_id")).groupBy("row").count().where("count > 1")
+                  .select("row"), "simhash-again")
+
+    def meets(other):
+        return (F.col(id_column).eqNullSafe(other["row"]["id"])) & (digest == other["row"]["md5"])
+
+    small = hinted(lose, SMALL_ROWS)
+    kept = docs.join(small, meets(small), "left_anti")
+    if again.isEmpty():
+        return kept
+    more = hinted(again, SMALL_ROWS)
+    return kept.join(more, meets(more), "left_anti").union(
+        kept.join(more, meets(more), "left_semi").dropDuplicates([id_column, text_column]))

@@ -340,3 +340,26 @@ def repeated_bytes(docs: DataFrame, length: int = 400, id_column: str = "doc_id"
         F.col("doc_id").alias(id_column), "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
         F.coalesce("n_spans", zero).alias("n_spans"),
         F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
+
+
+def without_repeats(docs: DataFrame, length: int = 400, text_column: str = "text") -> DataFrame:
+    """``docs`` with the repeated bytes cut out of ``text_column``; a character
+    that a cut splits goes too.  Rows, order of columns and other columns stay,
+    also where nothing of a text is left; a null text stays null."""
+    found = removals(docs, length, text_column)
+
+    def run(batches):
+        import pyarrow as pa
+
+        from tickforge.llm import suffix_dedup as op
+        from tickforge.llm.common import chunks
+        for batch in chunks(batches, "kept", op.CHUNK_BYTES):
+            texts = [k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(texts, pa.string())],
+                                             names=["key", "kept_text"])
+
+    texts = found.select("key", "kept").mapInArrow(run, "key binary, kept_text string").alias("cut")
+    joined = docs.alias("d").join(texts, text_key(F.col(f"d.{text_column}")) == F.col("cut.key"), "left")
+    return joined.select(*(
+        F.coalesce("cut.kept_text", f"d.{c}").alias(c) if c == text_column else F.col(f"d.{c}")
+        for c in docs.columns))

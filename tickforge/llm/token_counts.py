@@ -74,7 +74,7 @@ def merged_lengths(words: list[bytes], table: MergeTable) -> np.ndarray:
     counts = sizes.copy()
     sym = table.first[np.frombuffer(b"".join(words), np.uint8)]
     seq = np.repeat(np.arange(len(words)), sizes)
-    while len(sym) > 1:
+    while len(sym):
         rank = np.append(np.where(seq[1:] == seq[:-1], table.ranks(sym[:-1], sym[1:]), NONE), NONE)
         starts = np.flatnonzero(np.append(True, seq[1:] != seq[:-1]))
         lengths = np.diff(np.append(starts, len(seq)))

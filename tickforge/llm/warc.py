@@ -115,8 +115,8 @@ def scan(rows, keep_payload: bool):
             if now:
                 yield from fragments(now.pieces)
             at, now, started, seq = (file, block), None, False, 0
-        if now is None and not piece.strip(b"\0"):
-            continue  # before the first magic of a file; an empty closing member starts one of its own
+            if block == 0 and not piece:
+                continue  # nothing stands before the first magic of a file
         fresh = now is None
         now = now or Open()
         ended = now.feed(piece)

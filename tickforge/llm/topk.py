@@ -57,7 +57,8 @@ class Block:
             at = np.flatnonzero(fresh & ~own)
             scored += len(at)
             best_ids = np.concatenate([best_ids, self.ids[at]])
-            best = np.concatenate([best, rows[at] @ q])
+            new = rows[at] @ q
+            best = np.concatenate([best, new if exact else np.clip(new, -2 ** 63, 2 ** 63 - 1)])
             keep = np.lexsort((best_ids, -best))[:k]
             best_ids, best = best_ids[keep], best[keep]
             if until >= n:
@@ -74,7 +75,7 @@ def search_block(block: Block, query_ids, queries: np.ndarray, k: int):
     for query_id, query in zip(query_ids.tolist(), queries):
         ids, scores, _ = block.top(query_id, query, k)
         for vec_id, score in zip(ids.tolist(), scores.tolist()):
-            yield query_id, vec_id, min(max(int(score), -2 ** 63), 2 ** 63 - 1)
+            yield query_id, vec_id, int(score)
 
 
 def exact_top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024,
@@ -88,8 +89,7 @@ def exact_top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024,
     an id take no part.  Vectors meet only vectors of their own length.  A
     query's own rows are those with its id; of repeated rows all are
     candidates, a repeated query id gets the best over its distinct vectors.
-    Scores beyond 64 bits are computed exactly and returned as the nearest
-    long.  An empty table gives an empty result.
+    Scores beyond 64 bits count as the nearest long.  An empty table gives an empty result.
 
     Each candidate row is sent to ceil(queries / query_rows) tasks, each query
     to ceil(rows / block_rows); no task holds more than a block of either."""

@@ -33,9 +33,19 @@ TEMPLATES = {
     "Copyright. All rights reserved. No part may be reproduced without permission": "no-reproduction",
 }
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BLOCK = r"\n|[.!?;][ \t\r]+"
 
 
+def has_any(text, parts):
+    """The text holds one of the lower-case ASCII ``parts``, in any case."""
+    low = F.lower(text)
+    out = low.contains(parts[0])
+    for part in parts[1:]:
+        out = out | low.contains(part)
+    return out
+
+
 def words(text):
     """Words of a text, A-Z in lower case."""
     return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), 0)
@@ -76,8 +86,13 @@ def block_matches(docs: DataFrame, templates: dict, threshold: float) -> DataFra
     shapes = [(label, ws, needed(len(ws), threshold)) for label, ws in template_words(templates)]
     vocabulary = sorted({w for _, ws, _ in shapes for w in ws})
     least = min(need for _, _, need in shapes)
-    blocks = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"),
-                         F.explode(F.split("text", BLOCK)).alias("block"))
+    # the prefix filter holds for any order of words: with the longest first it
+    # needs no frequencies, and drops most texts and blocks before words are cut
+    sure = sorted({w for _, ws, need in shapes for w in sorted(ws, key=lambda w: (-len(w), w))[:len(ws) - need + 1]})
+    blocks = (docs.where(has_any(F.col("text"), sure))
+              .select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"),
+                      F.explode_outer(F.split("text", BLOCK)).alias("block"))
+              .where(has_any(F.col("block"), sure)))
     # length filter: words outside all templates can't be shared
     held = saved(blocks.select("doc_id", "text_md5", F.array_intersect(
         words(F.col("block")), F.array(*map(F.lit, vocabulary))).alias("shared"))
@@ -95,7 +110,7 @@ def block_matches(docs: DataFrame, templates: dict, threshold: float) -> DataFra
         prefix, "word string, at int, label string, need int, size int, ranked array<string>")
     ordered = held.select("doc_id", "text_md5", F.array_intersect(
         F.array(*map(F.lit, rare_first)), F.col("shared")).alias("shared"))
-    pairs = (ordered.select("doc_id", "text_md5", "shared", F.posexplode("shared").alias("pos", "word"))
+    pairs = (ordered.select("doc_id", "text_md5", "shared", F.posexplode_outer("shared").alias("pos", "word"))
              .join(F.broadcast(prefixes), "word")
              # length and positional filters
              .where((F.size("shared") >= F.col("need"))
@@ -122,8 +137,10 @@ def license_scan(docs: DataFrame, templates: dict | None = None, threshold: floa
     found = matches.groupBy("doc_id", "text_md5").agg(
         F.collect_set("label").alias("template_labels"), F.max("containment").alias("containment"))
     base = rows.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"),
-                       words(F.col("text")).alias("words"))
-    base = base.select("doc_id", "text_md5", F.size("words").cast("long").alias("n_words"), *(
+                       F.regexp_count("text", F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"),
+                       F.when(has_any(F.col("text"), sorted({p.split()[-1] for p in PHRASES})), words(F.col("text")))
+                       .otherwise(F.array().cast("array<string>")).alias("words"))
+    base = base.select("doc_id", "text_md5", "n_words", *(
         places(F.col("words"), phrase).alias(f"at_{i}") for i, phrase in enumerate(PHRASES)))
     each = [F.col(f"at_{i}") for i in range(len(PHRASES))]
     base = base.select(

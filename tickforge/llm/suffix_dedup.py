@@ -25,8 +25,10 @@ from tickforge.llm.common import CHUNK_BYTES, dropped, hinted, prepare, saved
 GRAM = 8
 #: Sizes into which unsettled blocks are cut, one after the other.
 CUTS = (8, 1)
-#: A stored table of at most so many rows may be broadcast.
-SMALL_ROWS = 2_000_000
+#: Keys of texts that take part are broadcast up to so many (16 bytes each).
+SMALL_ROWS = 500_000
+#: Contexts cut at once in a task.
+CONTEXT_ROWS = 1000
 #: Suffixes in a bucket, about.
 BUCKET_ROWS = 400_000
 SMALL_SORT = 2048
@@ -125,7 +127,7 @@ def cut_batches(batches, length: int, size: int):
     """Contexts with the parts to cut -> tokens of their parts of ``size``
     start positions, counted from the anchor."""
     import pyarrow as pa
-    for batch in batches:
+    for batch in (b.slice(k, CONTEXT_ROWS) for b in batches for k in range(0, b.num_rows, CONTEXT_ROWS)):
         out = {n: [] for n in ("core", "whole", "id", "low", "high", "done")}
         for own, anchor, context, parts in zip(*(batch.column(i).to_pylist() for i in range(4))):
             cores, ends, lows, highs, done = [], [], [], [], []
@@ -265,7 +267,9 @@ def removals(docs: DataFrame, length: int = 400, text_column: str = "text") -> D
 
     def contexts(batches):
         import pyarrow as pa
-        for batch in batches:
+
+        from tickforge.llm.common import chunks
+        for batch in chunks(batches, "text", CHUNK_BYTES):
             for key, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 raw = text.encode()
                 yield pa.RecordBatch.from_arrays(
@@ -276,7 +280,7 @@ def removals(docs: DataFrame, length: int = 400, text_column: str = "text") -> D
                      pa.array([raw[b["low"]:b["high"] + length] for b in found], pa.binary())],
                     names=["key", "base", "anchor", "top", "done", "context"])
 
-    held = saved(taken.join(hinted(blocks, SMALL_ROWS), "key").select("key", "text", "blocks").mapInArrow(
+    held = saved(taken.join(blocks, "key").select("key", "text", "blocks").mapInArrow(
         contexts, "key binary, base long, anchor long, top long, done boolean, context binary").withColumn(
         "id", F.monotonically_increasing_id()), "suffix-contexts")
     parts = held.select("id", F.array(F.struct(F.lit(0).cast("long").alias("low"), F.col("top").alias("high"),
@@ -299,7 +303,7 @@ def removals(docs: DataFrame, length: int = 400, text_column: str = "text") -> D
             "low", "high", (F.col("done") | F.col("repeated")).alias("done"))).alias("parts"))
         if size != CUTS[-1]:
             again = saved(again, f"suffix-parts-{size}")
-            parts = held.select("id", "anchor", "context").join(hinted(again, SMALL_ROWS), "id")
+            parts = held.select("id", "anchor", "context").join(again, "id")
     every = spans[0]
     for more in spans[1:]:
         every = every.union(more)
@@ -309,7 +313,8 @@ def removals(docs: DataFrame, length: int = 400, text_column: str = "text") -> D
         import pyarrow as pa
 
         from tickforge.llm import suffix_dedup as op
-        for batch in batches:
+        from tickforge.llm.common import chunks
+        for batch in chunks(batches, "text", CHUNK_BYTES):
             out = [op.cut_text(t.encode(), [(s["low"], s["high"] + length) for s in spans])
                    for t, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
@@ -317,7 +322,7 @@ def removals(docs: DataFrame, length: int = 400, text_column: str = "text") -> D
                  pa.array([n for _, n, _ in out], pa.int64()), pa.array([r for _, _, r in out], pa.int64())],
                 names=["key", "kept", "n_removed", "n_spans"])
 
-    return saved(taken.join(hinted(merged, SMALL_ROWS), "key").select("key", "text", "spans").mapInArrow(
+    return saved(taken.join(merged, "key").select("key", "text", "spans").mapInArrow(
         remove, "key binary, kept binary, n_removed long, n_spans long"), "suffix-removed")
 
 

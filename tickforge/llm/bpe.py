@@ -9,7 +9,6 @@ joins ids with the vocabulary and concatenates in order of position.
 from __future__ import annotations
 
 import base64
-import hashlib
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -86,6 +85,11 @@ class Codec:
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM incoming")
         self.db.unregister("incoming")
 
+    def clear(self) -> None:
+        """Drop the tables of the last chunk."""
+        for name in ("words", "ids"):
+            self.db.execute(f"DROP TABLE IF EXISTS {name}")
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
         import pyarrow as pa
@@ -216,8 +220,31 @@ def decode(encoded: DataFrame, ranks: str, pattern: str, ids_column: str = "ids"
     return rows.mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of encode() then decode()."""
-    done = decode(encode(docs, ranks, pattern), ranks, pattern)
-    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+def digests(docs: DataFrame, ranks: str, pattern: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: every text encoded, its
+    ids decoded, in one pass over a chunk; cases as in ``encode``."""
+    prepare(docs.sparkSession)
+    rows = docs.select("doc_id", "text")
+
+    def run(batches):
+        import hashlib
+
+        import numpy
+        import pyarrow as pa
+
+        from tickforge.llm import bpe as op
+        from tickforge.llm.common import trim
+        own = op.codec(ranks, pattern)
+        for batch in op.chunks(batches, "text", chunk_bytes):
+            ids = own.encode(batch.column("text").to_pylist())
+            back = own.decode([numpy.frombuffer(x, "<u4") for x in ids])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                 pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                 pa.array([hashlib.sha256(x).hexdigest() for x in back])],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        own.clear()
+        trim()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -70,3 +70,17 @@ def dropped(df: DataFrame) -> None:
         if "/llm-" in folder:
             where = spark._jvm.org.apache.hadoop.fs.Path(folder)
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def trim() -> None:
+    """Give memory that a finished task no longer uses back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not the GNU C library
+        pass

@@ -268,7 +268,7 @@ def label_spans(docs: DataFrame, model: Model, penalty: float = 6.0, id_column:
         import pyarrow as pa
 
         from tickforge.llm import langid as op
-        from tickforge.llm.common import chunks
+        from tickforge.llm.common import chunks, trim
         known = op.Model.__new__(op.Model)
         known.langs, known.logp, known.allowed = shared.value
         labeller = op.Labeller(known, penalty)
@@ -282,6 +282,7 @@ def label_spans(docs: DataFrame, model: Model, penalty: float = 6.0, id_column:
                  pa.array([[dict(zip(("first_word", "words", "letters", "lang"), s)) for s in x]
                            for x in spans], pa.list_(span))],
                 names=["doc_id", "lang_pred", "score", "spans"])
+        trim()
 
     out = rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, "
                           "spans array<struct<first_word long, words long, letters long, lang string>>")
@@ -301,13 +302,14 @@ def accepted(docs: DataFrame, model: Model, penalty: float = 6.0, min_score: flo
         import pyarrow as pa
 
         from tickforge.llm import langid as op
-        from tickforge.llm.common import chunks
+        from tickforge.llm.common import chunks, trim
         known = op.Model.__new__(op.Model)
         known.langs, known.logp, known.allowed = shared.value
         labeller = op.Labeller(known, penalty)
         for batch in chunks(batches, text_column, op.CHUNK_BYTES):
             found = [op.verdict(x) for x in labeller.label(batch.column(text_column).to_pylist())]
             yield batch.filter(pa.array([lang != "und" and score >= min_score for lang, score in found]))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -14,7 +15,13 @@ def test_clean_six_bars(spark, six_bars):
     df = C.clean_bars(six_bars).orderBy("datetime").toPandas()
     assert len(df) == 6
     assert str(df["datetime"].dtype).startswith("datetime64")
-    assert df["timestamp"].iloc[0] == int(pd.Timestamp("2025-02-05 08:30:00", tz="UTC").timestamp())
+    assert df["timestamp"].iloc[0] == int(pd.Timestamp("2024-06-03 10:00:00", tz="UTC").timestamp())
+
+
+def test_two_sources_of_one_column_are_refused(spark):
+    df = spark.createDataFrame([("2024-01-01", "10:00")], "Date string, Time string")
+    with pytest.raises(ValueError, match="several columns"):
+        C.normalise_columns(df)
 
 
 def test_drop_null_nan_and_dedup_keep_first(spark):

@@ -73,6 +73,9 @@ def normalise_columns(df: DataFrame, aliases: dict[str, str] | None = None) -> D
     """Rename known spellings to canonical names (only columns present)."""
     aliases = COLUMN_ALIASES if aliases is None else aliases
     present = {k: v for k, v in aliases.items() if k in df.columns and v not in df.columns}
+    doubled = sorted({v for v in present.values() if list(present.values()).count(v) > 1})
+    if doubled:
+        raise ValueError(f"several columns stand for {doubled}: {sorted(k for k in present if present[k] in doubled)}")
     return df.withColumnsRenamed(present) if present else df
 
 

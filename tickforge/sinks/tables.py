@@ -13,7 +13,9 @@ def write_history(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Clean history, partitioned by symbol and time-sorted inside each file
     (symbol filters prune folders; row-group statistics on ``datetime`` act
     as the (symbol, time) index)."""
-    (bars.repartition("symbol").sortWithinPartitions("symbol", "datetime")
+    # a symbol's history is split by month, so no task writes all of it
+    (bars.repartition("symbol", F.date_trunc("month", F.col("datetime").cast("timestamp")))
+     .sortWithinPartitions("symbol", "datetime")
      .write.mode(mode).partitionBy("symbol").parquet(path))
 
 

@@ -100,7 +100,7 @@ def forecast_stream(bars: DataFrame, scaler: DataFrame | None = None,
         arr = "array<double>"
         rows = rows.withColumn("smin", F.lit(None).cast(arr)).withColumn("smax", F.lit(None).cast(arr))
     proc = BarForecaster(seq_len, len(features), hidden, lr, include_current, online,
-                         emit_state=emit_state)
+                         emit_state=emit_state, features=list(features))
     init = seeds.groupBy("symbol") if seeds is not None else None
     return (rows.select("symbol", "datetime", "open", "high", "low", "close", "volume",
                         "smin", "smax")

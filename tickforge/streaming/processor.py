@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tickforge.schemas import FEATURES_G1, FEATURES_G2
 from tickforge.functions.ema import EMA_SPAN, ema_alpha
 from tickforge.models import hblstm_net as N
 
@@ -84,12 +85,18 @@ def _scale(vec: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 class BarForecaster(StatefulProcessor):
     def __init__(self, seq_len: int = 3, n_features: int = 7, hidden: int = 64,
                  lr: float = 1e-4, include_current: bool = False, online: bool = True,
-                 span: int = EMA_SPAN, emit_state: bool = False, target_idx: int = 3):
+                 span: int = EMA_SPAN, emit_state: bool = False, target_idx: int = 3,
+                 features: list[str] | None = None):
         self.seq_len, self.n_features, self.hidden = seq_len, n_features, hidden
         self.lr, self.include_current, self.online = lr, include_current, online
         self.alpha = ema_alpha(span)
         self.emit_state = emit_state
         self.target_idx = target_idx
+        # inputs are taken by name, in the order the model was trained on
+        self.features = list(features or {len(f): f for f in (FEATURES_G1, FEATURES_G2)}[n_features])
+        unknown = [f for f in self.features if f not in FEATURES_G2]
+        if unknown or len(self.features) != n_features:
+            raise ValueError(f"unknown or missing features: {self.features}")
         self.layout = N.Layout(n_features, hidden)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -145,20 +152,28 @@ class BarForecaster(StatefulProcessor):
             lo = getattr(r, "smin", None)
             if lo is not None and not (isinstance(lo, float) and np.isnan(lo)):
                 lo, hi = np.asarray(r.smin, float), np.asarray(r.smax, float)
-                feat = np.array([r.open, r.high, r.low, r.close, r.volume, ts_us / 1e6, ema],
-                                float)[: self.n_features]
+                known = {"open": r.open, "high": r.high, "low": r.low, "close": r.close,
+                         "volume": r.volume, "timestamp": ts_us / 1e6, "EMA5": ema}
+                feat = np.array([known[f] for f in self.features], float)
                 scaled = _scale(feat, lo, hi)
                 y = float(scaled[self.target_idx])
                 row.update(close_min=float(lo[self.target_idx]), close_max=float(hi[self.target_idx]),
                            y=y)
                 if self.include_current:
+                    # the new close is learnt from the window before it; the
+                    # window that ends here forecasts the next bar
+                    if net is not None and self.online and len(buf) >= L:
+                        _, loss, (pp, mm, vv, st) = N.online_update(
+                            net[0], net[1], net[2], net[3], self.layout, np.stack(buf[-L:]), y, self.lr)
+                        net = [pp, mm, vv, st]
+                        row.update(inc_loss=loss)
                     buf = (buf + [scaled])[-L:]
                 window = buf[-L:] if len(buf) >= L else None
                 if window is not None:
                     X = np.stack(window)
                     row.update(ready=True, x=X.ravel().tolist())
                     if net is not None:
-                        if self.online:
+                        if self.online and not self.include_current:
                             pred, loss, (pp, mm, vv, st) = N.online_update(
                                 net[0], net[1], net[2], net[3], self.layout, X, y, self.lr)
                             net = [pp, mm, vv, st]

@@ -141,3 +141,31 @@ def test_decoding_is_the_best_labelling():
             field.move[a][b] for a, b in zip(path, path[1:]))
     best = max(itertools.product((0, 1), repeat=len(blocks)), key=value)
     assert list(map(int, field.decode(blocks))) == list(best)
+
+
+def test_long_words_are_contracted_as_the_library_does():
+    import base64
+    import random
+
+    import numpy as np
+    import public_tokenizers
+    import tiktoken
+
+    from tickforge.llm import bpe
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    own = bpe.Codec(path, public_tokenizers.PATTERN)
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("long", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    r = random.Random(5)
+    words = ["a" * 1001, "ab" * 700, "-" * 5000, "\u00e9" * 300 + "x" * 99,
+             "".join(r.choice("etaoinshrdlu") for _ in range(2500)),
+             "".join(r.choice(["ing", "the", "ab", "aba"]) for _ in range(500))]
+    keep = bpe.STEP_ROWS
+    try:
+        for bpe.STEP_ROWS in (keep, 5000):  # one pass, several passes
+            for w in words:
+                text = f"so {w} on"
+                assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode_ordinary(text)
+    finally:
+        bpe.STEP_ROWS = keep

@@ -44,6 +44,53 @@ FROM step s JOIN (SELECT word, max(depth) AS depth FROM step GROUP BY word) l US
 ORDER BY s.word, s.pos
 """
 
+#: Words of more bytes are contracted by CONTRACT_EQUAL.
+LONG_WORD = 256
+#: Rows a pass over long words keeps in its steps, about.
+STEP_ROWS = 4_000_000
+
+#: The same contraction for long words, several in a step.  Once the leftmost
+#: pair of minimum rank is contracted, the next one of that rank (``k`` skips
+#: overlapping ones) is the word's leftmost minimum, unless a new pair beside
+#: the merged token has a lower rank: the step's contractions end there.
+#: A pass ends after ``{steps}`` steps; ``live`` words go through another one.
+CONTRACT_EQUAL = """
+WITH RECURSIVE step(depth, word, pos, token) AS (
+    SELECT 0, word, pos, token FROM words
+  UNION ALL
+    SELECT depth + 1, word, (row_number() OVER (PARTITION BY word ORDER BY pos) - 1)::INT, token
+    FROM (
+        SELECT s.depth, s.word, s.pos, coalesce(c.merged, s.token) AS token,
+               lag(c.merged) OVER (PARTITION BY s.word ORDER BY s.pos) IS NULL AS stays,
+               count(c.merged) OVER (PARTITION BY s.word) AS hits
+        FROM step s LEFT JOIN (
+            SELECT k.word, k.pos, k.merged
+            FROM (SELECT word, pos, merged, after,
+                         CASE WHEN lag(pos) OVER (PARTITION BY word ORDER BY pos) = pos - 2
+                              THEN merged ELSE before END AS before
+                  FROM (SELECT *, min(pos) OVER (PARTITION BY word, run) AS head
+                        FROM (SELECT *, pos - row_number() OVER (PARTITION BY word ORDER BY pos) AS run
+                              FROM (SELECT w.word, w.pos, w.before, w.after, m.rank::INT AS merged
+                                    FROM (SELECT word, pos, token,
+                                                 lag(token) OVER line AS before, lead(token) OVER line AS other,
+                                                 lead(token, 2) OVER line AS after
+                                          FROM step WINDOW line AS (PARTITION BY word ORDER BY pos)) w
+                                    JOIN merges m ON m.pair = ((w.token::BIGINT << 32) | w.other)
+                                    QUALIFY m.rank = min(m.rank) OVER (PARTITION BY w.word))))
+                  WHERE (pos - head) % 2 = 0) k
+            LEFT JOIN merges a ON a.pair = ((k.before::BIGINT << 32) | k.merged)
+            LEFT JOIN merges b ON b.pair = ((k.merged::BIGINT << 32) | k.after)
+            QUALIFY k.pos <= coalesce(min(CASE WHEN least(a.rank, b.rank) < k.merged THEN k.pos END)
+                                      OVER (PARTITION BY k.word), k.pos)) c
+        ON c.word = s.word AND c.pos = s.pos
+        WHERE s.depth < {steps})
+    WHERE stays AND hits > 0
+)
+SELECT s.word, s.pos, s.token, s.depth = {steps} AS live
+FROM step s JOIN (SELECT word, max(depth) AS depth FROM step GROUP BY word) l USING (word, depth)
+ORDER BY s.word, s.pos
+"""
+
 DECODE = """
 SELECT piece, array_to_string(list(symbols ORDER BY pos), '') AS text
 FROM ids JOIN vocabulary USING (id) GROUP BY piece ORDER BY piece
@@ -94,6 +141,9 @@ class Codec:
         """Ids of each word as little-endian unsigned 32-bit integers."""
         import pyarrow as pa
         raw = [w.encode() for w in words]
+        if any(len(w) > LONG_WORD for w in raw):
+            rest = iter(self.encode_words([w for w, r in zip(words, raw) if len(r) <= LONG_WORD]))
+            return [self.encode_long(r) if len(r) > LONG_WORD else next(rest) for r in raw]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         ends = np.cumsum(sizes)
         word = np.repeat(np.arange(len(raw), dtype=np.int32), sizes)
@@ -105,6 +155,19 @@ class Codec:
         cut = np.searchsorted(out.column("word").to_numpy(), np.arange(len(raw) + 1)) * 4
         return [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
+    def encode_long(self, word: bytes) -> bytes:
+        """Ids of one long word, in passes that each hold about STEP_ROWS rows."""
+        import pyarrow as pa
+        token, live = self.first[np.frombuffer(word, np.uint8)], True
+        while live:
+            self.load("words", {"word": pa.array(np.zeros(len(token), np.int32)),
+                                "pos": pa.array(np.arange(len(token), dtype=np.int32)),
+                                "token": pa.array(token)})
+            out = self.db.sql(CONTRACT_EQUAL.format(steps=max(1, STEP_ROWS // len(token)))).to_arrow_table()
+            token = out.column("token").to_numpy().astype(np.int32)
+            live = out.column("live")[0].as_py()
+        return token.astype("<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
         out: list[list[bytes]] = [[] for _ in texts]

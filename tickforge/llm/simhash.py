@@ -17,6 +17,8 @@ from tickforge.llm.common import CHUNK_BYTES, hinted, prepare, saved
 
 #: Fingerprints in a tile, about.
 TILE_ROWS = 2048
+#: Fingerprints of the most rows get their component by a broadcast of at most so many.
+HOT_PRINTS = 1000
 #: Shingle hashes turned into bits at once.
 BITS_AT_ONCE = 1 << 18
 
@@ -184,15 +186,23 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, radius: int = 3, se
     fingerprint is compared once, however many rows have it."""
     prints = saved(fingerprints(docs, shingle_words, seed, id_column, text_column), "simhash-prints")
     rows = prints.count()
-    distinct = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct", rows)
+    distinct = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies")),
+                     "simhash-distinct", rows)
     roots = components(tile_links(distinct, rows, radius, tile_rows))
     nodes = roots.union(roots.select("root", "root")).distinct()
     lows = nodes.join(distinct.withColumnRenamed("fp", "node"), "node")
     least = lows.groupBy("root").agg(F.min("low").alias("component_id"))
     linked = lows.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    known = distinct.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "low").alias("component_id"))
-    return (prints.join(known, "fp")
+    known = saved(distinct.join(linked, "fp", "left").select(
+        "fp", "copies", F.coalesce("component_id", "low").alias("component_id")), "simhash-known", rows)
+    # at most HOT_PRINTS fingerprints have over rows / HOT_PRINTS rows each
+    hot = F.col("copies") > rows / HOT_PRINTS
+    often = F.broadcast(known.where(hot).select("fp", F.col("component_id").alias("often")))
+    flagged = prints.join(often, "fp", "left")
+    done = flagged.where("often IS NOT NULL").withColumnRenamed("often", "component_id")
+    rest = flagged.where("often IS NULL").select("doc_id", "fp").join(
+        known.where(~hot | F.col("component_id").isNull()).select("fp", "component_id"), "fp")
+    return (done.unionByName(rest)
             .select(F.col("doc_id").alias(id_column),
                     F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 

@@ -12,7 +12,7 @@ from conftest import SF001, SF01
 
 
 def test_clean_six_bars(spark, six_bars):
-    df = C.clean_bars(six_bars).orderBy("datetime").toPandas()
+    df = C.clean_bars(six_bars, unique=True).orderBy("datetime").toPandas()
     assert len(df) == 6
     assert str(df["datetime"].dtype).startswith("datetime64")
     assert df["timestamp"].iloc[0] == int(pd.Timestamp("2024-06-03 10:00:00", tz="UTC").timestamp())

@@ -21,7 +21,7 @@ def _windows(spark, sf=SF001, block_rows=1 << 20):
 
 
 def test_six_bars_give_three_windows(spark, six_bars):
-    feat = FT.with_positions(C.clean_bars(six_bars))
+    feat = FT.with_positions(C.clean_bars(six_bars, unique=True))
     sc = FT.apply_minmax(feat, FT.fit_minmax(feat))
     w = FT.sliding_windows(sc, SCALED, 3).toPandas()
     assert len(w) == 3
@@ -132,7 +132,7 @@ def test_tree_equals_exact_cart_on_few_distinct_values(spark):
 
 def test_short_series_give_no_window_and_seq_plus_one_gives_one(spark, six_bars):
     from tickforge.operators import clean as C2
-    bars = C2.clean_bars(six_bars)
+    bars = C2.clean_bars(six_bars, unique=True)
     for keep, expect in ((2, 0), (3, 0), (4, 1)):
         sub = bars.orderBy("datetime").limit(keep)
         feat = FT.with_positions(sub)

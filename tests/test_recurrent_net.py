@@ -1,6 +1,6 @@
 import numpy as np
 
-from tickforge.models import hblstm_net as N
+from tickforge.models import recurrent_net as N
 
 
 def _scalar_cell(x, h, c, k, W, b, U):

@@ -10,7 +10,7 @@ from tickforge.operators import clean as C
 
 
 def test_encode_decode_roundtrip_and_bad_messages(spark, six_bars):
-    bars = C.clean_bars(six_bars)
+    bars = C.clean_bars(six_bars, unique=True)
     msgs = MSG.encode_bars(bars)
     bad = spark.createDataFrame([("k", "{not json"), ("k", '{"symbol":"x","open":1.0}')],
                                 "key string, value string")
@@ -42,9 +42,9 @@ def test_long_predictions_and_capture_idempotent(spark):
     wide = spark.createDataFrame(
         [("s", "2024-01-01 00:00:00", 10.0, 1.1234567, 2.0, 3.0, 4.0)],
         "symbol string, datetime string, actual_price double, pred_linear double, "
-        "pred_dt double, pred_knn double, pred_hblstm double")
+        "pred_dt double, pred_knn double, pred_recurrent double")
     long = TB.to_long(wide).toPandas()
-    assert sorted(long["model_type"]) == ["DecisionTree", "HBLSTM", "KNN", "LinearRegression"]
+    assert sorted(long["model_type"]) == ["DecisionTree", "KNN", "LinearRegression", "Recurrent"]
     assert long.loc[long.model_type == "LinearRegression", "predicted_price"].iloc[0] == 1.123457
     assert long["id"].nunique() == 4
     path = tempfile.mkdtemp(prefix="tf-capture-")

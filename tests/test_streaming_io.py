@@ -98,10 +98,10 @@ def test_model_store_roundtrip(spark):
     TRN.save_models(models, root)
     back = TRN.load_models(spark, root, cfg, symbols=["click"])
     assert back.scaler.count() == 1
-    st = back.hblstm.first()
+    st = back.recurrent.first()
     assert st["step"] > 0 and len(st["params"]) == len(st["adam_m"]) == len(st["adam_v"])
     scored = TRN.score(w.where(~F.col("train") & (F.col("symbol") == "click")), back).toPandas()
-    assert len(scored) > 0 and scored[["pred_linear", "pred_dt", "pred_knn", "pred_hblstm"]].notna().all().all()
+    assert len(scored) > 0 and scored[["pred_linear", "pred_dt", "pred_knn", "pred_recurrent"]].notna().all().all()
 
 
 def test_history_layout_and_new_bar_append(spark):
@@ -120,7 +120,7 @@ def test_history_layout_and_new_bar_append(spark):
 
 def test_seeded_stream_learns_and_snapshots_state(spark):
     """W12 seeding, M8 online steps, K7 state snapshots, K3 batch CSVs, M11 resume."""
-    from tickforge.models import hblstm as HB
+    from tickforge.models import recurrent as HB
     from tickforge.operators import features as FT
     from tickforge.plans import training as TRN
     cfg = TRN.ModelConfig(hidden=4, epochs=1)
@@ -139,15 +139,15 @@ def test_seeded_stream_learns_and_snapshots_state(spark):
     def score(ready):
         return ready.select("symbol", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
                             F.col("close").alias("actual_price"),
-                            *[F.col("pred_hblstm").alias(c) for c in
-                              ("pred_linear", "pred_dt", "pred_knn", "pred_hblstm")])
+                            *[F.col("pred_recurrent").alias(c) for c in
+                              ("pred_linear", "pred_dt", "pred_knn", "pred_recurrent")])
 
     paths = SJ.run_replay(spark, root + "/msgs", root + "/out", scaler=scaler, seeds=seeds,
                           score_fn=score, write_csv=True, hidden=4, emit_state=True)
     cap = spark.read.parquet(paths.capture).count()
     preds = spark.read.parquet(paths.predictions).toPandas()
     assert cap == live.count() and len(preds) == cap             # seeded: every bar forecast
-    assert preds["pred_hblstm"].notna().all()
+    assert preds["pred_recurrent"].notna().all()
     st = spark.read.parquet(paths.states).toPandas()
     assert len(st) == bars.select("symbol").distinct().count()
     for r in st.itertuples():

@@ -2,7 +2,7 @@
 
 Batch and streaming operators over bar tables: cleaning, EMA, min-max
 features, sliding windows, per-symbol models (linear, tree, nearest
-neighbours, HBLSTM), evaluation metrics and upsert/append sinks.  All data
+neighbours, recurrent network), evaluation metrics and upsert/append sinks.  All data
 work is expressed with DataFrame / Window / pandas-function / Structured
 Streaming APIs.
 """

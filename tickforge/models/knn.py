@@ -40,11 +40,6 @@ def sq_dist(a: str, b: str) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
-def _proj(x: str, d: int) -> Column:
-    """Projection on the all-ones unit vector (fallback axis)."""
-    return F.aggregate(F.col(x), F.lit(0.0), lambda acc, v: acc + v) / F.lit(math.sqrt(d))
-
-
 def _dot(x: str, axis: str) -> Column:
     return F.aggregate(F.zip_with(F.col(x), F.col(axis), lambda a, b: a * b),
                        F.lit(0.0), lambda acc, v: acc + v)

@@ -1,4 +1,4 @@
-"""NumPy HBLSTM: forward pass, back-propagation through time and Adam.
+"""NumPy recurrent network: forward pass, back-propagation through time and Adam.
 
 Cell (per time step, gates from ``x·Wᵀ + b + h·Uᵀ`` split as i, f, o, g, u)::
 
@@ -159,11 +159,11 @@ def adam_step(flat, m, v, step, grad, lr):
 
 
 def train_epochs(flat, m, v, step, layout, X, y, epochs, batch_size, lr, rng):
-    """Shuffled minibatch Adam; returns state and the mean batch loss of the
-    last epoch.  ``rng`` is a generator, or a function ``epoch -> generator``
+    """Shuffled minibatch Adam; returns state and the mean batch loss of each
+    epoch.  ``rng`` is a generator, or a function ``epoch -> generator``
     (0-based epoch within this call) for per-epoch seeding."""
     n = len(y)
-    last = float("nan")
+    losses = []
     for e in range(epochs):
         order = (rng(e) if callable(rng) else rng).permutation(n)
         total, batches = 0.0, 0
@@ -173,8 +173,8 @@ def train_epochs(flat, m, v, step, layout, X, y, epochs, batch_size, lr, rng):
             flat, m, v, step = adam_step(flat, m, v, step, g, lr)
             total += loss
             batches += 1
-        last = total / max(batches, 1)
-    return flat, m, v, step, last
+        losses.append(total / max(batches, 1))
+    return flat, m, v, step, losses
 
 
 def online_update(flat, m, v, step, layout, x_window, y_value, lr):

@@ -1,18 +1,21 @@
 """Regression tree per symbol (M2): squared-error CART grown level by level.
 
 Each feature is cut at up to ``max_bins - 1`` per-symbol quantile edges
-(``percentile_approx``, a mergeable sketch).  Per level, one grouped
-aggregation computes ``count, Σy, Σy²`` per ``(symbol, node, feature, bin)``
-— combined map-side, so a hot symbol adds rows to the partial aggregates,
-not to one task.  The best split of every node (largest drop of the sum of
-squared errors; ties to the lower feature, then lower edge) is picked on
-that small table; rows then move to child ``2·node`` (``x ≤ edge``) or
-``2·node + 1``.  Splits are on binned edges, so the tree approximates an
-exact-split tree on data with more distinct values than bins.
-
-Prediction walks the tree inside the JVM: the nodes of a symbol form a map
-(at most ``2^(depth+1)`` entries) joined to the windows, and an
-``aggregate`` over the depth follows the path.
+(``percentile_approx``, a mergeable sketch).  The binned rows are stored once
+and never change: a row's node follows from the splits made so far, an array
+indexed by node.  Per level, one grouped aggregation computes ``count, Σy``
+(y less its symbol's mean) per ``(symbol, node, feature, bin)`` — combined
+map-side, so a hot symbol adds rows to the partial aggregates, not to one
+task.  The best split of every node (largest drop of the sum of squared
+errors, ``cl·cr/c·(mean_l - mean_r)²``; ties to the lower feature, then lower
+edge) is picked on that small table; rows then move to child ``2·node``
+(``x ≤ edge``) or ``2·node + 1``.  Splits are on binned edges, so the tree
+approximates an exact-split tree on data with more distinct values than bins.
+Two means count as equal when they differ by rounding only; that test does
+not depend on the number of rows.
+
+Prediction follows the path inside the JVM: the nodes of a symbol are an
+array (at most ``2^(depth+1)`` entries) joined to the windows.
 """
 
 from __future__ import annotations
@@ -20,54 +23,80 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickforge.operators.joins import join_small
 from tickforge.session import materialize
 
+#: Means that differ by less than this share of the larger one are equal.
+EQUAL_MEANS = 1e-12
+#: Symbols whose trees are broadcast.
+TREE_ROWS = 1000
+
 
 def _edges(train: DataFrame, d: int, max_bins: int) -> DataFrame:
     qs = [i / max_bins for i in range(1, max_bins)]
     aggs = [F.array_sort(F.array_distinct(
         F.percentile_approx(F.col("x")[i], qs, 10_000))).alias(f"e{i}") for i in range(d)]
-    e = train.groupBy("symbol").agg(*aggs)
-    return e.select("symbol", F.array(*[f"e{i}" for i in range(d)]).alias("edges"))
+    e = train.groupBy("symbol").agg(F.avg("y").alias("y0"), *aggs)
+    return e.select("symbol", "y0", F.array(*[f"e{i}" for i in range(d)]).alias("edges"))
 
 
 def _bin(x: Column, edges: Column) -> Column:
     return F.aggregate(edges, F.lit(0), lambda acc, t: acc + F.when(x > t, 1).otherwise(0))
 
 
-def fit(train: DataFrame, d: int, max_depth: int = 10, max_bins: int = 32,
+def _by_node(nodes: DataFrame, cols: list[str], size: int, out: str) -> DataFrame:
+    """One row per symbol: array ``out`` with a struct of ``cols`` at index node."""
+    packed = nodes.groupBy("symbol").agg(
+        F.map_from_entries(F.collect_list(F.struct("node", F.struct(*cols)))).alias("_m"))
+    return packed.select("symbol", F.transform(
+        F.sequence(F.lit(0).cast("long"), F.lit(size - 1).cast("long")),
+        lambda i: F.element_at("_m", i)).alias(out))
+
+
+def _located(rows: DataFrame, splits: DataFrame | None, level: int) -> DataFrame:
+    """``rows`` with their ``node`` after ``level`` levels of ``splits``."""
+    if splits is None:
+        return rows.withColumn("node", F.lit(1).cast("long"))
+    j = join_small(rows, _by_node(splits, ["f", "b"], 2 ** level, "_s"), "symbol", "left", TREE_ROWS)
+
+    def step(node, _i):
+        cut = F.get("_s", node.cast("int"))
+        go = F.when(F.get("bins", cut["f"]) > cut["b"], 1).otherwise(0)
+        return F.when(cut.isNull(), node).otherwise(node * 2 + go)
+
+    return j.withColumn("node", F.aggregate(
+        F.sequence(F.lit(1), F.lit(level)), F.lit(1).cast("long"), step)).drop("_s")
+
+
+def fit(train: DataFrame, d: int, max_depth: int = 10, max_bins: int = 128,
         min_samples_split: int = 2, min_samples_leaf: int = 1) -> DataFrame:
     """Node table per symbol: ``node, is_leaf, feature, threshold, value``."""
-    edges = _edges(train, d, max_bins)
-    rows = (train.select("symbol", "x", "y").join(edges, "symbol")
+    edges = materialize(_edges(train, d, max_bins))
+    rows = (join_small(train.select("symbol", "x", "y"), edges, "symbol", max_rows=TREE_ROWS)
             .withColumn("bins", F.transform(F.sequence(F.lit(0), F.lit(d - 1)),
-                                            lambda i: _bin(F.col("x")[i], F.col("edges")[i])))
-            .select("symbol", "bins", "y", F.lit(1).cast("long").alias("node"),
-                    F.lit(False).alias("done")))
+                                            lambda i: _bin(F.get("x", i), F.get("edges", i))))
+            .select("symbol", "bins", "y", (F.col("y") - F.col("y0")).alias("yc")))
     rows = materialize(rows)
-    splits = []
-    for _depth in range(max_depth):
-        live = rows.where(~F.col("done"))
-        stats = (live.select("symbol", "node", "y", F.posexplode("bins").alias("f", "b"))
+    splits = None
+    for level in range(max_depth):
+        # the nodes of a level are those from 2^level on
+        live = _located(rows, splits, level).where(F.col("node") >= 2 ** level)
+        stats = (live.select("symbol", "node", "yc", F.posexplode("bins").alias("f", "b"))
                  .groupBy("symbol", "node", "f", "b")
-                 .agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("s"),
-                      F.sum(F.col("y") * F.col("y")).alias("q")))
-        wcum = Window.partitionBy("symbol", "node", "f").orderBy("b").rowsBetween(
-            Window.unboundedPreceding, 0)
+                 .agg(F.count(F.lit(1)).alias("c"), F.sum("yc").alias("s")))
         wall = Window.partitionBy("symbol", "node", "f")
+        wcum = wall.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
         st = stats.select(
-            "symbol", "node", "f", "b",
-            F.sum("c").over(wcum).alias("cl"), F.sum("s").over(wcum).alias("sl"),
-            F.sum("q").over(wcum).alias("ql"), F.sum("c").over(wall).alias("ct"),
-            F.sum("s").over(wall).alias("stt"), F.sum("q").over(wall).alias("qt"))
-        sse = lambda c, s, q: q - s * s / c
+            "symbol", "node", "f", "b", F.sum("c").over(wcum).alias("cl"), F.sum("s").over(wcum).alias("sl"),
+            F.sum("c").over(wall).alias("ct"), F.sum("s").over(wall).alias("stt"))
         st = (st.withColumn("cr", F.col("ct") - F.col("cl"))
-              .where((F.col("cl") >= min_samples_leaf) & (F.col("cr") >= min_samples_leaf)
+              .where((F.col("cl") >= min_samples_leaf) & (F.col("cr") >= min_samples_leaf) & (F.col("cr") > 0)
                      & (F.col("ct") >= min_samples_split))
-              .withColumn("gain", sse(F.col("ct"), F.col("stt"), F.col("qt"))
-                          - sse(F.col("cl"), F.col("sl"), F.col("ql"))
-                          - sse(F.col("cr"), F.col("stt") - F.col("sl"), F.col("qt") - F.col("ql")))
-              .where(F.col("gain") > F.lit(1e-12) * F.greatest(F.lit(1.0), F.abs(F.col("qt")))))
+              .withColumn("ml", F.col("sl") / F.col("cl"))
+              .withColumn("mr", (F.col("stt") - F.col("sl")) / F.col("cr"))
+              .withColumn("apart", F.abs(F.col("ml") - F.col("mr")))
+              .where(F.col("apart") > EQUAL_MEANS * F.greatest(F.abs("ml"), F.abs("mr")))
+              .withColumn("gain", F.col("cl") * F.col("cr") / F.col("ct") * F.col("apart") * F.col("apart")))
         best = (st.groupBy("symbol", "node")
                 .agg(F.min_by(F.struct("f", "b"),
                               F.struct((-F.col("gain")).alias("g"), "f", "b")).alias("_s"))
@@ -75,44 +104,30 @@ def fit(train: DataFrame, d: int, max_depth: int = 10, max_bins: int = 32,
         best = materialize(best)
         if best.isEmpty():
             break
-        splits.append(best)
-        moved = (rows.join(best, ["symbol", "node"], "left")
-                 .withColumn("done", F.col("done") | F.col("f").isNull())
-                 .withColumn("node", F.when(F.col("f").isNull(), F.col("node"))
-                             .otherwise(F.col("node") * 2 + F.when(
-                                 F.element_at("bins", F.col("f") + 1) > F.col("b"), 1).otherwise(0)))
-                 .drop("f", "b"))
-        rows = materialize(moved)
-    leaves = rows.groupBy("symbol", "node").agg(F.avg("y").alias("value"))
-    inner = None
-    for s in splits:
-        inner = s if inner is None else inner.unionByName(s)
-    if inner is None:
-        return leaves.select("symbol", "node", F.lit(True).alias("is_leaf"),
-                             F.lit(None).cast("int").alias("feature"),
-                             F.lit(None).cast("double").alias("threshold"), "value")
-    inner = (inner.join(edges, "symbol")
+        splits = best if splits is None else materialize(splits.unionByName(best))
+    leaves = (_located(rows, splits, max_depth).groupBy("symbol", "node").agg(F.avg("y").alias("value"))
+              .select("symbol", "node", F.lit(True).alias("is_leaf"), F.lit(None).cast("int").alias("feature"),
+                      F.lit(None).cast("double").alias("threshold"), "value"))
+    if splits is None:
+        return leaves
+    inner = (splits.join(edges, "symbol")
              .select("symbol", "node", F.lit(False).alias("is_leaf"), F.col("f").alias("feature"),
                      F.element_at(F.element_at("edges", F.col("f") + 1), F.col("b") + 1)
                      .alias("threshold"), F.lit(None).cast("double").alias("value")))
-    return leaves.select("symbol", "node", F.lit(True).alias("is_leaf"),
-                         F.lit(None).cast("int").alias("feature"),
-                         F.lit(None).cast("double").alias("threshold"), "value").unionByName(inner)
+    return leaves.unionByName(inner)
 
 
 def predict(windows: DataFrame, model: DataFrame, max_depth: int = 10,
             out: str = "pred_dt", x: str = "x") -> DataFrame:
-    """Follow each window's path from the root to a leaf."""
-    trees = (model.groupBy("symbol")
-             .agg(F.map_from_entries(F.collect_list(F.struct(
-                 "node", F.struct("is_leaf", "feature", "threshold", "value")))).alias("_tree")))
-    j = windows.join(trees, "symbol", "left")
-    t = F.col("_tree")
+    """Follow each window's path from the root to a leaf; null for a symbol
+    without a tree."""
+    trees = _by_node(model, ["is_leaf", "feature", "threshold", "value"], 2 ** (max_depth + 1), "_tree")
+    j = join_small(windows, trees, "symbol", "left", TREE_ROWS)
 
     def step(node, _i):
-        nd = F.element_at(t, node)
-        go = F.when(F.col(x)[nd["feature"]] > nd["threshold"], 1).otherwise(0)
+        nd = F.get("_tree", node.cast("int"))
+        go = F.when(F.get(x, nd["feature"]) > nd["threshold"], 1).otherwise(0)
         return F.when(nd.isNull() | nd["is_leaf"], node).otherwise(node * 2 + go)
 
     leaf = F.aggregate(F.sequence(F.lit(1), F.lit(max_depth + 1)), F.lit(1).cast("long"), step)
-    return j.withColumn(out, F.element_at(t, leaf)["value"]).drop("_tree")
+    return j.withColumn(out, F.get("_tree", leaf.cast("int"))["value"]).drop("_tree")

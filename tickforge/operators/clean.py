@@ -16,16 +16,16 @@ from tickforge.schemas import BAR_VALUE_COLS
 
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# Accepted spellings of the bar columns in producer files.
-COLUMN_ALIASES = {
-    "date": "datetime", "Date": "datetime", "time": "datetime", "Time": "datetime",
-    "Datetime": "datetime", "DateTime": "datetime", "timestamp_str": "datetime",
-    "Open": "open", "OPEN": "open", "o": "open",
-    "High": "high", "HIGH": "high", "h": "high",
-    "Low": "low", "LOW": "low", "l": "low",
-    "Close": "close", "CLOSE": "close", "c": "close", "price": "close",
-    "Volume": "volume", "VOLUME": "volume", "v": "volume", "vol": "volume",
-}
+# Other names of the bar time in producer files.
+TIME_NAMES = ("date", "time")
+
+
+def canonical_name(column: str) -> str:
+    """Name of a producer column in any letter case; others stay as they are."""
+    low = column.lower()
+    if low in TIME_NAMES:
+        return "datetime"
+    return low if low in ("symbol", "datetime", *BAR_VALUE_COLS) else column
 
 
 def _is_missing(df: DataFrame, c: str) -> Column:
@@ -69,14 +69,15 @@ def latest_per_key(df: DataFrame, keys: list[str] | str = "symbol",
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def normalise_columns(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
-    """Rename known spellings to canonical names (only columns present)."""
-    aliases = COLUMN_ALIASES if aliases is None else aliases
-    present = {k: v for k, v in aliases.items() if k in df.columns and v not in df.columns}
-    doubled = sorted({v for v in present.values() if list(present.values()).count(v) > 1})
+def normalise_columns(df: DataFrame) -> DataFrame:
+    """Rename the bar columns to canonical names (only columns present); two
+    columns for one name are an error."""
+    names = {c: canonical_name(c) for c in df.columns}
+    found = list(names.values())
+    doubled = sorted(c for c in names if found.count(names[c]) > 1)
     if doubled:
-        raise ValueError(f"several columns stand for {doubled}: {sorted(k for k in present if present[k] in doubled)}")
-    return df.withColumnsRenamed(present) if present else df
+        raise ValueError(f"several columns stand for one: {doubled}")
+    return df.withColumnsRenamed({k: v for k, v in names.items() if k != v})
 
 
 def require_columns(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -122,12 +123,13 @@ def epoch_seconds(col: str | Column = "datetime") -> Column:
     return F.unix_seconds(c.cast("timestamp"))
 
 
-def clean_bars(raw: DataFrame, order: str | list[str] | None = None) -> DataFrame:
+def clean_bars(raw: DataFrame, order: str | list[str] | None = None, unique: bool = False) -> DataFrame:
     """Batch cleaning of raw bars.
 
     1. drop rows with a null/NaN in a bar column,
     2. drop repeated ``(datetime, symbol)`` keys keeping the first in ingest
-       ``order`` (default: the bar values themselves, a fixed tie-break),
+       ``order``; ``unique`` says that the keys are unique already (bars made
+       by an aggregation on them), then there is nothing to drop,
     3. parse ``datetime`` to TIMESTAMP (strings) and
     4. add ``timestamp`` = epoch seconds.
 
@@ -135,9 +137,10 @@ def clean_bars(raw: DataFrame, order: str | list[str] | None = None) -> DataFram
     """
     value_cols = [c for c in ["symbol", "datetime", *BAR_VALUE_COLS] if c in raw.columns]
     df = drop_incomplete(raw, value_cols)
-    if order is None:
-        order = BAR_VALUE_COLS
-    df = dedup_keep_first(df, ["datetime", "symbol"], order)
+    if not unique:
+        if order is None:
+            raise ValueError("clean_bars needs the ingest order of the rows, or unique=True")
+        df = dedup_keep_first(df, ["datetime", "symbol"], order)
     if isinstance(df.schema["datetime"].dataType, T.StringType):
         df = df.withColumn("datetime", parse_datetime("datetime")).where(F.col("datetime").isNotNull())
     elif isinstance(df.schema["datetime"].dataType, T.TimestampNTZType):

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tickforge.functions.ema import EMA_SPAN, ema_frame_rows
 from tickforge.operators.indicators import ema_recursive
+from tickforge.operators.joins import join_small
 from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, map_blocks, ordered_frame, sequence_frame
 from tickforge.schemas import DEFAULT_SEQ_LEN, FEATURES_G2
 
@@ -79,11 +80,11 @@ def apply_minmax(feat: DataFrame, scaler: DataFrame, features: list[str] = FEATU
                  keep_bounds: list[str] | None = None) -> DataFrame:
     """Join the per-key scaler and add ``{f}{suffix}`` scaled columns.
 
-    The scaler has one row per key; AQE broadcasts it after measuring it.
+    The scaler has one row per key: broadcast once counted, else a salted join.
     ``keep_bounds`` keeps ``{f}_min/{f}_max`` of those features (for inverse).
     """
     keys = [keys] if isinstance(keys, str) else keys
-    j = feat.join(scaler, keys)
+    j = join_small(feat, scaler, keys)
     j = j.withColumns({f"{f}{suffix}": minmax_transform(F.col(f), F.col(f"{f}_min"),
                                                         F.col(f"{f}_max")) for f in features})
     keep = set(keep_bounds or [])

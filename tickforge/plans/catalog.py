@@ -188,7 +188,7 @@ def _feat(spark, sf):
 
 def _scaled(spark, sf, keep=("close",)):
     feat = _feat(spark, sf)
-    return FT.apply_minmax(feat, FT.fit_minmax(feat), keep_bounds=list(keep))
+    return FT.apply_minmax(feat, materialize(FT.fit_minmax(feat)), keep_bounds=list(keep))
 
 
 @query("scaler_fit", Q.scaler(Q.FEAT_H))
@@ -534,14 +534,15 @@ FROM ({_t}) t FULL OUTER JOIN ({_u}) u ON t.symbol = u.symbol AND t.trade_date =
 def upsert_latest_q(spark, sf):
     """K4: merge a batch of result rows into the result table on
     (symbol, trade_date): conflicts update close/prediction/EMA/loss and keep
-    the first open/high/low/volume (``created_at`` left out of the check)."""
+    the first open/high/low/volume (``created_at`` left out of the check).
+    Every key of the batch is updated twice; the later one (``seq``) wins."""
     rows = _with_lags(spark, sf)
     target = result_rows(rows.where(F.col("datetime") < F.lit(TARGET_BEFORE).cast("timestamp")),
                          "prev_close")
-    updates = result_rows(rows.where(F.col("datetime") >= F.lit(UPDATES_FROM).cast("timestamp")),
-                          "prev_ema")
-    merged = UP.upsert(target, updates, ["symbol", "trade_date"], UPSERT_UPDATE_COLS,
-                       order="created_at")
+    late = rows.where(F.col("datetime") >= F.lit(UPDATES_FROM).cast("timestamp"))
+    updates = (result_rows(late, "prev_ema").withColumn("seq", F.lit(2))
+               .unionByName(result_rows(late, "prev_close").withColumn("seq", F.lit(1))))
+    merged = UP.upsert(target, updates, ["symbol", "trade_date"], UPSERT_UPDATE_COLS, order="seq")
     return merged.drop("created_at")
 
 
@@ -561,7 +562,7 @@ def unpivot_predictions_q(spark, sf):
     return TB.to_long(wide, [("Naive", "prev_close"), ("EMA5", "prev_ema")]).drop("id")
 
 
-from tickforge.models import hblstm as HBL  # noqa: E402
+from tickforge.models import recurrent as HBL  # noqa: E402
 from tickforge.models import tree as TREE  # noqa: E402
 from tickforge.plans import training as TRN  # noqa: E402
 
@@ -575,14 +576,14 @@ def tree_predict_q(spark, sf):
     return TREE.predict(w.where(~F.col("train")), model).select("symbol", "datetime", "y", "pred_dt")
 
 
-@query("hblstm_predict")
-def hblstm_predict_q(spark, sf):
-    """M4/M5: per-symbol HBLSTM (hidden 64, 50 epochs, batch 16, Adam 1e-4)
+@query("recurrent_predict")
+def recurrent_predict_q(spark, sf):
+    """M4/M5: per-symbol recurrent network (hidden 64, 50 epochs, batch 16, Adam 1e-4)
     trained on the training windows, scored on the hold-out windows."""
     w = materialize(_windows(spark, sf))
     state = HBL.fit(w.where("train"), SEQ, len(FEATURES_G2))
     return HBL.predict(w.where(~F.col("train")), state, SEQ, len(FEATURES_G2)).select(
-        "symbol", "datetime", "y", "pred_hblstm")
+        "symbol", "datetime", "y", "pred_recurrent")
 
 
 @query("score_all_models")
@@ -634,7 +635,7 @@ def _stream_scorer(models):
         w = KNN.predict(models.knn_train, w.withColumn("qid", F.col("widx")), cfg.flat_size,
                         k=cfg.knn_k, index=models.knn_index).drop("qid")
         lo, hi = F.col("close_min"), F.col("close_max")
-        preds = ["pred_linear", "pred_dt", "pred_knn", "pred_hblstm"]
+        preds = ["pred_linear", "pred_dt", "pred_knn", "pred_recurrent"]
         w = w.withColumns({p: FT.minmax_inverse(F.col(p), lo, hi) for p in preds})
         return w.select("symbol", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
                         F.col("close").alias("actual_price"), *preds)
@@ -648,7 +649,7 @@ def _stream_predictions(spark, sf):
     hist, live = bars.where(F.col("datetime") < cut), bars.where(F.col("datetime") >= cut)
     scaler, w = TRN.prepare_windows(hist, cfg)
     models = TRN.train_all(w, scaler, cfg)
-    seeds = SJ.seed_state(FT.with_positions(hist), scaler, models.hblstm, cfg.seq_len)
+    seeds = SJ.seed_state(FT.with_positions(hist), scaler, models.recurrent, cfg.seq_len)
     root = SJ.new_scratch(spark, "stream-predict")
     SJ.replay_messages(live, root + "/msgs", chunks=4)
     paths = SJ.run_replay(spark, root + "/msgs", root + "/out", scaler=scaler, seeds=seeds,
@@ -661,7 +662,7 @@ def _stream_predictions(spark, sf):
 def stream_predict_q(spark, sf):
     """Models trained on the history before the stream,
     state seeded from it; each streamed bar is forecast by the four models
-    from the 3 bars before it, then HBLSTM learns it (one Adam step)."""
+    from the 3 bars before it, then recurrent network learns it (one Adam step)."""
     return _stream_predictions(spark, sf)
 
 

@@ -11,13 +11,13 @@ from tickforge.sources.bars import event_ticks, events_bars, lineitem_bars, tabl
 
 def hourly_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean hourly bars of the five event types."""
-    return clean_bars(events_bars(table(spark, sf_dir, "events")))
+    return clean_bars(events_bars(table(spark, sf_dir, "events")), unique=True)
 
 
 def daily_brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean daily bars of the part brands."""
     return clean_bars(lineitem_bars(table(spark, sf_dir, "lineitem"),
-                                    table(spark, sf_dir, "part")))
+                                    table(spark, sf_dir, "part")), unique=True)
 
 
 def minute_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,4 +28,4 @@ def minute_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_returnflag_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean daily bars per return flag: three keys, each about a third of
     all lineitem rows."""
-    return clean_bars(lineitem_bars(table(spark, sf_dir, "lineitem"), key="l_returnflag"))
+    return clean_bars(lineitem_bars(table(spark, sf_dir, "lineitem"), key="l_returnflag"), unique=True)

@@ -2,7 +2,7 @@
 
 One DAG for all symbols: bars -> features (EMA5, positions) -> per-symbol
 scaler on the first 80 % of rows -> scaled sliding windows -> chronological
-80/20 split of windows -> linear / tree / kNN / HBLSTM -> hold-out scoring
+80/20 split of windows -> linear / tree / kNN / recurrent network -> hold-out scoring
 and metrics -> model tables.  Symbols without data simply have no groups.
 The feature and window tables are checkpointed once; every model reads them.
 """
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.models import hblstm as HB
+from tickforge.models import recurrent as HB
 from tickforge.models import knn as KNN
 from tickforge.models import linear as LIN
 from tickforge.models import tree as TR
@@ -52,7 +52,7 @@ class Models:
     linear: DataFrame
     tree: DataFrame
     knn_train: DataFrame
-    hblstm: DataFrame
+    recurrent: DataFrame
     knn_index: tuple | None = None
 
     def __post_init__(self):
@@ -87,7 +87,7 @@ def train_all(windows: DataFrame, scaler: DataFrame, cfg: ModelConfig,
     jobs = {
         "linear": lambda: materialize(LIN.fit(train, d)),
         "tree": lambda: materialize(TR.fit(train, d, max_depth=cfg.tree_depth)),
-        "hblstm": lambda: HB.fit(train, cfg.seq_len, cfg.input_size, hidden=cfg.hidden,
+        "recurrent": lambda: HB.fit(train, cfg.seq_len, cfg.input_size, hidden=cfg.hidden,
                                  epochs=cfg.epochs, batch_size=cfg.batch_size, lr=cfg.lr,
                                  seed=cfg.seed),
         "knn_index": lambda: KNN.build_index(knn_train, d),
@@ -99,7 +99,7 @@ def train_all(windows: DataFrame, scaler: DataFrame, cfg: ModelConfig,
     else:
         out = {k: f() for k, f in jobs.items()}
     return Models(config=cfg, scaler=scaler, linear=out["linear"], tree=out["tree"],
-                  knn_train=knn_train, hblstm=out["hblstm"], knn_index=out["knn_index"])
+                  knn_train=knn_train, recurrent=out["recurrent"], knn_index=out["knn_index"])
 
 
 def score(windows: DataFrame, models: Models, inverse: bool = True) -> DataFrame:
@@ -108,11 +108,11 @@ def score(windows: DataFrame, models: Models, inverse: bool = True) -> DataFrame
     cfg = models.config
     w = LIN.predict(windows, models.linear)
     w = TR.predict(w, models.tree, max_depth=cfg.tree_depth)
-    w = HB.predict(w, models.hblstm, cfg.seq_len, cfg.input_size, hidden=cfg.hidden)
+    w = HB.predict(w, models.recurrent, cfg.seq_len, cfg.input_size, hidden=cfg.hidden)
     q = w.withColumn("qid", F.col("widx"))
     w = KNN.predict(models.knn_train, q, cfg.flat_size, k=cfg.knn_k,
                     index=models.knn_index).drop("qid")
-    preds = ["pred_linear", "pred_dt", "pred_knn", "pred_hblstm"]
+    preds = ["pred_linear", "pred_dt", "pred_knn", "pred_recurrent"]
     lo, hi = F.col(f"{TARGET_COL}_min"), F.col(f"{TARGET_COL}_max")
     if inverse:
         w = w.withColumns({p: FT.minmax_inverse(F.col(p), lo, hi) for p in preds})
@@ -135,7 +135,6 @@ def save_models(models: Models, root: str) -> None:
     """Model store (K6): one table per artefact, partitioned by symbol."""
     from tickforge.sinks.tables import write_models
     cfg = models.config
-    spark = models.scaler.sparkSession
     config = models.scaler.select("symbol").withColumns({
         "seq_len": F.lit(cfg.seq_len), "input_size": F.lit(cfg.input_size),
         "hidden_size": F.lit(cfg.hidden),
@@ -143,9 +142,8 @@ def save_models(models: Models, root: str) -> None:
         "target_col": F.lit(TARGET_COL)})
     for name, df in (("scaler", models.scaler), ("linear", models.linear),
                      ("tree", models.tree), ("knn", models.knn_train),
-                     ("hblstm", models.hblstm), ("config", config)):
+                     ("recurrent", models.recurrent), ("config", config)):
         write_models(df, f"{root.rstrip('/')}/{name}")
-    del spark
 
 
 def load_models(spark: SparkSession, root: str, cfg: ModelConfig | None = None,
@@ -155,4 +153,4 @@ def load_models(spark: SparkSession, root: str, cfg: ModelConfig | None = None,
         df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
         return df.where(F.col("symbol").isin(symbols)) if symbols else df
     return Models(cfg or ModelConfig(), rd("scaler"), rd("linear"), rd("tree"), rd("knn"),
-                  rd("hblstm"))
+                  rd("recurrent"))

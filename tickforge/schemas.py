@@ -16,7 +16,7 @@ MODEL_LABELS = [
     ("LinearRegression", "pred_linear"),
     ("DecisionTree", "pred_dt"),
     ("KNN", "pred_knn"),
-    ("HBLSTM", "pred_hblstm"),
+    ("Recurrent", "pred_recurrent"),
 ]
 
 RAW_BAR_CSV = T.StructType([
@@ -50,38 +50,6 @@ STREAM_BAR_SINGLE = T.StructType([
     T.StructField("volume", T.DoubleType()),
 ])
 
-PREDICTIONS_WIDE = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("datetime", T.StringType()),
-    T.StructField("actual_price", T.DoubleType()),
-    T.StructField("pred_linear", T.DoubleType()),
-    T.StructField("pred_dt", T.DoubleType()),
-    T.StructField("pred_knn", T.DoubleType()),
-    T.StructField("pred_hblstm", T.DoubleType()),
-])
-
-PREDICTIONS_LONG = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("symbol", T.StringType()),
-    T.StructField("predicted_price", T.DoubleType()),
-    T.StructField("actual_price", T.DoubleType()),
-    T.StructField("model_type", T.StringType()),
-    T.StructField("timestamp", T.TimestampType()),
-])
-
-UPSERT_ROW = T.StructType([
-    T.StructField("trade_date", T.StringType()),
-    T.StructField("open_price", T.DoubleType()),
-    T.StructField("high_price", T.DoubleType()),
-    T.StructField("low_price", T.DoubleType()),
-    T.StructField("close_actual", T.DoubleType()),
-    T.StructField("close_predicted", T.DoubleType()),
-    T.StructField("ema5", T.DoubleType()),
-    T.StructField("volume", T.DoubleType()),
-    T.StructField("inc_loss", T.DoubleType()),
-    T.StructField("created_at", T.TimestampType()),
-])
-
 MODEL_CONFIG = T.StructType([
     T.StructField("seq_len", T.IntegerType()),
     T.StructField("input_size", T.IntegerType()),

@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 
 def last_per_key(updates: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
+    """The row of each key that comes last in ``order``, which must say more
+    than the key itself."""
     order = [order] if isinstance(order, str) else list(order)
+    if not order or set(order) & set(keys):
+        raise ValueError(f"order {order} must be columns other than the keys {keys}")
     rest = [c for c in updates.columns if c not in keys]
     ok = F.struct(*order) if len(order) > 1 else F.col(order[0])
     return (updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), ok).alias("_r"))
@@ -48,42 +52,47 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], update_cols:
     return j.select(*keys, *out)
 
 
+def published(spark, path: str) -> list[int]:
+    """Versions of the table whose write has finished, ascending; none where
+    the folder does not exist.  Any other failure to list is raised."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    found = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith("v=")]
+    return sorted(int(p.getName()[2:]) for p in found if fs.exists(done(p, "_SUCCESS")))
+
+
 def upsert_table(updates: DataFrame, path: str, keys: list[str], update_cols: list[str],
                  version: int, order: str | list[str] | None = None,
-                 touched_col: str | None = "created_at") -> str:
-    """Merge ``updates`` into the newest version of the Parquet table at
-    ``path`` and write the result as version ``version`` (``path/v=N``).
+                 touched_col: str | None = "created_at", keep: int = 2) -> str:
+    """Merge ``updates`` into the newest published version below ``version``
+    of the Parquet table at ``path`` and write the result as ``path/v=N``.
 
-    Re-running a version rewrites the same folder from the previous version,
-    so a replayed micro-batch gives the same table.  Readers take the highest
-    ``v``.
+    A version counts once its write has finished.  Re-running a version
+    rewrites the same folder from the previous version, so a replayed
+    micro-batch gives the same table.  The last ``keep`` versions stay.
     """
-    from pyspark.sql.utils import AnalysisException
-
     spark = updates.sparkSession
     base = path.rstrip("/")
-    target = None
-    try:
-        versions = (spark.read.parquet(base).where(F.col("v") < int(version))
-                    .agg(F.max("v")).first()[0])
-        if versions is not None:
-            target = spark.read.parquet(f"{base}/v={versions}")
-    except AnalysisException:
-        target = None
-    if target is None:
+    earlier = [v for v in published(spark, base) if v < int(version)]
+    if not earlier:
         merged = updates if order is None else last_per_key(updates, keys, order)
         if touched_col and touched_col in merged.columns:
             merged = merged.withColumn(touched_col, F.current_timestamp())
     else:
-        merged = upsert(target, updates.select(*target.columns), keys, update_cols, order,
-                        touched_col)
+        target = spark.read.parquet(f"{base}/v={earlier[-1]}")
+        merged = upsert(target, updates, keys, update_cols, order, touched_col)
     out = f"{base}/v={int(version)}"
     merged.write.mode("overwrite").parquet(out)
+    for old in earlier[:max(0, len(earlier) + 1 - keep)]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/v={old}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     return out
 
 
 def read_latest(spark, path: str) -> DataFrame:
-    """Newest version of a table written by ``upsert_table``."""
+    """Newest published version of a table written by ``upsert_table``."""
     base = path.rstrip("/")
-    v = spark.read.parquet(base).agg(F.max("v")).first()[0]
-    return spark.read.parquet(f"{base}/v={v}")
+    return spark.read.parquet(f"{base}/v={published(spark, base)[-1]}")

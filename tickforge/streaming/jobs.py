@@ -135,16 +135,17 @@ RESULT_UPDATE_COLS = ["close_actual", "close_predicted", "ema5", "inc_loss"]
 
 
 def result_rows(bars: DataFrame) -> DataFrame:
-    """Result-table rows of streamed bars: prices, EMA5, the HBLSTM forecast
-    in price units (null during warm-up) and its online loss."""
+    """Result-table rows of streamed bars: prices, EMA5, the recurrent network forecast
+    in price units (null during warm-up), its online loss and ``seq``, the
+    bar time in microseconds (``trade_date`` has whole seconds)."""
     from tickforge.operators.features import minmax_inverse
-    pred = minmax_inverse(F.col("pred_hblstm"), F.col("close_min"), F.col("close_max"))
+    pred = minmax_inverse(F.col("pred_recurrent"), F.col("close_min"), F.col("close_max"))
     return bars.select(
         "symbol", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("trade_date"),
         F.col("open").alias("open_price"), F.col("high").alias("high_price"),
         F.col("low").alias("low_price"), F.col("close").alias("close_actual"),
         pred.alias("close_predicted"), F.col("EMA5").alias("ema5"), "volume", "inc_loss",
-        F.current_timestamp().alias("created_at"))
+        F.current_timestamp().alias("created_at"), F.unix_micros("datetime").alias("seq"))
 
 
 def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
@@ -172,9 +173,10 @@ def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("symbol").parquet(paths.states))
             if upsert_results:
-                from tickforge.sinks.upsert import upsert_table
-                upsert_table(result_rows(bars), paths.results, ["symbol", "trade_date"],
-                             RESULT_UPDATE_COLS, version=batch_id, order="trade_date")
+                from tickforge.sinks.upsert import last_per_key, upsert_table
+                keys = ["symbol", "trade_date"]
+                upsert_table(last_per_key(result_rows(bars), keys, "seq").drop("seq"), paths.results, keys,
+                             RESULT_UPDATE_COLS, version=batch_id)
             ready = bars.where("ready")
             if score_fn is not None:
                 wide = score_fn(ready).persist()

@@ -4,7 +4,7 @@ State of a symbol, kept in the state store (checkpointed with the query):
 
 * ``bar``   — last EMA5, time of the last handled bar, bars seen;
 * ``buf``   — ring buffer of the last ``seq_len`` scaled feature rows;
-* ``net``   — HBLSTM weights, Adam moments and step (online learning).
+* ``net``   — recurrent network weights, Adam moments and step (online learning).
 
 For each micro-batch the rows of a symbol are sorted by bar time and folded
 in order: EMA5 is updated by one multiply-add (W2), the bar is scaled with
@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickforge.schemas import FEATURES_G1, FEATURES_G2
 from tickforge.functions.ema import EMA_SPAN, ema_alpha
-from tickforge.models import hblstm_net as N
+from tickforge.models import recurrent_net as N
 
 BAR_STATE = T.StructType([T.StructField("ema", T.DoubleType()),
                           T.StructField("last_ts", T.LongType()),
@@ -51,7 +51,7 @@ OUTPUT = T.StructType([
     T.StructField("ready", T.BooleanType()),
     T.StructField("x", T.ArrayType(T.DoubleType())),
     T.StructField("y", T.DoubleType()),
-    T.StructField("pred_hblstm", T.DoubleType()),
+    T.StructField("pred_recurrent", T.DoubleType()),
     T.StructField("inc_loss", T.DoubleType()),
     T.StructField("close_min", T.DoubleType()),
     T.StructField("close_max", T.DoubleType()),
@@ -177,9 +177,9 @@ class BarForecaster(StatefulProcessor):
                             pred, loss, (pp, mm, vv, st) = N.online_update(
                                 net[0], net[1], net[2], net[3], self.layout, X, y, self.lr)
                             net = [pp, mm, vv, st]
-                            row.update(pred_hblstm=pred, inc_loss=loss)
+                            row.update(pred_recurrent=pred, inc_loss=loss)
                         else:
-                            row.update(pred_hblstm=float(N.forward(net[0], self.layout, X[None])[0]))
+                            row.update(pred_recurrent=float(N.forward(net[0], self.layout, X[None])[0]))
                 if not self.include_current:
                     buf = (buf + [scaled])[-L:]
             out.append(row)

@@ -16,7 +16,7 @@ sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 from tickforge.plans.catalog import QUERIES  # noqa: E402
 from tickforge.session import get_spark  # noqa: E402
 
-SKIP = {"hblstm_predict", "score_all_models", "model_holdout_metrics", "stream_ema5",
+SKIP = {"recurrent_predict", "score_all_models", "model_holdout_metrics", "stream_ema5",
         "stream_predict", "prequential_eval", "tree_predict", "knn_predict"}
 OPS = ["Exchange", "BroadcastExchange", "HashAggregate", "SortAggregate", "ObjectHashAggregate",
        "Window", "WindowGroupLimit", "TakeOrderedAndProject", "SortMergeJoin",

@@ -166,3 +166,19 @@ def test_missing_symbol_history_is_an_error(spark):
         assert "nosuch" in str(e)
     else:
         raise AssertionError("no error for a symbol without history")
+
+
+def test_rejected_messages_are_stored_once_with_a_reason(spark):
+    bars = I.hourly_bars(spark, SF001)
+    root = SJ.new_scratch(spark, "test-rejected")
+    src, out = root + "/msgs", root + "/out"
+    bad = spark.createDataFrame([
+        ("a", "{broken"), ("a", None), ("b", '{"k": 1}'), ("b", '{"symbol": "b", "close": 1.0, "datetime": "soon"}'),
+        (None, '{"close": 1.0, "datetime": "2024-01-01 00:00:00"}')], "key string, value string")
+    bad.write.json(src + "/chunk=99999")
+    SJ.replay_messages(bars, src, chunks=1)
+    paths = SJ.run_replay(spark, src, out)
+    SJ.run_replay(spark, src, out)  # nothing new: nothing is stored again
+    got = sorted(r["reason"] for r in SJ.read_rejected(spark, paths).collect())
+    assert got == ["no symbol", "no time", "not a bar", "not a bar", "not a bar"]
+    assert spark.read.parquet(paths.capture).count() == bars.count()

@@ -500,6 +500,29 @@ def parse_kafka_json_q(spark, sf):
     return ST.decode_bars(topic)
 
 
+@query("stream_errors", """
+SELECT key, reason, count(*) AS n FROM (
+  SELECT event_type AS key, 'not a bar' AS reason FROM events
+  UNION ALL
+  SELECT event_type, CASE WHEN value IS NULL THEN 'not a bar' WHEN event_type IS NULL THEN 'no symbol'
+                          ELSE 'no time' END FROM events) m
+GROUP BY key, reason""")
+def stream_errors_q(spark, sf):
+    """A stream over bar messages, foreign messages and bars whose time
+    is no time; the messages left out are stored with the reason and counted."""
+    ev = B.table(spark, sf, "events")
+    foreign = ev.select(F.col("event_type").alias("key"), F.col("props").alias("value"))
+    price = [F.col("value").alias(n) for n in ("open", "high", "low", "close")]
+    timeless = ev.select(F.col("event_type").alias("key"), F.to_json(F.struct(
+        F.col("event_type").alias("symbol"), F.col("props").alias("datetime"), *price)).alias("value"))
+    topic = MSG.encode_bars(I.hourly_bars(spark, sf)).unionByName(foreign).unionByName(timeless)
+    root = SJ.new_scratch(spark, "stream-errors")
+    MSG.write_messages(topic, f"{root}/msgs/chunk=00000")
+    paths = SJ.SinkPaths(f"{root}/out")
+    SJ.start_rejected(SJ.message_stream(spark, f"{root}/msgs"), paths).awaitTermination()
+    return SJ.read_rejected(spark, paths).groupBy("key", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _with_lags(spark, sf):
     feat = _feat(spark, sf)
     fr = ordered_frame(feat, "symbol", "datetime", lookback=1)

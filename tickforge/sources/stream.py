@@ -2,7 +2,8 @@
 
 A message is ``key`` = symbol and ``value`` = JSON bar.  Decoding is
 PERMISSIVE: a value that is not valid JSON, or not a bar, yields nulls and
-is dropped by the ``close IS NOT NULL`` filter instead of failing the batch.
+is left out by the ``close IS NOT NULL`` filter instead of failing the batch;
+``rejected_messages`` gives these messages with the reason.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickforge.operators.clean import parse_datetime
 from tickforge.schemas import STREAM_BAR, STREAM_BAR_SINGLE
 
 MESSAGE_SCHEMA = T.StructType([
@@ -29,6 +31,25 @@ def decode_bars(messages: DataFrame, schema: T.StructType = STREAM_BAR,
     return parsed.select("d.*").where(F.col("close").isNotNull())
 
 
+def timed_bars(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Decoded bars that have a symbol and a time, ``datetime`` as TIMESTAMP."""
+    bars = decode_bars(messages, STREAM_BAR, value_col).withColumn("datetime", parse_datetime("datetime"))
+    return bars.where("symbol IS NOT NULL AND datetime IS NOT NULL")
+
+
+def rejected_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """(key, value, reason) of every message that ``timed_bars`` leaves out:
+    ``not a bar`` (no close), ``no symbol`` or ``no time`` (none that parses),
+    the first that holds.  Batch or stream; no shuffle."""
+    text = F.col(value_col).cast("string")
+    read = messages.select(F.col("key").cast("string").alias("key"), text.alias("value"),
+                           F.from_json(text, STREAM_BAR, {"mode": "PERMISSIVE"}).alias("d"))
+    reason = (F.when(F.col("d.close").isNull(), "not a bar")
+              .when(F.col("d.symbol").isNull(), "no symbol")
+              .when(parse_datetime(F.col("d.datetime")).isNull(), "no time"))
+    return read.select("key", "value", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def decode_single_symbol(messages: DataFrame, symbol: str,
                          value_col: str = "value") -> DataFrame:
     """Single-symbol messages (``date`` + OHLCV, no symbol): decode, then

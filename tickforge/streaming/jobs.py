@@ -41,15 +41,33 @@ def replay_messages(bars: DataFrame, path: str, chunks: int = 3,
     return written
 
 
+def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                   kafka_options: dict[str, str] | None = None) -> DataFrame:
+    """Streaming messages of the chunk folders under ``path``, or of Kafka."""
+    return ST.read_message_stream(spark, path + "/*" if kafka_options is None else path,
+                                  max_files_per_trigger=max_files_per_trigger,
+                                  kafka_options=kafka_options)
+
+
 def bar_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                kafka_options: dict[str, str] | None = None) -> DataFrame:
     """Decoded streaming bars (P1-P3, P9), datetime as TIMESTAMP."""
-    msgs = ST.read_message_stream(spark, path + "/*" if kafka_options is None else path,
-                                  max_files_per_trigger=max_files_per_trigger,
-                                  kafka_options=kafka_options)
-    bars = ST.decode_bars(msgs, STREAM_BAR)
-    return (bars.withColumn("datetime", C.parse_datetime("datetime"))
-            .where(F.col("datetime").isNotNull()))
+    return ST.timed_bars(message_stream(spark, path, max_files_per_trigger, kafka_options))
+
+
+def start_rejected(messages: DataFrame, paths: SinkPaths, trigger: str | None = None):
+    """Start the query that appends every message left out of the bars, with
+    the reason, to ``paths.rejected``: a stateless filter with a file sink and
+    a checkpoint of its own, so a restart neither loses nor repeats a row."""
+    w = (ST.rejected_messages(messages).writeStream.format("parquet")
+         .option("path", paths.rejected)
+         .option("checkpointLocation", f"{paths.root.rstrip('/')}/_checkpoint_rejected"))
+    return (w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)).start()
+
+
+def read_rejected(spark: SparkSession, paths: SinkPaths) -> DataFrame:
+    """(key, value, reason) rows written so far."""
+    return spark.read.schema("key string, value string, reason string").parquet(paths.rejected)
 
 
 def scaler_arrays(scaler: DataFrame, features: list[str] = FEATURES_G2) -> DataFrame:
@@ -119,6 +137,7 @@ class SinkPaths:
     csv: str = field(init=False)
     results: str = field(init=False)
     errors: str = field(init=False)
+    rejected: str = field(init=False)
     predictions_long: str = field(init=False)
 
     def __post_init__(self):
@@ -126,7 +145,7 @@ class SinkPaths:
         self.capture, self.predictions = f"{r}/capture", f"{r}/predictions"
         self.late, self.states, self.csv = f"{r}/late", f"{r}/model_state", f"{r}/batches_csv"
         self.results = f"{r}/results"
-        self.errors = f"{r}/errors"
+        self.errors, self.rejected = f"{r}/errors", f"{r}/rejected"
         self.predictions_long = f"{r}/predictions_long"
 
 
@@ -196,17 +215,20 @@ def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
 def run_replay(spark: SparkSession, source: str, out_root: str, scaler=None, seeds=None,
                score_fn=None, max_files_per_trigger: int | None = None, trigger: str | None = None,
                checkpoint: str | None = None, write_csv: bool = False, **kw) -> SinkPaths:
-    """Run the forecasting stream over message files until they are consumed
-    (``availableNow``) or, with ``trigger="5 seconds"``, as a long-running
-    query (returned paths; the caller stops it)."""
+    """Run the forecasting stream over message files, and beside it the query
+    that stores rejected messages, until they are consumed (``availableNow``)
+    or, with ``trigger="5 seconds"``, as two long-running queries (returned
+    paths; the caller stops them)."""
     paths = SinkPaths(out_root)
     stream = forecast_stream(bar_stream(spark, source, max_files_per_trigger), scaler, seeds, **kw)
     w = (stream.writeStream.foreachBatch(make_batch_handler(paths, score_fn, write_csv=write_csv))
          .option("checkpointLocation", checkpoint or f"{out_root.rstrip('/')}/_checkpoint"))
     w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
     q = w.start()
+    rejected = start_rejected(message_stream(spark, source, max_files_per_trigger), paths, trigger)
     if not trigger:
         q.awaitTermination()
+        rejected.awaitTermination()
     return paths
 
 

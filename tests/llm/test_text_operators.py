@@ -114,6 +114,27 @@ def test_license_places_and_labels(spark):
     assert got[5][-2:] == ("", 0.0)
 
 
+def test_license_templates_contain_their_own_text(spark):
+    rows, want = [], {}
+    for text, label in licenses.TEMPLATES.items():
+        half = text.count(" ") // 2
+        for form in (text, text.replace(" ", "\n"), " * " + text.replace(" ", "\n * "), text.replace(". ", ".\n\n"),
+                     "\r\n".join([" ".join(text.split(" ")[:half]), " ".join(text.split(" ")[half:])])):
+            for place in (form, f"Some words here. {form}.\nMore of them; and more.", f"A title\n\n{form}\n\nthe end"):
+                want[len(rows)] = label
+                rows.append((len(rows), place))
+    rows += [(-1, "2. Licensed under the GNU General Public License,\nversion 3."), (-2, "Released under. The MIT.\nLicense"),
+             (-3, "Released under the\n\nMIT License"), (-4, "Copyright 2024 by A. Smith, Inc. All rights\nreserved. No part of this "
+              "book may be\nreproduced, in any form, without written\npermission."),
+             (-5, "Copyright. All rights reserved. One. Two. No part may be. Reproduced without permission")]
+    got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    for i, label in want.items():
+        assert label in got[i].labels.split(",") and got[i].score == 1.0, rows[i]
+    assert got[-1].labels == "gpl,gpl-3.0" and got[-2].labels == got[-3].labels == ""
+    assert got[-4].labels == "no-reproduction,reserved" and got[-5].labels == "reserved"
+
+
 def test_main_text(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     field = html_text.train(pages)

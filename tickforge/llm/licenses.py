@@ -1,7 +1,8 @@
 """License scans: phrase places and an exact set-similarity join.
 
-Every text block (line or sentence) is a set of words.  Words are ordered by
-their global frequency, rarest first; a block can only reach a template's
+Every text block is a set of words: a line, a sentence (also one that runs over
+line breaks), and for a template of several sentences as many neighbouring ones.
+Words are ordered by frequency, rarest first; a block can only reach a template's
 containment threshold if it shares a word of the template's prefix in this
 order, has enough words, and has enough of them left from the shared place on.
 What passes these filters is counted exactly.  DataFrame functions only.
@@ -35,6 +36,8 @@ TEMPLATES = {
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BLOCK = r"\n|[.!?;][ \t\r]+"
+#: A sentence ends here or at a blank line, not where a line is wrapped.
+SENTENCE = r"[.!?;][ \t\r\n]+|\n[ \t\r]*\n"
 
 
 def has_any(text, parts):
@@ -63,6 +66,11 @@ def needed(size: int, threshold: float) -> int:
     return n if n >= size * threshold - 1e-9 else n + 1
 
 
+def template_sentences(templates: dict) -> list[int]:
+    """Sentences of each template, in the order of ``template_words``."""
+    return [len(re.split(SENTENCE, text.strip())) for text in templates]
+
+
 def places(found, phrase: str):
     """Positions at which the words of ``phrase`` stand one after the other."""
     parts = phrase.split()
@@ -83,18 +91,36 @@ def _all(conditions):
 def block_matches(docs: DataFrame, templates: dict, threshold: float) -> DataFrame:
     """(doc_id, text_md5, label, containment): templates contained in a block of a text."""
     spark = docs.sparkSession
-    shapes = [(label, ws, needed(len(ws), threshold)) for label, ws in template_words(templates)]
-    vocabulary = sorted({w for _, ws, _ in shapes for w in ws})
-    least = min(need for _, _, need in shapes)
+    shapes = [(label, ws, needed(len(ws), threshold), run) for (label, ws), run in zip(
+        template_words(templates), template_sentences(templates))]
+    vocabulary = sorted({w for _, ws, _, _ in shapes for w in ws})
+    least = min(need for _, _, need, _ in shapes)
+
     # the prefix filter holds for any order of words: with the longest first it
     # needs no frequencies, and drops most texts and blocks before words are cut
-    sure = sorted({w for _, ws, need in shapes for w in sorted(ws, key=lambda w: (-len(w), w))[:len(ws) - need + 1]})
-    blocks = (docs.where(has_any(F.col("text"), sure))
-              .select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"),
-                      F.explode_outer(F.split("text", BLOCK)).alias("block"))
-              .where(has_any(F.col("block"), sure)))
+    def sure(least_run):
+        return sorted({w for _, ws, need, run in shapes if run >= least_run
+                       for w in sorted(ws, key=lambda w: (-len(w), w))[:len(ws) - need + 1]})
+
+    def blocks_of(run, texts):
+        return F.transform(texts, lambda x: F.struct(F.lit(run).alias("run"), x.alias("block")))
+
+    def runs_of(run):
+        return F.transform("sentences", lambda _, i: F.concat_ws(" ", F.slice("sentences", i + 1, run)))
+    cut = (docs.where(has_any(F.col("text"), sure(1)))
+           .select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "text",
+                   F.filter(F.split("text", SENTENCE), lambda x: x.rlike(ANY_CASE_WORD)).alias("sentences")))
+    # a sentence on one line is a block of the first kind already
+    every = [blocks_of(1, F.split("text", BLOCK)),
+             blocks_of(1, F.filter("sentences", lambda x: x.contains("\n")))]
+    for run in sorted({run for _, _, _, run in shapes if run > 1}):
+        every.append(F.when(has_any(F.col("text"), sure(run)), blocks_of(run, runs_of(run)))
+                     .otherwise(F.array().cast("array<struct<run:int,block:string>>")))
+    blocks = (cut.select("doc_id", "text_md5", F.explode_outer(F.concat(*every)).alias("cut"))
+              .select("doc_id", "text_md5", "cut.run", "cut.block")
+              .where(has_any(F.col("block"), sure(1))))
     # length filter: words outside all templates can't be shared
-    held = saved(blocks.select("doc_id", "text_md5", F.array_intersect(
+    held = saved(blocks.select("doc_id", "text_md5", "run", F.array_intersect(
         words(F.col("block")), F.array(*map(F.lit, vocabulary))).alias("shared"))
         .where(F.size("shared") >= least), "license-blocks")
     # global frequency of the templates' words: at most as many rows as they have words
@@ -103,17 +129,17 @@ def block_matches(docs: DataFrame, templates: dict, threshold: float) -> DataFra
     rare_first = sorted(vocabulary, key=lambda w: (seen.get(w, 0), w))
     order = {w: i for i, w in enumerate(rare_first)}
     prefix = []
-    for label, ws, need in shapes:
+    for label, ws, need, run in shapes:
         ranked = sorted(ws, key=order.get)
-        prefix += [(ranked[i], i, label, need, len(ws), ranked) for i in range(len(ws) - need + 1)]
+        prefix += [(ranked[i], i, label, need, len(ws), run, ranked) for i in range(len(ws) - need + 1)]
     prefixes = spark.createDataFrame(
-        prefix, "word string, at int, label string, need int, size int, ranked array<string>")
-    ordered = held.select("doc_id", "text_md5", F.array_intersect(
+        prefix, "word string, at int, label string, need int, size int, most int, ranked array<string>")
+    ordered = held.select("doc_id", "text_md5", "run", F.array_intersect(
         F.array(*map(F.lit, rare_first)), F.col("shared")).alias("shared"))
-    pairs = (ordered.select("doc_id", "text_md5", "shared", F.posexplode_outer("shared").alias("pos", "word"))
+    pairs = (ordered.select("doc_id", "text_md5", "run", "shared", F.posexplode_outer("shared").alias("pos", "word"))
              .join(F.broadcast(prefixes), "word")
-             # length and positional filters
-             .where((F.size("shared") >= F.col("need"))
+             # no more sentences than the template has; length and positional filters
+             .where((F.col("run") <= F.col("most")) & (F.size("shared") >= F.col("need"))
                     & (F.least(F.size("shared") - F.col("pos"), F.col("size") - F.col("at")) >= F.col("need"))))
     return (pairs.withColumn("both", F.size(F.array_intersect("shared", "ranked")))
             .where("both >= need")
@@ -125,7 +151,8 @@ def license_scan(docs: DataFrame, templates: dict | None = None, threshold: floa
     """Per row: the id, n_words, n_base, first_word, last_word, base_labels,
     labels, score.
 
-    ``score`` is the greatest containment of a template in a block; without
+    ``score`` is the greatest containment of a template in a block (a line, a
+    sentence, or as many neighbouring sentences as the template has); without
     one 1 if a phrase stands in the text, else 0.  A null or empty text has no
     words, null first_word and last_word, empty labels and score 0; null ids
     and repeated rows are kept (equal rows have equal results); other columns

@@ -87,6 +87,19 @@ def test_language_id(spark):
     assert out[None].held_out is False
 
 
+def test_samples_of_large_tables_are_not_empty(spark):
+    from pyspark.sql import functions as F
+
+    from tickforge.llm.common import sampled
+    rows = spark.range(3_000_000).selectExpr("id as doc_id", "'the and of' as text", "'en' as lang", "id as page_id",
+                                             "'<article><p class=\"zebra\">One two.</p></article>' as html")
+    assert langid.train(rows, F.lit(True), max_texts=2).langs == ["en"]
+    assert "class zebra" in html_text.train(rows, max_pages=2).emit
+    assert abs(sampled(rows, "doc_id", 2_000).count() - 2_000) < 250
+    assert sampled(rows, "lang", 5).count() == 3_000_000 and sampled(rows.limit(4), "doc_id", 5).count() == 4
+    assert sampled(rows.where("false"), "doc_id", 5).count() == 0
+
+
 def test_mixed_language_spans(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train(docs, ~langid.held_out())

@@ -42,6 +42,14 @@ def hinted(small: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(small) if small.count() <= max_rows else small
 
 
+def sampled(rows: DataFrame, id_column: str, about: int) -> DataFrame:
+    """About ``about`` of ``rows``, those with the smallest 63-bit hashes of the
+    id; all where there are no more, and never none of a table with rows."""
+    draw = F.shiftrightunsigned(F.xxhash64(id_column), 1)
+    n, least = rows.agg(F.count(F.lit(1)), F.min(draw)).first()
+    return rows if n <= about else rows.where(draw <= max(least, (about << 63) // n - 1))
+
+
 def ascii_lower(col):
     """A-Z to a-z, every other character as it is."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import CHUNK_BYTES, prepare
+from tickforge.llm.common import CHUNK_BYTES, prepare, sampled
 
 LEXER = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
@@ -249,11 +249,8 @@ def train(pages: DataFrame, max_pages: int = 150, id_column: str = "page_id", ht
     """Fit a field to the labelled pages of this module and a sample of about
     ``max_pages`` whole pages that mark their article (pages of more than
     ``max_chars`` characters are not used for training)."""
-    texts = pages.where(F.col(html_column).contains("<article") & (F.length(html_column) <= max_chars)).select(
-        F.col(html_column).alias("html"), F.pmod(F.xxhash64(id_column), F.lit(1_000_003)).alias("draw"))
-    share = max_pages / max(1, texts.count())
-    if share < 1:
-        texts = texts.where(F.col("draw") < int(share * 1_000_003))
+    texts = sampled(pages.where(F.col(html_column).contains("<article") & (F.length(html_column) <= max_chars)).select(
+        F.col(html_column).alias("html"), F.col(id_column).alias("id")), "id", max_pages)
     known = [blocks_of(p) for p in LABELLED]
     labels = [[b[3] for b in page] for page in known]
     weights = [10.0] * len(known)

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import prepare
+from tickforge.llm.common import prepare, sampled
 
 #: Ranges of scripts; fixed values of Unicode blocks.  Letters elsewhere: 0.
 SCRIPTS = [
@@ -215,12 +215,8 @@ def train(docs: DataFrame, labelled, max_texts: int = 20_000, id_column: str = "
     The sample is drawn by a hash of the id, over all of the table; only the
     counts of BUCKETS n-grams for each language come to the driver."""
     prepare(docs.sparkSession)
-    rows = docs.where(labelled & F.col(text_column).isNotNull() & F.col(lang_column).isNotNull()).select(
-        F.col(text_column).alias("text"), F.col(lang_column).alias("lang"),
-        F.pmod(F.xxhash64(id_column), F.lit(1_000_003)).alias("draw"))
-    share = max_texts / max(1, rows.count())
-    if share < 1:
-        rows = rows.where(F.col("draw") < int(share * 1_000_003))
+    rows = sampled(docs.where(labelled & F.col(text_column).isNotNull() & F.col(lang_column).isNotNull()).select(
+        F.col(text_column).alias("text"), F.col(lang_column).alias("lang"), F.col(id_column).alias("id")), "id", max_texts)
 
     def run(batches):
         import pyarrow as pa

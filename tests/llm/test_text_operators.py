@@ -164,6 +164,20 @@ def test_main_text(spark):
     assert field.main_text(other) == "A title\nOne two three.\nFive six."
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>a</p><svg viewBox='0 0 1 1'/><p>b</p><svg><text>x</text></svg><p>c</p>", ["a", "b", "c"]),
+    ("<p>a</p><svg /><p>b</p>", ["a", "b"]),
+    *((f"<p>a</p><{tag}><p>b</p><{tag}>x</{tag}><p>c</p>", ["a", "b", "c"]) for tag in ("svg", "noscript", "template", "select")),
+    *((f"<p>a</p><{tag}><p>b</p>", ["a", "b"]) for tag in ("svg", "noscript", "template", "select")),
+    *((f"<p>a</p><{tag}>x<{tag}>y</{tag}>z</{tag.upper()} ><p>b</p>", ["a", "b"]) for tag in ("svg", "template")),
+    ("<p>a</p><template><!-- <template> --><script>'<template>'</script>x</template><p>b</p>", ["a", "b"]),
+    ("<p>" + "\u0130" * 12 + "</p><script>x</SCRIPT><p>Istanbul</p><style>y</style><p>c</p>", ["\u0130" * 12, "Istanbul", "c"]),
+    ("<p>a</p><script>x</scripts>'<p>y</p>'</script><p>b</p><script>x", ["a", "b"]),
+])
+def test_no_text_after_raw_elements_is_lost(page, want):
+    assert [b[0] for b in html_text.blocks_of(page)] == want
+
+
 def test_decoding_is_the_best_labelling():
     import itertools
     field = html_text.Field({"any": 0.3, "words 1": -0.9, "ends stop": 0.5}, [[0.4, -0.7], [-0.2, 0.6]], [0.1, -0.3])

@@ -25,6 +25,13 @@ NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 WORDS = re.compile(r"[a-z]+")
 #: Content that is never text.
 RAW = {"script", "style", "template", "noscript", "textarea", "svg", "select"}
+#: Of these, elements of their own; one that is never closed hides its tag only.
+#: An unclosed script, style or textarea runs to the end of the page.
+NESTED = {"template", "noscript", "svg", "select"}
+CLOSING = {tag: re.compile(rf"</{tag}(?![a-z0-9:-])", re.I | re.A) for tag in RAW - NESTED}
+NESTED_LEXER = re.compile(
+    r"<!--|<(/?)(template|noscript|svg|select|script|style)(?![a-z0-9:-])((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+    re.I | re.A)
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: Tags inside a block of text; all others begin and end blocks.
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
@@ -59,6 +66,32 @@ LABELLED = [
 ]
 
 
+def nested_ends(page: str) -> dict[int, int]:
+    """Where the closing tag of each NESTED element begins, by the end of its
+    opening tag; elements without one are missing.  Tags in comments and in
+    scripts do not count."""
+    ends, opened, at = {}, {tag: [] for tag in NESTED}, 0
+    last = {"<!--": page.rfind("-->")}
+    while m := NESTED_LEXER.search(page, at):
+        at = m.end()
+        tag = (m.group(2) or "<!--").lower()
+        if tag == "<!--":
+            if at <= last[tag]:
+                at = page.find("-->", at)
+        elif tag in NESTED:
+            if m.group(1):
+                if opened[tag]:
+                    ends[opened[tag].pop()] = m.start()
+            elif not (tag == "svg" and m.group(3).endswith("/")):
+                opened[tag].append(at)
+        elif not m.group(1):
+            if tag not in last:
+                last[tag] = max((c.start() for c in CLOSING[tag].finditer(page)), default=-1)
+            if at <= last[tag]:
+                at = CLOSING[tag].search(page, at).start()
+    return ends
+
+
 def blocks_of(page: str):
     """Leaf blocks in order: (text, ancestors, link share, marked).  Ancestors
     are (tag, class words) of the open elements that hold the block."""
@@ -82,7 +115,7 @@ def blocks_of(page: str):
             if linked:
                 links += len(text)
 
-    low = None
+    ends = None
     while True:
         m = LEXER.search(page, at)
         if m is None:
@@ -95,9 +128,13 @@ def blocks_of(page: str):
             continue
         tag, closing, attributes = tag.lower(), m.group(1), m.group(3)
         if tag in RAW and not closing:
-            low = low or page.lower()
-            end = low.find(f"</{tag}", at)
-            at = len(page) if end < 0 else end
+            if tag in NESTED:
+                if ends is None:
+                    ends = nested_ends(page)
+                at = ends.get(at, at)
+            else:
+                end = CLOSING[tag].search(page, at)
+                at = end.start() if end else len(page)
             continue
         if tag in INLINE:
             if tag == "a":

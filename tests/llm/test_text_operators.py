@@ -75,6 +75,13 @@ def test_viterbi_equals_one_pass():
             at += n
 
 
+@pytest.mark.parametrize("n_lang", [128, 129, 300])
+def test_viterbi_of_many_languages(n_lang):
+    path = np.repeat([n_lang - 1, 0, n_lang - 2, 126], 5)
+    scores = np.where(np.arange(n_lang) == path[:, None], 0.0, -9.0)
+    assert langid.viterbi(scores, np.array([12, 8]), 1.0, piece=3).tolist() == path.tolist()
+
+
 def test_language_id(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     odd = spark.createDataFrame([(10**9, None, "en"), (10**9 + 1, "", None), (10**9 + 2, "12 34 !", "fr"),

@@ -25,6 +25,8 @@ SCRIPTS = [
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 SMOOTH = 0.5
+#: Language numbers are 16-bit in the Viterbi tables.
+MAX_LANGS = 1 << 15
 #: Words of a text that one Viterbi pass covers; passes are joined exactly.
 PIECE_WORDS = 256
 CHUNK_BYTES = 2 << 20
@@ -80,6 +82,8 @@ class Model:
     """Log probabilities of hashed n-grams and the scripts of each language."""
 
     def __init__(self, langs: list[str], counts: np.ndarray, scripts: np.ndarray):
+        if len(langs) > MAX_LANGS:
+            raise ValueError(f"{len(langs)} languages; at most {MAX_LANGS}")
         self.langs = langs
         total = counts.sum(axis=0, keepdims=True) + SMOOTH * BUCKETS
         self.logp = np.log((counts + SMOOTH) / total).astype(np.float32)  # bucket x language
@@ -107,6 +111,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float, piece: int =
     entered in, the pieces are chained by these totals, and each piece is read
     back from the language it ends in.  The result is that of one pass."""
     langs = scores.shape[1]
+    kind = np.int8 if langs <= 128 else np.int16  # holds every language number; Model bounds them
     counts = -(-sizes // piece)
     starts = np.cumsum(sizes) - sizes
     text = np.repeat(np.arange(len(sizes)), counts)
@@ -122,7 +127,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float, piece: int =
     # value[piece, entered in, now in]; entering costs nothing here
     value = np.full((p, langs, langs), -np.inf, np.float64)
     value[:, grid, grid] = scores[begin]
-    back = np.empty((steps, p, langs, langs), np.int8) if p else np.empty((0, 0, langs, langs), np.int8)
+    back = np.empty((steps, p, langs, langs), kind) if p else np.empty((0, 0, langs, langs), kind)
     for t in range(1, steps):
         n = running[t]
         v = value[:n]
@@ -133,16 +138,16 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float, piece: int =
         value[:n] = np.where(stay, v, top) + scores[begin[:n] + t][:, None, :]
     place = np.empty(p, np.int64)
     place[order] = np.arange(p)
-    labels = np.empty(len(scores), np.int8)
+    labels = np.empty(len(scores), kind)
     change = np.where(np.eye(langs, dtype=bool), 0.0, penalty)
     # chain the pieces of each text, all texts together
-    entered = np.zeros(p, np.int8)
-    left = np.zeros(p, np.int8)
+    entered = np.zeros(p, kind)
+    left = np.zeros(p, kind)
     rounds = int(counts.max()) if len(counts) else 0
     # total[text, now in]; choice per round: language the piece was entered in and the one before
     total = np.zeros((len(sizes), langs))
-    enter = np.zeros((rounds, len(sizes), langs), np.int8)
-    before = np.zeros((rounds, len(sizes), langs), np.int8)
+    enter = np.zeros((rounds, len(sizes), langs), kind)
+    before = np.zeros((rounds, len(sizes), langs), kind)
     for r in range(rounds):
         on = np.flatnonzero(counts > r)
         table = value[place[first_piece[on] + r]]  # text x entered x now
@@ -155,7 +160,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float, piece: int =
         whole = start[:, :, None] + table
         enter[r, on] = whole.argmax(axis=1)
         total[on] = whole.max(axis=1)
-    now = total.argmax(axis=1).astype(np.int8)
+    now = total.argmax(axis=1).astype(kind)
     for r in range(rounds - 1, -1, -1):
         on = np.flatnonzero(counts > r)
         at = place[first_piece[on] + r]

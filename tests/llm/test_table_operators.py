@@ -127,6 +127,16 @@ def test_decontamination_equals_brute_force(spark):
     assert decontam.contaminated(df, bench.where("false")).count() == 0
 
 
+def test_borderline_window_with_a_far_fingerprint_is_found(spark):
+    rnd = random.Random(2721)  # fingerprints 21 bits apart, 40 of 45 shingles shared
+    own = [f"w{rnd.randrange(10**6)}" for _ in range(49)]
+    text = own[:24] + ["changed"] + own[25:]
+    docs = spark.createDataFrame([(1, " ".join(text))], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(own))], "item_id long, text string")
+    assert [tuple(r) for r in decontam.contaminated(docs, bench).collect()] == [(1, 7, 0, 49, 0.8)]
+    assert decontam.contaminated(docs, bench, radius=20).count() == 0
+
+
 def test_warc_round_trip_over_small_ranges(spark):
     rnd = random.Random(1)
     noise = "".join(chr(rnd.randint(32, 0x2FF)) for _ in range(30_000))

@@ -10,7 +10,8 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickforge.llm import bpe, decontam, html_text, langid, licenses, simhash, suffix_dedup, token_counts, topk, warc
+from tickforge.llm import (bpe, decontam, html_text, langid, licenses, merkle, mixing, periodic_runs, simhash, suffix_dedup,
+                           token_counts, topk, warc)
 from tickforge.session import scratch_path
 
 
@@ -71,13 +72,31 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, radius=3)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_runs, the strongest run, runs_sha256, collapsed_sha256 of every document."""
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of every document."""
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every document."""
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_exact_top_k, op3_byte_bpe, op4_language_id, op5_license_scan,
-    op6_suffix_dedup, op7_html_text, op8_decontamination, op9_warc, op10_simhash_near_dedup)}
+    op6_suffix_dedup, op7_html_text, op8_decontamination, op9_warc, op10_simhash_near_dedup, op11_periodic_runs,
+    op12_merkle_manifest, op13_source_mixing)}
 
 ORACLE = {
     "op5_license_scan": licenses.oracle(),
     "op8_decontamination": decontam.oracle(),
+    "op12_merkle_manifest": merkle.oracle(),
+    "op13_source_mixing": mixing.oracle(),
     "op2_exact_top_k": """
         WITH sound AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v

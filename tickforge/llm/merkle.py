@@ -3,7 +3,7 @@
 Each group of rows (a source) is a tree over the hashes of its rows, and the
 groups' roots are the leaves of one more tree.  The built levels are stored as
 node rows, each with the digests of its children and a link to its parent; a
-Spark recursive query then climbs from every leaf at once, adding a row with
+Spark recursive query then climbs from every leaf at once, adding a row for
 the siblings of each level and folding the claimed hash into the parent's.
 
 A node of an upper level serves every leaf below it.  Its row is repeated for
@@ -139,24 +139,31 @@ def linked(rows: DataFrame, level: Column, idx: Column, most: int, top_height: i
 
 
 CLIMB = """
-    WITH RECURSIVE climb (own, block, i, id, leaf, step, up_tree, up_level, up_idx, pos, folded, siblings) AS (
-        SELECT own, block, i, id, leaf, 0, up_tree, up_level, up_idx, pos, claimed, CAST(X'' AS BINARY) FROM {leaves}
+    WITH RECURSIVE climb (own, block, i, id, leaf, step, up_tree, up_level, up_idx, pos, folded) AS (
+        SELECT own, block, i, id, leaf, 0, up_tree, up_level, up_idx, pos, claimed FROM {leaves}
         UNION ALL
         SELECT c.own, c.block, c.i, NULL, NULL, c.step + 1, p.up_tree, p.up_level, p.up_idx, p.pos,
                unhex(sha2(CAST(lower(hex(concat(
-                   substring(p.kids, 1, 32 * c.pos), c.folded, substring(p.kids, 32 * c.pos + 33)))) AS BINARY), 256)),
-               concat(substring(p.kids, 1, 32 * c.pos), substring(p.kids, 32 * c.pos + 33))
+                   substring(p.kids, 1, 32 * c.pos), c.folded, substring(p.kids, 32 * c.pos + 33)))) AS BINARY), 256))
         FROM climb c JOIN {ladder} p
           ON p.own = c.own AND p.block = c.block AND p.tree = c.up_tree AND p.level = c.up_level AND p.idx = c.up_idx)
-    SELECT own, i, id, leaf, step, folded, siblings FROM climb"""
+    SELECT * FROM climb"""
 
 
 def proofs(manifest: Manifest) -> DataFrame:
     """Per leaf: tree, i, id, leaf, siblings (the digests of the proof, level
     by level from the leaf to the root, left to right) and folded, the root
-    that its claimed hash leads to."""
+    that its claimed hash leads to.
+
+    Each step of the climb appends a row that names the siblings it passes (the
+    parent's node row and the own place); their digests, fifteen a step, join
+    at the end, dealt by block, where the rows of a leaf meet without a
+    further shuffle."""
     spark = manifest.leaves.sparkSession
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # rows grow with the table; levels end the climb
+    # tables dealt by (own, block) join on these and more columns as they lie
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     most = height(manifest.trees.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0])
     block = F.expr(f"i div {LEAF_BLOCK}")
     leaves = linked(manifest.leaves.withColumn("own", F.col("tree")), F.lit(0), F.col("i"), most, manifest.top_height)
@@ -174,10 +181,14 @@ def proofs(manifest: Manifest) -> DataFrame:
     ladder = linked(inner.union(upper), F.col("level"), F.col("idx"), most, manifest.top_height).select(
         "own", "block", "tree", "level", "idx", "kids", "up_tree", "up_level", "up_idx", "pos")
     ladder = saved(ladder, "merkle-ladder")
-    climbed = spark.sql(CLIMB, leaves=leaves, ladder=ladder)
-    return climbed.groupBy(F.col("own").alias("tree"), "i").agg(
+    climbed = spark.sql(CLIMB, leaves=leaves, ladder=ladder).repartition(parts, "own", "block")
+    held = ladder.select("own", "block", F.col("tree").alias("up_tree"), F.col("level").alias("up_level"),
+                         F.col("idx").alias("up_idx"), "kids").repartition(parts, "own", "block")
+    passed = F.concat(F.expr("substring(kids, 1, 32 * pos)"), F.expr("substring(kids, 32 * pos + 33)"))
+    steps = climbed.join(held.hint("shuffle_hash"), ["own", "block", "up_tree", "up_level", "up_idx"], "left")
+    return steps.groupBy(F.col("own").alias("tree"), "block", "i").agg(
         F.max("id").alias("id"), F.max("leaf").alias("leaf"), F.max_by("folded", "step").alias("folded"),
-        F.array_sort(F.collect_list(F.struct("step", "siblings"))).alias("path")).select(
+        F.array_sort(F.collect_list(F.struct("step", F.coalesce(passed, F.lit(b"")).alias("siblings")))).alias("path")).select(
         "tree", "i", "id", "leaf", "folded",
         F.expr("aggregate(path, X'', (a, s) -> concat(a, s.siblings))").alias("siblings"))
 

@@ -149,7 +149,8 @@ def mixed(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS, seed
         f"CASE WHEN size > 0 THEN sequence(before div {block_words}, (before + size - 1) div {block_words}) END")))
     shared = F.least((F.col("block") + 1) * block_words, F.col("before") + F.col("size")) - F.greatest(
         F.col("block") * block_words, F.col("before"))
-    return spans.join(times, ["place", "block"], "left").groupBy("place", "pos").agg(
+    # a row for every block: never a broadcast, whatever the planner expects of the explode
+    return spans.join(times.hint("merge"), ["place", "block"], "left").groupBy("place", "pos").agg(
         F.first("id").alias(id_column), F.first("size").alias("size"), F.first("words").alias("source_size"),
         F.first("target").alias("target"),
         F.coalesce(F.sum(shared * F.col("times")), F.lit(0)).cast("long").alias("taken")).drop("place", "pos")

@@ -19,7 +19,9 @@ from tickforge.llm.common import chunks, prepare
 #: Bytes of text handled at once.
 CHUNK_BYTES = 2 << 20
 #: Encoded pre-tokens a worker keeps between chunks; others are encoded anew.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
+#: Bytes of words in one query.
+SLICE_BYTES = 250_000
 
 #: One step: ``best`` has each word's lowest rank and, within it, the leftmost
 #: position; the pair there becomes one row and later positions move up.
@@ -47,7 +49,7 @@ ORDER BY s.word, s.pos
 #: Words of more bytes are contracted by CONTRACT_EQUAL.
 LONG_WORD = 256
 #: Rows a pass over long words keeps in its steps, about.
-STEP_ROWS = 4_000_000
+STEP_ROWS = 1_000_000
 
 #: The same contraction for long words, several in a step.  Once the leftmost
 #: pair of minimum rank is contracted, the next one of that rank (``k`` skips
@@ -117,6 +119,7 @@ class Codec:
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
         self.db.execute("SET memory_limit = '250MB'")
+        self.db.execute("SET temp_directory = ''")  # nothing is spilled; SLICE_BYTES bounds a query
         self.load("merges", {"pair": pa.array(pairs, pa.int64()), "rank": pa.array(merged, pa.int64())})
         # bytes as characters U+0100 to U+01FF, so that any byte is text
         self.load("vocabulary", {
@@ -146,6 +149,10 @@ class Codec:
             return [self.encode_long(r) if len(r) > LONG_WORD else next(rest) for r in raw]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         ends = np.cumsum(sizes)
+        if len(raw) > 1 and ends[-1] > SLICE_BYTES:
+            cuts = np.unique(np.searchsorted(ends, np.arange(SLICE_BYTES, ends[-1], SLICE_BYTES)))
+            return [x for part in np.split(np.arange(len(raw)), cuts) if len(part)
+                    for x in self.encode_words(words[part[0]:part[-1] + 1])]
         word = np.repeat(np.arange(len(raw), dtype=np.int32), sizes)
         pos = (np.arange(len(word)) - np.repeat(ends - sizes, sizes)).astype(np.int32)
         self.load("words", {"word": pa.array(word), "pos": pa.array(pos),
@@ -159,6 +166,7 @@ class Codec:
         """Ids of one long word, in passes that each hold about STEP_ROWS rows."""
         import pyarrow as pa
         token, live = self.first[np.frombuffer(word, np.uint8)], True
+        self.db.execute("SET memory_limit = '1GB'")  # a word is whole in one query
         while live:
             self.load("words", {"word": pa.array(np.zeros(len(token), np.int32)),
                                 "pos": pa.array(np.arange(len(token), dtype=np.int32)),
@@ -166,6 +174,8 @@ class Codec:
             out = self.db.sql(CONTRACT_EQUAL.format(steps=max(1, STEP_ROWS // len(token)))).to_arrow_table()
             token = out.column("token").to_numpy().astype(np.int32)
             live = out.column("live")[0].as_py()
+        self.clear()
+        self.db.execute("SET memory_limit = '250MB'")
         return token.astype("<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:

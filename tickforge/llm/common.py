@@ -17,6 +17,8 @@ CHUNK_BYTES = 4 << 20
 def prepare(spark: SparkSession) -> None:
     """Session settings and package shipping every operator relies on."""
     apply_runtime_defaults(spark)
+    # texts go to Python in batches that stay small beside an executor's memory
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(CHUNK_BYTES))
     ship_package(spark)
 
 

@@ -47,7 +47,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what is left) of every document."""
     return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), length=400)
 
 

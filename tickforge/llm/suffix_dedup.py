@@ -326,45 +326,59 @@ def removals(docs: DataFrame, length: int = 400, text_column: str = "text") -> D
         remove, "key binary, kept binary, n_removed long, n_spans long"), "suffix-removed")
 
 
+def with_texts(found: DataFrame) -> DataFrame:
+    """``removals`` with kept_text, what is left as text; a character that a
+    cut splits is left out of it."""
+    def run(batches):
+        import pyarrow as pa
+
+        from tickforge.llm import suffix_dedup as op
+        from tickforge.llm.common import chunks
+        for batch in chunks(batches, "kept", op.CHUNK_BYTES):
+            texts = [k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
+                                             names=[*batch.schema.names, "kept_text"])
+
+    return found.mapInArrow(run, "key binary, kept binary, n_removed long, n_spans long, kept_text string")
+
+
 def repeated_bytes(docs: DataFrame, length: int = 400, id_column: str = "doc_id",
                    text_column: str = "text") -> DataFrame:
-    """Per row: the id, n_bytes, n_removed, n_spans, kept_sha256.
-
-    A null or empty text has no bytes and loses none; every copy of a repeated
-    string goes, in repeated rows too; null ids are kept; other columns play
-    no part; an empty table gives an empty result.  Equality is that of two
-    64-bit hashes of the bytes."""
-    found = removals(docs, length, text_column)
+    """Per row: the id, n_bytes, n_removed, n_spans, kept_sha256, text (what is
+    left of it; a character that a cut splits is in the digest, not in text).
+
+    A null or empty text has no bytes, loses none and is left as an empty text;
+    every copy of a repeated string goes, in repeated rows too; null ids are
+    kept; very long texts are cut whole; other columns play no part; an empty
+    table gives an empty result.  Equality is that of two 64-bit hashes of the
+    bytes."""
+    found = with_texts(removals(docs, length, text_column))
     text = F.coalesce(F.col(text_column), F.lit(""))
-    light = docs.select(F.col(id_column).alias("doc_id"), text_key(text).alias("key"),
-                        F.octet_length(text).cast("long").alias("n_bytes"),
-                        F.sha2(text.cast("binary"), 256).alias("whole_sha256"))
-    gone = found.select("key", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    rows = docs.select(F.col(id_column).alias("doc_id"), text.alias("text"),
+                       F.octet_length(text).cast("long").alias("n_bytes"))
     zero = F.lit(0).cast("long")
-    return light.join(gone, "key", "left").select(
+    # texts too short to hold a string meet no key: they pass by the join
+    short = rows.where(F.col("n_bytes") < length).select(
+        F.col("doc_id").alias(id_column), "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), "text")
+    gone = found.select("key", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256"), "kept_text")
+    long = rows.where(F.col("n_bytes") >= length).withColumn("key", text_key(F.col("text"))).join(gone, "key", "left")
+    return long.select(
         F.col("doc_id").alias(id_column), "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
         F.coalesce("n_spans", zero).alias("n_spans"),
-        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
+        F.coalesce("cut_sha256", F.sha2(F.col("text").cast("binary"), 256)).alias("kept_sha256"),
+        F.coalesce("kept_text", "text").alias("text")).union(short)
 
 
 def without_repeats(docs: DataFrame, length: int = 400, text_column: str = "text") -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text_column``; a character
     that a cut splits goes too.  Rows, order of columns and other columns stay,
-    also where nothing of a text is left; a null text stays null."""
-    found = removals(docs, length, text_column)
-
-    def run(batches):
-        import pyarrow as pa
-
-        from tickforge.llm import suffix_dedup as op
-        from tickforge.llm.common import chunks
-        for batch in chunks(batches, "kept", op.CHUNK_BYTES):
-            texts = [k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(texts, pa.string())],
-                                             names=["key", "kept_text"])
-
-    texts = found.select("key", "kept").mapInArrow(run, "key binary, kept_text string").alias("cut")
-    joined = docs.alias("d").join(texts, text_key(F.col(f"d.{text_column}")) == F.col("cut.key"), "left")
+    also where nothing of a text is left; a null text stays null; texts shorter
+    than ``length`` bytes pass as they are."""
+    texts = with_texts(removals(docs, length, text_column)).select("key", "kept_text").alias("cut")
+    size = F.coalesce(F.octet_length(text_column), F.lit(0))
+    long = docs.where(size >= length).alias("d")
+    joined = long.join(texts, text_key(F.col(f"d.{text_column}")) == F.col("cut.key"), "left")
     return joined.select(*(
         F.coalesce("cut.kept_text", f"d.{c}").alias(c) if c == text_column else F.col(f"d.{c}")
-        for c in docs.columns))
+        for c in docs.columns)).union(docs.where(size < length))

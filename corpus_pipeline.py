@@ -27,10 +27,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_per_group(docs, shingle_words=3, radius=3)
 
 
+#: Bytes of a repeated string that stage three removes.  The passages to catch
+#: have over 50 words; the shortest seen of 51 words has 285 bytes.
+PASSAGE_BYTES = 260
+
+
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without byte strings of 400 that start anywhere else too;
-    n_chars is that of the new text."""
-    cut = suffix_dedup.without_repeats(docs, length=400)
+    """Documents without byte strings of PASSAGE_BYTES that start anywhere else
+    too; n_chars is that of the new text."""
+    cut = suffix_dedup.without_repeats(docs, length=PASSAGE_BYTES)
     kind = docs.schema["n_chars"].dataType
     return cut.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
                           .otherwise(F.length("text")).cast(kind))

@@ -50,6 +50,17 @@ def brute_repeats(texts, length):
         yield len(r), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(r, np.uint8)[~gone].tobytes()).hexdigest()
 
 
+def brute_kept(texts, length):
+    raw = [(t or "").encode() for t in texts]
+    count = Counter(r[p:p + length] for r in raw for p in range(len(r) - length + 1))
+    for r in raw:
+        gone = set()
+        for p in range(len(r) - length + 1):
+            if count[r[p:p + length]] > 1:
+                gone.update(range(p, p + length))
+        yield bytes(b for i, b in enumerate(r) if i not in gone).decode("utf-8", "ignore")
+
+
 def passages(seed=3, n=70):
     rnd = random.Random(seed)
 
@@ -70,8 +81,9 @@ def passages(seed=3, n=70):
 def test_repeated_bytes_equal_brute_force(spark, length):
     texts = passages()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'k' as key", "1 as low")
-    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.repeated_bytes(df, length).collect()}
-    assert got == dict(enumerate(brute_repeats(texts, length)))
+    rows = suffix_dedup.repeated_bytes(df, length).collect()
+    assert {r.doc_id: tuple(r)[1:5] for r in rows} == dict(enumerate(brute_repeats(texts, length)))
+    assert {r.doc_id: r.text for r in rows} == dict(enumerate(brute_kept(texts, length)))
     cut = {r.doc_id: r.text for r in suffix_dedup.without_repeats(df, length).collect()}
     assert cut[texts.index(None)] is None and cut[texts.index("a" * 300)] == ""
 
@@ -87,6 +99,27 @@ def test_quicksort_orders_all_tokens():
     assert (keys[suffix_dedup.multikey_quicksort(keys)] == keys[np.lexsort(keys.T[::-1])]).all()
 
 
+def brute_leaks(docs, items, words):
+    """Every document's best window for every item it holds."""
+    def shingles(ws, k):
+        return [tuple(ws[i:i + k]) for i in range(len(ws) - k + 1)]
+    for d, text in docs:
+        ws = words(text)
+        for item, own in items:
+            iw = words(own)
+            k = min(5, len(iw))
+            if not k:
+                continue
+            a, b = shingles(ws, k), shingles(iw, k)
+            width = min(len(a), len(b))
+            if not width or len(set(a) & set(b)) < 0.5 * len(set(b)):
+                continue
+            best = max(((lambda n: n / (width + len(b) - n))(sum((Counter(a[s:s + width]) & Counter(b)).values())), -s)
+                       for s in range(len(a) - width + 1))
+            if best[0] >= 0.8:
+                yield d, item, -best[1], width + k - 1, best[0]
+
+
 def test_decontamination_equals_brute_force(spark):
     rnd = random.Random(5)
     word = [f"w{i}" for i in range(400)]
@@ -103,22 +136,7 @@ def test_decontamination_equals_brute_force(spark):
         docs.append((i, ", ".join(body)))
     docs += [(40, "ONE, two"), (41, None), (42, ""), (43, items[0][1].upper()), (43, items[0][1].upper()), (None, items[1][1])]
 
-    def shingles(ws, k):
-        return [tuple(ws[i:i + k]) for i in range(len(ws) - k + 1)]
-    want = set()
-    for d, text in docs:
-        ws = (text or "").lower().replace(",", "").split()
-        for item, own in items:
-            iw = (own or "").split()
-            k = min(5, len(iw))
-            if not k:
-                continue
-            a, b = shingles(ws, k), shingles(iw, k)
-            width = min(len(a), len(b))
-            best = max(((lambda n: n / (width + len(b) - n))(sum((Counter(a[s:s + width]) & Counter(b)).values())), -s)
-                       for s in range(len(a) - width + 1)) if width else (0, 0)
-            if best[0] >= 0.8:
-                want.add((d, item, -best[1], width + k - 1, best[0]))
+    want = set(brute_leaks(docs, items, lambda t: (t or "").lower().replace(",", "").split()))
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as key", "2 as words")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontam.contaminated(df, bench).collect()
@@ -228,18 +246,111 @@ def test_components_of_long_paths(spark):
     assert {tuple(r) for r in out} == {(i, 0) for i in range(1, 201)} | {(501, 500)}
 
 
-def test_pipeline_stages(spark):
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Every stage's ids and texts against plain versions, on documents with
+    languages, copies, passages and leaks of each kind."""
+    import re
+
+    import corpus_pipeline
+    import tiktoken
+    from tickforge.llm import langid
+    rnd = random.Random(8)
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(90)
+    rows = [tuple(r) for r in docs.collect()]
+    items = [tuple(r)[:2] for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    prose = [r[1] for r in rows if r[1] and len(r[1].split()) > 80]
+    passage = " ".join(prose[0].split()[:55])
+    extra = [prose[1] + " " + passage, passage + " " + prose[2], prose[3], prose[3], prose[4].upper(),
+             prose[5] + " " + items[0][1], None, "", "12 34 ... 56", prose[6] * 3]
+    columns = docs.columns
+    assert columns[:2] == ["doc_id", "text"]
+    rows += [(10_000 + i, t, *rows[0][2:-1], 0) for i, t in enumerate(extra)] + [(None, prose[7], *rows[0][2:])] + [rows[5]]
+    rnd.shuffle(rows)
+    now = spark.createDataFrame(rows, docs.schema)
+
+    def texts(df):
+        return Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+    stages = dict(corpus_pipeline.STAGES)
+    saved = corpus_pipeline.saved
+    # one: the language of most letters, by a one-pass Viterbi, holds half of them
+    model = langid.train(now, ~langid.held_out() & now.doc_id.isNotNull())
+    rx = langid.word_pattern()
+
+    def accepted(text):
+        words = rx.findall((text or "").lower())
+        if not words:
+            return False
+        scores = model.word_scores(words).astype(float)
+        value, back = scores[0].copy(), []
+        for s in scores[1:]:
+            top = value.max() - 6.0
+            back.append(np.where(value >= top, np.arange(len(value)), value.argmax()))
+            value = np.maximum(value, top) + s
+        at = int(value.argmax())
+        held = Counter({model.langs[at]: len(words[-1])})
+        for k in range(len(words) - 2, -1, -1):
+            at = int(back[k][at])
+            held[model.langs[at]] += len(words[k])
+        return max(held.values()) >= 0.5 * sum(held.values())
+    one = saved(stages["language_id"](spark, now, sf), "test")
+    assert one.columns == columns
+    assert texts(one) == Counter((r[0], r[1]) for r in rows if accepted(r[1]))
+    # two: the smallest id of each group of fingerprints
+    before = [tuple(r) for r in one.collect()]
+    prints = [brute_simhash(r[1]) for r in before]
+    label = list(range(len(before)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if label[i] > label[j] and (a ^ b).bit_count() <= 3:
+                    label[i], changed = label[j], True
+    groups = {}
+    for r, k in zip(before, label):
+        groups.setdefault(k, []).append(r)
+    two = saved(stages["simhash_near_dedup"](spark, one, sf), "test")
+    known = {(r[0], r[1]) for r in before}
+    left = texts(two)
+    assert two.columns == columns and sum(left.values()) == len(groups) and set(left) <= known
+    for members in groups.values():
+        ids = [r[0] for r in members if r[0] is not None]
+        if ids:
+            assert sum(left[r[0], r[1]] for r in set(members)) == 1 and (
+                min(ids) in {d for d, _ in left if d in ids})
+    # three: no repeated string of that length, all else as it was
+    before = [tuple(r) for r in two.collect()]
+    three = saved(stages["suffix_array_dedup"](spark, two, sf), "test")
+    kept = list(brute_kept([r[1] for r in before], corpus_pipeline.PASSAGE_BYTES))
+    assert three.columns == columns and texts(three) == Counter((r[0], t) for r, t in zip(before, kept))
+    assert all(passage not in (t or "") for _, t in texts(three))
+    # four: documents that hold an item go
+    before = [tuple(r) for r in three.collect()]
+    found = {d for d, *_ in brute_leaks(
+        list(enumerate(r[1] for r in before)), items, lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower()))}
+    four = saved(stages["benchmark_decontamination"](spark, three, sf), "test")
+    assert four.columns == columns and texts(four) == Counter((r[0], r[1]) for i, r in enumerate(before) if i not in found)
+    # five: tiktoken's ids, and the text again
+    import base64
+
+    import public_tokenizers as P
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter()
+    for r in four.collect():
+        ids = coder.encode_ordinary(r["text"] or "")
+        want[r["doc_id"], len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+             hashlib.sha256((r["text"] or "").encode()).hexdigest()] += 1
+    assert Counter(tuple(r) for r in stages["byte_bpe"](spark, four, sf).collect()) == want
+
+
+def test_pipeline_runs_on_an_empty_and_a_whole_table(spark, tmp_path):
     import corpus_pipeline
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    odd = spark.createDataFrame([(10**9, None, "en", "s", 0), (None, "the and of to is it", None, None, None)], docs.schema)
-    now = docs.union(odd)
-    counts = [now.count()]
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, now, "/root/testdata/sf0.001")
-        assert out.columns == docs.columns, name
-        now = corpus_pipeline.saved(out, "test")
-        counts.append(now.count())
-    assert counts[1] == counts[0] - 1 and counts[3] == counts[2]
-    texts = [r.text for r in now.collect()]
-    assert all(n == 0 for _, n, _, _ in brute_repeats(texts, 400)) or counts[3] > counts[4]
-    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert 0 < corpus_pipeline.run(spark, sf).count() <= docs.count()
+    docs.where("false").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

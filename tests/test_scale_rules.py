@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickforge.models import linear as LIN
 from tickforge.models import recurrent as NET
+from tickforge.models import recurrent_net as NN
 from tickforge.models import tree as TR
 from tickforge.operators import clean as C
 from tickforge.operators.joins import join_small
@@ -63,11 +64,46 @@ def test_join_small_gives_the_same_rows_both_ways(spark):
         assert want == sorted(map(str, join_small(facts, small, "symbol", how, max_rows=1).collect()))
 
 
-def test_network_sample_is_bounded_and_whole_below_the_bound(spark):
-    w = spark.range(1000).select(F.lit("s").alias("symbol"), F.col("id").alias("widx"))
-    assert NET.sampled(w, 1000).count() == NET.sampled(w, 5000).count() == 1000
-    kept = [r["widx"] for r in NET.sampled(w, 100).orderBy("widx").collect()]
-    assert len(kept) == 100 and max(np.diff(kept)) == min(np.diff(kept)) == 10
+def _network_windows(spark, sizes):
+    rng = np.random.default_rng(2)
+    return spark.createDataFrame([(s, 3 + i, rng.normal(size=6).tolist(), float(i % 3))
+                                  for s, n in sizes.items() for i in range(n)],
+                                 "symbol string, widx long, x array<double>, y double")
+
+
+def _states(df):
+    return {r["symbol"]: r for r in df.collect()}
+
+
+def test_network_weights_do_not_depend_on_the_shards(spark, monkeypatch):
+    """Every window of a hot symbol trains, whatever the shards are."""
+    monkeypatch.setattr(NET, "WAVE", 1)
+    w = _network_windows(spark, {"hot": 60, "mid": 35, "low": 4})
+    whole, few, many = (_states(NET.fit(w, 3, 2, hidden=3, epochs=2, lr=1e-2, shard_rows=k)) for k in (1000, 40, 7))
+    for got in (few, many):
+        assert {s: r["n_train"] for s, r in got.items()} == {"hot": 60, "mid": 35, "low": 4}
+        for s, r in got.items():
+            assert r["step"] == whole[s]["step"]
+            for c in ("params", "adam_m", "adam_v", "losses"):
+                assert np.allclose(r[c], whole[s][c], rtol=1e-9, atol=1e-12), (s, c)
+
+
+def test_network_of_a_sharded_symbol_resumes(spark):
+    w = _network_windows(spark, {"hot": 40, "low": 5})
+    once = NET.fit(w, 3, 2, hidden=3, epochs=1, lr=1e-2, shard_rows=1000)
+    again = [_states(NET.fit(w, 3, 2, hidden=3, epochs=1, lr=1e-2, init=once, shard_rows=k)) for k in (1000, 9)]
+    assert set(again[1]) == {"hot", "low"} and again[1]["hot"]["step"] == 2 * _states(once)["hot"]["step"]
+    assert np.allclose(again[0]["hot"]["params"], again[1]["hot"]["params"], rtol=1e-9)
+
+
+def test_network_reads_every_window_in_each_epoch():
+    widx = np.arange(5_000)
+    for epoch in range(3):
+        dealt = NN.minibatch_of(widx, 7, epoch, NN.minibatch_count(len(widx), 16, 64))
+        assert set(dealt) == set(range(64))
+        assert np.bincount(dealt).max() < 130
+    assert (NN.minibatch_of(widx, 7, 0, 64) != NN.minibatch_of(widx, 7, 1, 64)).any()
+    assert NN.minibatch_count(100, 16, 64) == 7 and NN.minibatch_count(10**9, 16, 64) == 64
 
 
 def test_network_gives_the_loss_of_every_epoch(spark):

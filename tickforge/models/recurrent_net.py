@@ -158,25 +158,61 @@ def adam_step(flat, m, v, step, grad, lr):
     return flat, m, v, step
 
 
-def train_epochs(flat, m, v, step, layout, X, y, epochs, batch_size, lr, rng):
-    """Shuffled minibatch Adam; returns state and the mean batch loss of each
-    epoch.  ``rng`` is a generator, or a function ``epoch -> generator``
-    (0-based epoch within this call) for per-epoch seeding."""
-    n = len(y)
+def minibatch_count(n: int, batch_size: int, max_steps: int) -> int:
+    """Steps of an epoch: batches of ``batch_size``, larger ones where that
+    would take more than ``max_steps``."""
+    return max(1, min(-(-n // batch_size), max_steps))
+
+
+def minibatch_of(widx: np.ndarray, seed: int, epoch: int, batches: int) -> np.ndarray:
+    """Minibatch of each window in an epoch: a seeded hash of its number, so
+    that every task that holds some windows deals them alike."""
+    z = np.asarray(widx, np.int64).astype(np.uint64)
+    z = z + np.uint64((0x9E3779B97F4A7C15 * (1 + epoch) + seed * 0xD1B54A32D192ED03) % 2 ** 64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    z ^= z >> np.uint64(31)
+    return (z % np.uint64(batches)).astype(np.int64)
+
+
+def gradient_sum(flat, layout, X, y, at_once: int = 8192):
+    """(windows, sum of squared errors, sum of their gradients), in pieces."""
+    loss, grad = 0.0, np.zeros(layout.size)
+    for k in range(0, len(y), at_once):
+        own, g = loss_and_grad(flat, layout, X[k:k + at_once], y[k:k + at_once])
+        size = len(y[k:k + at_once])
+        loss += own * size
+        grad += g * size
+    return len(y), loss, grad
+
+
+def train_batches(flat, m, v, step, layout, X, y, epochs, lr, batches):
+    """Minibatch Adam over the index arrays of ``batches(epoch)``; returns the
+    state and the mean batch loss of each epoch.  Empty batches are no step."""
     losses = []
     for e in range(epochs):
-        order = (rng(e) if callable(rng) else rng).permutation(n)
-        total, batches = 0.0, 0
-        for s in range(0, n, batch_size):
-            idx = order[s:s + batch_size]
+        total, steps = 0.0, 0
+        for idx in batches(e):
+            if len(idx) == 0:
+                continue
             loss, g = loss_and_grad(flat, layout, X[idx], y[idx])
             flat, m, v, step = adam_step(flat, m, v, step, g, lr)
             total += loss
-            batches += 1
-        losses.append(total / max(batches, 1))
+            steps += 1
+        losses.append(total / max(steps, 1))
     return flat, m, v, step, losses
 
 
+def train_epochs(flat, m, v, step, layout, X, y, epochs, batch_size, lr, rng):
+    """Shuffled minibatch Adam; returns state and the mean batch loss of each
+    epoch.  ``rng`` is a generator, or a function ``epoch -> generator``
+    (0-based epoch within this call) for per-epoch seeding."""
+    def batches(e):
+        order = (rng(e) if callable(rng) else rng).permutation(len(y))
+        return (order[s:s + batch_size] for s in range(0, len(y), batch_size))
+    return train_batches(flat, m, v, step, layout, X, y, epochs, lr, batches)
+
+
 def online_update(flat, m, v, step, layout, x_window, y_value, lr):
     """Predict one window, then learn from its observed target (one Adam
     step).  Returns (prediction before the update, loss, new state)."""

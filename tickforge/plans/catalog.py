@@ -647,6 +647,54 @@ def stream_ema5_q(spark, sf):
     return spark.read.parquet(paths.capture).select("symbol", "datetime", "close", "EMA5")
 
 
+from tickforge.streaming import dedup as SD  # noqa: E402
+
+#: Deliveries of the dedup stream, and what each repeats: seconds before its
+#: range, and the oldest seconds of all (older than the watermark by then).
+DELIVERIES, AGAIN_SECONDS, STALE_SECONDS = 3, 1800, 3600
+
+
+def _dedup_stream(spark, sf):
+    ticks = I.minute_ticks(spark, sf)
+    root = SJ.new_scratch(spark, "stream-dedup")
+    paths = SD.DedupPaths(f"{root}/out")
+    for k, rows in enumerate(SD.redelivered(ticks, DELIVERIES, AGAIN_SECONDS, STALE_SECONDS)):
+        SD.deliver(rows, f"{root}/msgs/chunk={k:05d}", "ingest_order")
+        # each delivery is a micro-batch of a query that was stopped before
+        paths = SD.run_dedup(spark, lambda: SJ.message_stream(spark, f"{root}/msgs"), paths.root)
+    return paths
+
+
+@query("stream_dedup", ORACLE["dedup_keep_first"])
+def stream_dedup_q(spark, sf):
+    """P5 on streams: ticks delivered in three overlapping micro-batches, the
+    query restarted between them; the kept bars are those of the batch rule."""
+    return SD.read_kept(spark, _dedup_stream(spark, sf).kept)
+
+
+@query("stream_counts", f"""
+WITH t AS (SELECT symbol, datetime, epoch_us(datetime::TIMESTAMP) AS us FROM ({Q.MINUTE_TICKS})),
+b AS (SELECT min(us) AS lo, (max(us) + 1 - min(us) + {DELIVERIES - 1}) // {DELIVERIES} AS step FROM t),
+d AS (SELECT k, t.*, lo, lo + k * step AS start_us
+      FROM t, b, unnest(range({DELIVERIES})) AS r(k)
+      WHERE (us >= lo + k * step - CASE WHEN k > 0 THEN {AGAIN_SECONDS * 1_000_000} ELSE 0 END AND us < lo + (k + 1) * step)
+         OR (k > 0 AND us < lo + {STALE_SECONDS * 1_000_000}))
+SELECT k AS batch_id, count(*) AS messages, count(*) AS bars,
+       count(DISTINCT (symbol, datetime)) FILTER (us >= start_us) AS kept,
+       count(*) FILTER (NOT (k > 0 AND us < lo + {STALE_SECONDS * 1_000_000}))
+           - count(DISTINCT (symbol, datetime)) FILTER (us >= start_us) AS duplicates,
+       count(*) FILTER (k > 0 AND us < lo + {STALE_SECONDS * 1_000_000}) AS late
+FROM d GROUP BY k""")
+def stream_counts_q(spark, sf):
+    """A6 on streams: messages, bars, kept, duplicates and late rows of each
+    micro-batch, from observed metrics and the operator's own counters."""
+    counts = SD.read_counts(spark, _dedup_stream(spark, sf))
+    from pyspark.sql import Window
+    # batches without messages only move the watermark: number the others
+    number = F.row_number().over(Window.orderBy("batch_id")) - 1
+    return counts.withColumn("batch_id", number.cast("long"))
+
+
 def _stream_scorer(models):
     """Per-batch scoring of the stateless models on the stream's windows."""
     cfg = models.config

@@ -53,7 +53,7 @@ class Models:
     tree: DataFrame
     knn_train: DataFrame
     recurrent: DataFrame
-    knn_index: tuple | None = None
+    knn_index: KNN.Index | None = None
 
     def __post_init__(self):
         if self.knn_index is None:

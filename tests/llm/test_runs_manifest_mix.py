@@ -163,6 +163,12 @@ def test_manifest_of_odd_rows(spark, monkeypatch):
     got = sorted((tuple(r) for r in merkle.verified(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
     assert got == sorted(brute_manifest(rows), key=repr)
     assert {r[6] for r in got} == {True, False}
+    book = merkle.build(spark.createDataFrame([("k", i, bytes([i]) * 32, bytes([i]) * 32) for i in range(20)],
+                                              "key string, id long, leaf binary, claimed binary"))
+    proof = {r.id: r for r in merkle.proofs(book).collect()}
+    assert all(bytes(r.folded) == book.root for r in proof.values())
+    assert bytes(proof[0].siblings)[:15 * 32] == b"".join(bytes([i]) * 32 for i in range(1, 16))
+    assert len(proof[0].siblings) == 16 * 32 and len(proof[19].siblings) == 4 * 32
     assert merkle.verified(spark.createDataFrame([], SCHEMA)).count() == 0
 
 

@@ -150,10 +150,14 @@ CLIMB = """
     SELECT * FROM climb"""
 
 
-def proofs(manifest: Manifest) -> DataFrame:
-    """Per leaf: tree, i, id, leaf, siblings (the digests of the proof, level
-    by level from the leaf to the root, left to right) and folded, the root
-    that its claimed hash leads to.
+SUBSET_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def proofs(manifest: Manifest, digests: bool = False) -> DataFrame:
+    """Per leaf, stored: tree, i, id, leaf, folded (the root that its claimed
+    hash leads to) and siblings, the digests of the proof, level by level from
+    the leaf to the root, left to right; with ``digests`` only the hash of
+    their hex text, proof_sha256.
 
     Each step of the climb appends a row that names the siblings it passes (the
     parent's node row and the own place); their digests, fifteen a step, join
@@ -161,8 +165,6 @@ def proofs(manifest: Manifest) -> DataFrame:
     further shuffle."""
     spark = manifest.leaves.sparkSession
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # rows grow with the table; levels end the climb
-    # tables dealt by (own, block) join on these and more columns as they lie
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     most = height(manifest.trees.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0])
     block = F.expr(f"i div {LEAF_BLOCK}")
@@ -186,11 +188,20 @@ def proofs(manifest: Manifest) -> DataFrame:
                          F.col("idx").alias("up_idx"), "kids").repartition(parts, "own", "block")
     passed = F.concat(F.expr("substring(kids, 1, 32 * pos)"), F.expr("substring(kids, 32 * pos + 33)"))
     steps = climbed.join(held.hint("shuffle_hash"), ["own", "block", "up_tree", "up_level", "up_idx"], "left")
-    return steps.groupBy(F.col("own").alias("tree"), "block", "i").agg(
+    path = F.array_sort(F.collect_list(F.struct("step", F.coalesce(passed, F.lit(b"")).alias("siblings"))))
+    out = steps.groupBy(F.col("own").alias("tree"), "block", "i").agg(
         F.max("id").alias("id"), F.max("leaf").alias("leaf"), F.max_by("folded", "step").alias("folded"),
-        F.array_sort(F.collect_list(F.struct("step", F.coalesce(passed, F.lit(b"")).alias("siblings")))).alias("path")).select(
-        "tree", "i", "id", "leaf", "folded",
-        F.expr("aggregate(path, X'', (a, s) -> concat(a, s.siblings))").alias("siblings"))
+        path.alias("path")).withColumn("siblings", F.expr("aggregate(path, X'', (a, s) -> concat(a, s.siblings))"))
+    if digests:
+        out = out.withColumn("proof_sha256", F.sha2(F.lower(F.hex("siblings")).cast("binary"), 256))
+    out = out.select("tree", "i", "id", "leaf", "folded", "proof_sha256" if digests else "siblings")
+    # tables dealt by (own, block) join on these and more columns as they lie; for this job only
+    before = spark.conf.get(SUBSET_KEYS)
+    spark.conf.set(SUBSET_KEYS, "false")
+    try:
+        return saved(out, "merkle-proofs")
+    finally:
+        spark.conf.set(SUBSET_KEYS, before)
 
 
 def tampered_text(doc_id, text) -> Column:
@@ -213,12 +224,11 @@ def verified(docs: DataFrame) -> DataFrame:
                        digest(row_text(own)).alias("leaf"), digest(row_text(bent)).alias("claimed"))
     book = build(rows)
     root = F.lit(book.root.hex() if book.root else None).cast("string")
-    out = join_small(proofs(book), book.trees.select("tree", "subroot"), "tree")
+    out = join_small(proofs(book, digests=True), book.trees.select("tree", "subroot"), "tree")
     folded = F.lower(F.hex("folded"))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.hex("leaf")).alias("leaf"),
                       F.lower(F.hex("subroot")).alias("subroot"), root.alias("root"),
-                      F.sha2(F.lower(F.hex("siblings")).cast("binary"), 256).alias("proof_sha256"),
-                      folded.alias("folded_root"), (folded == root).alias("verified"))
+                      "proof_sha256", folded.alias("folded_root"), (folded == root).alias("verified"))
 
 
 def oracle() -> str:

@@ -5,8 +5,10 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tickforge.operators import clean as C
+from tickforge.operators import indicators as IND
+from tickforge.operators import sequence as SQ
 from tickforge.operators.indicators import with_ema
-from tickforge.operators.sequence import plan_blocks, sequence_frame
+from tickforge.operators.sequence import sequence_frame
 from tickforge.plans import inputs as I
 from conftest import SF001, SF01
 
@@ -84,13 +86,83 @@ def test_ema_within_running_range(spark):
     assert ((out["EMA5"] >= lo - 1e-9) & (out["EMA5"] <= hi + 1e-9)).all()
 
 
-def test_plan_blocks_halo_and_positions():
-    counts = pd.DataFrame({"symbol": ["s"] * 6, "_sq_bkt": range(6), "_sq_cnt": [5, 1, 7, 2, 2, 9]})
-    plan = plan_blocks(counts, block_rows=6, lookback=3, key_cols=["symbol"])
-    # every block but the last holds >= block_rows rows
-    sizes = counts.assign(b=plan["_sq_blk"]).groupby("b")["_sq_cnt"].sum()
-    assert (sizes.iloc[:-1] >= 6).all()
-    assert plan["_sq_n"].iloc[0] == 26
+@pytest.mark.parametrize("group", [1024, 2])
+def test_plan_blocks_halo_and_positions(spark, monkeypatch, group):
+    monkeypatch.setattr(SQ, "GROUP_BUCKETS", group)
+    sizes = [5, 1, 7, 2, 2, 9]
+    cells = spark.createDataFrame([("s", i, 0, n) for i, n in enumerate(sizes)],
+                                  "symbol string, _sq_bkt long, _sq_sub int, _sq_cnt long")
+    plan = SQ.plan_blocks(cells, ["symbol"], block_rows=6, lookback=3).toPandas().sort_values("_sq_bkt")
+    start = np.cumsum([0] + sizes[:-1])
+    assert (plan["_sq_start"] == start).all() and (plan["_sq_n"] == 26).all()
+    assert (plan["_sq_blk"] == start // 6).all()
+    # a bucket goes to every later block that begins less than 3 rows after its end
+    first = {blk: start[plan["_sq_blk"] == blk].min() for blk in set(plan["_sq_blk"])}
+    for blk, s0, n, dst in zip(plan["_sq_blk"], start, sizes, plan["_sq_dst"]):
+        assert list(dst) == [blk] + [b for b in sorted(first) if b > blk and first[b] - 3 < s0 + n]
+
+
+def _dense_minute(spark, ties):
+    """900 rows of one key in one minute, half of them at one moment, and few others."""
+    at = F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 50) if ties else F.col("id") % 60
+    hot = spark.range(900).select(F.lit("hot").alias("symbol"), "id", F.timestamp_seconds(
+        F.lit(1_700_000_040) + at).alias("ts"))
+    low = spark.range(70).select(F.when(F.col("id") < 40, "hot").otherwise("low").alias("symbol"),
+                                 (F.col("id") + 5000).alias("id"),
+                                 F.timestamp_seconds(F.lit(1_699_990_000) + F.col("id") * 700).alias("ts"))
+    return hot.unionByName(low)
+
+
+@pytest.mark.parametrize("ties", [True, False])
+def test_a_dense_bucket_spreads_over_blocks(spark, ties):
+    sf = sequence_frame(_dense_minute(spark, ties), "symbol", ["ts", "id"], lookback=3, block_rows=40,
+                        bucket_seconds=60)
+    assert sf.split
+    rows = sf.df.withColumn("p", sf.position()).withColumn(
+        "back", F.collect_list("id").over(sf.rows(-3, 0)))
+    assert rows.groupBy("symbol", "_sq_blk").count().agg(F.max("count")).first()[0] < 200
+    got = sf.finish(rows).toPandas().sort_values(["symbol", "ts", "id"]).reset_index(drop=True)
+    assert len(got) == 970
+    for _, one in got.groupby("symbol"):
+        ids = one["id"].tolist()
+        assert one["p"].tolist() == list(range(len(one)))
+        assert [list(v) for v in one["back"]] == [ids[max(0, i - 3):i + 1] for i in range(len(ids))]
+
+
+def test_new_bar_flags_of_a_skewed_minute(spark):
+    from tickforge.operators.features import flag_new_bars
+    polls = _dense_minute(spark, True).withColumnRenamed("ts", "poll_ts").withColumn(
+        "bar_datetime", F.floor(F.col("id") / 7))
+    one, many = (flag_new_bars(polls, "symbol", ["poll_ts", "id"], block_rows=k).toPandas()
+                 .sort_values("id")["is_new"].tolist() for k in (5000, 25))
+    assert one == many and len(one) == 970
+
+
+def _series(spark, values):
+    return spark.createDataFrame([(s, i, float(v)) for s, vs in values.items() for i, v in enumerate(vs)],
+                                 "symbol string, i long, close double").withColumn(
+        "datetime", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("i") * 3600)).drop("i")
+
+
+def _series_cases():
+    rng = np.random.default_rng(4)
+    gaps = np.where(rng.random(900) < 0.4, np.nan, rng.normal(size=900) * 10.0 ** rng.integers(-9, 30, 900))
+    gaps[300:700] = np.nan
+    late = np.r_[np.full(400, np.nan), rng.normal(size=300)]
+    return {"fall": np.r_[np.full(200, 1e30), np.ones(700)], "gaps": gaps, "late": late, "short": [3.0, 4.0],
+            "walk": 100 + np.cumsum(rng.normal(size=1500))}
+
+
+@pytest.mark.parametrize("chunk", [256, 2])
+def test_blocked_ema_equals_the_recursion_after_extreme_falls(spark, monkeypatch, chunk):
+    monkeypatch.setattr(IND, "CHUNK_BLOCKS", chunk)
+    cases = _series_cases()
+    got = with_ema(_series(spark, cases), block_rows=130).toPandas().sort_values(["symbol", "datetime"])
+    for symbol, values in cases.items():
+        want = pd.Series(values).ewm(span=5, adjust=False).mean().to_numpy()
+        have = got.loc[got["symbol"] == symbol, "EMA5"].to_numpy(float)
+        assert np.array_equal(np.isnan(have), np.isnan(want)), symbol
+        assert np.allclose(have, want, rtol=1e-12, atol=0, equal_nan=True), symbol
 
 
 def test_sequence_positions_exact(spark):

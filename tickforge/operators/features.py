@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickforge.functions.ema import EMA_SPAN, ema_frame_rows
-from tickforge.operators.indicators import ema_recursive
+from tickforge.operators.indicators import blocked_ema
 from tickforge.operators.joins import join_small
-from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, map_blocks, ordered_frame, sequence_frame
+from tickforge.operators.sequence import DEFAULT_BLOCK_ROWS, ordered_frame, sequence_frame
 from tickforge.schemas import DEFAULT_SEQ_LEN, FEATURES_G2
 
 FIT_FRACTION = 0.8
@@ -33,12 +33,7 @@ def with_positions(bars: DataFrame, keys: list[str] | str = "symbol",
     if not ema_span:
         df = sf.df.withColumn("pos", sf.position()).withColumn("n", sf.count())
         return sf.finish(df)
-
-    def fn(pdf):
-        pdf["EMA5"] = ema_recursive(pdf["close"].astype(float), ema_span).to_numpy()
-        return pdf
-    return map_blocks(sf, fn, [T.StructField("EMA5", T.DoubleType())],
-                      with_position="pos", with_count="n")
+    return blocked_ema(sf, "close", ema_span, "EMA5", with_position="pos", with_count="n")
 
 
 def fit_rows(pos: str = "pos", n: str = "n", fraction: float = FIT_FRACTION) -> Column:

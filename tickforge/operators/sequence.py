@@ -9,16 +9,17 @@ last ``lookback`` rows of every block into the next one (a halo).  Any frame
 rows it would see over the whole series, and the window is partitioned by
 ``(key, block)``: many tasks per hot key, one sort per block.
 
-Block boundaries are planned on a small table — row counts per key and time
-bucket (a day by default) — so the plan costs one partial aggregation and a
-join of the data with a table of ``#keys × #buckets`` rows (broadcast by AQE
-when it measured it small, shuffled otherwise).  The per-key planning step is
-a sequential scan over that key's buckets (thousands of rows for decades of
-daily buckets), never over the data rows.
-
-Positions are exact: the global 0-based position of a row within its key is
-``block_start - halo_rows + row_number() - 1`` inside its block, and the
-total count per key comes from the same small table.
+Block boundaries are planned on a small stored table: row counts per key and
+time bucket (a day by default).  Prefix counts over it are taken in two
+levels (groups of buckets, then buckets of a group), and a block is every
+bucket that starts within the same ``block_rows`` positions.  A bucket of more
+than ``block_rows`` rows is split first, at splitters drawn from its own rows
+by a hash of the order columns, so one dense minute spreads over many blocks.
+The data is joined with the plan by bucket (broadcast by AQE when it measured
+it small, shuffled otherwise).
+
+Positions are exact: each bucket (or part of one) knows the 0-based position
+of its first row within the key, and a block's frame begins with a whole one.
 """
 
 from __future__ import annotations
@@ -31,13 +32,20 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickforge.operators.joins import join_small
+from tickforge.session import materialize
+
 DEFAULT_BLOCK_ROWS = 1 << 20
 DEFAULT_BUCKET_SECONDS = 86_400
 
-BKT, BLK, NXT, BSTART, HCOUNT, NTOTAL, HALO, CNT = (
-    "_sq_bkt", "_sq_blk", "_sq_next", "_sq_bstart", "_sq_hcount", "_sq_n",
-    "_sq_halo", "_sq_cnt")
-_HELPERS = [BKT, BLK, NXT, BSTART, HCOUNT, NTOTAL, HALO]
+#: Buckets whose prefix counts one group adds up.
+GROUP_BUCKETS = 1024
+#: Rows drawn for one splitter of a dense bucket.
+DRAWN_PER_SPLITTER = 16
+
+BKT, SUB, BLK, DST, START, NTOTAL, HALO, CNT = (
+    "_sq_bkt", "_sq_sub", "_sq_blk", "_sq_dst", "_sq_start", "_sq_n", "_sq_halo", "_sq_cnt")
+_HELPERS = [BKT, SUB, BLK, START, NTOTAL, HALO]
 
 
 def time_bucket(col: str | Column, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
@@ -46,44 +54,51 @@ def time_bucket(col: str | Column, seconds: int = DEFAULT_BUCKET_SECONDS) -> Col
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
-def plan_blocks(counts: pd.DataFrame, block_rows: int, lookback: int,
-                key_cols: list[str]) -> pd.DataFrame:
-    """Greedy block plan for the buckets of ONE key (pandas, tiny input).
+def plan_blocks(cells: DataFrame, keys: list[str], block_rows: int, lookback: int) -> DataFrame:
+    """Block plan of ``cells`` (keys, bucket, part of the bucket, rows).
 
-    Buckets are taken in time order and closed into a block once the block
-    holds ``block_rows`` rows, so every block but the last has at least
-    ``block_rows >= lookback`` rows and a halo only ever comes from the
-    previous block.  A bucket is copied forward when it overlaps the last
-    ``lookback`` rows of its block.
+    Adds each cell's first position in its key, the rows of the key, its block
+    and ``_sq_dst``: the block and those it is copied to because it overlaps
+    the ``lookback`` rows before them.  With ``block_rows >= lookback`` these
+    are at most the next two blocks that have rows.
     """
-    counts = counts.sort_values(BKT, kind="stable").reset_index(drop=True)
-    cnt = counts[CNT].to_numpy(np.int64)
-    n = len(cnt)
-    blk = np.empty(n, np.int64)
-    acc, b = 0, 0
-    for i in range(n):
-        if acc >= block_rows:
-            b, acc = b + 1, 0
-        blk[i] = b
-        acc += cnt[i]
-    end = np.cumsum(cnt)
-    start = end - cnt
-    nblk = b + 1
-    bstart = np.full(nblk, np.iinfo(np.int64).max)
-    bend = np.zeros(nblk, np.int64)
-    np.minimum.at(bstart, blk, start)
-    np.maximum.at(bend, blk, end)
-    eligible = (lookback > 0) & (blk < nblk - 1) & (end > bend[blk] - lookback)
-    halo_in = np.zeros(nblk + 1, np.int64)
-    np.add.at(halo_in, blk[eligible] + 1, cnt[eligible])
-    out = counts[key_cols + [BKT]].copy()
-    out[BLK] = blk
-    out[NXT] = pd.array(np.where(eligible, blk + 1, 0), dtype="Int64")
-    out.loc[~eligible, NXT] = pd.NA
-    out[BSTART] = bstart[blk]
-    out[HCOUNT] = halo_in[blk]
-    out[NTOTAL] = int(end[-1]) if n else 0
-    return out
+    by_key = Window.partitionBy(*keys)
+    before = (Window.unboundedPreceding, -1)
+    grouped = cells.withColumn("_sq_g", F.floor(F.col(BKT) / F.lit(GROUP_BUCKETS)))
+    groups = (grouped.groupBy(*keys, "_sq_g").agg(F.sum(CNT).alias("_sq_gn"))
+              .withColumn("_sq_g0", F.coalesce(F.sum("_sq_gn").over(
+                  by_key.orderBy("_sq_g").rowsBetween(*before)), F.lit(0)))
+              .withColumn(NTOTAL, F.sum("_sq_gn").over(by_key)).drop("_sq_gn"))
+    inside = Window.partitionBy(*keys, "_sq_g").orderBy(BKT, SUB).rowsBetween(*before)
+    placed = (grouped.join(groups, [*keys, "_sq_g"])
+              .withColumn(START, F.col("_sq_g0") + F.coalesce(F.sum(CNT).over(inside), F.lit(0)))
+              .withColumn(BLK, F.floor(F.col(START) / F.lit(block_rows))))
+    in_order = by_key.orderBy(BLK)
+    blocks = placed.groupBy(*keys, BLK).agg(F.min(START).alias("_sq_b0"))
+    blocks = blocks.select(*keys, BLK, *[F.lead(c, k).over(in_order).alias(f"{c}_{k}")
+                                         for c in (BLK, "_sq_b0") for k in (1, 2)])
+    reach = F.col(START) + F.col(CNT) + F.lit(lookback)
+    dst = F.array(F.col(BLK), *[F.when(F.col(f"_sq_b0_{k}") < reach, F.col(f"{BLK}_{k}")) for k in (1, 2)])
+    return placed.join(blocks, [*keys, BLK]).select(
+        *keys, BKT, SUB, CNT, START, NTOTAL, BLK, F.filter(dst, lambda b: b.isNotNull()).alias(DST))
+
+
+def _split_dense(rows: DataFrame, counts: DataFrame, keys: list[str], order: list[str],
+                 block_rows: int) -> DataFrame:
+    """``rows`` with ``_sq_sub``, the part of its bucket a row lies in: 0, or
+    the splitters before it where the bucket has more than ``block_rows`` rows."""
+    at = F.struct(*order)
+    drawn = F.pmod(F.xxhash64(*order), F.lit(max(1, block_rows // DRAWN_PER_SPLITTER))) == 0
+    dense = counts.where(F.col(CNT) > block_rows).select(*keys, BKT)
+    splitters = materialize(
+        join_small(rows.where(drawn).select(*keys, BKT, at.alias("_sq_at")), dense, [*keys, BKT])
+        .groupBy(*keys, BKT).agg(F.sort_array(F.collect_list("_sq_at")).alias("_sq_all"))
+        .select(*keys, BKT, F.filter("_sq_all", lambda x, i: i % DRAWN_PER_SPLITTER == DRAWN_PER_SPLITTER - 1)
+                .alias("_sq_split")))
+    part = F.when(F.col("_sq_split").isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("_sq_split", lambda x: x < at)))
+    return (join_small(rows, splitters, [*keys, BKT], "left")
+            .withColumn(SUB, part.cast("int")).drop("_sq_split"))
 
 
 @dataclass
@@ -94,6 +109,8 @@ class SeqFrame:
     keys: list[str]
     order: list[str]
     lookback: int
+    #: False where no key has rows beyond its first block.
+    split: bool = True
 
     @property
     def window(self) -> WindowSpec:
@@ -106,7 +123,7 @@ class SeqFrame:
 
     def position(self) -> Column:
         """Global 0-based position of the row within its key."""
-        return (F.col(BSTART) - F.col(HCOUNT) + F.row_number().over(self.window) - 1)
+        return F.first(START).over(self.window) + F.row_number().over(self.window) - 1
 
     @staticmethod
     def count() -> Column:
@@ -126,34 +143,29 @@ def sequence_frame(df: DataFrame, keys: list[str] | str, order: list[str] | str,
 
     ``order`` must be unique within a key (bars: ``datetime``); ``bucket``
     must be non-decreasing in ``order`` (default: ``order[0]`` cut into
-    ``bucket_seconds``).  A bucket is never split, so its width must keep a
-    bucket's rows bounded: a day suits bars, raw events want minutes.
-    Key columns must be non-null.
+    ``bucket_seconds``).  Buckets that hold few rows each plan best: a day
+    suits bars, raw events want minutes.  Key columns must be non-null.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
     if block_rows < max(lookback, 1):
         raise ValueError("block_rows must be at least lookback")
     bucket = time_bucket(order[0], bucket_seconds) if bucket is None else bucket
-    with_bkt = df.withColumn(BKT, bucket)
-    counts = with_bkt.groupBy(*keys, BKT).agg(F.count(F.lit(1)).alias(CNT))
-    key_fields = [df.schema[k] for k in keys]
-    plan_schema = T.StructType(key_fields + [
-        T.StructField(BKT, T.LongType()), T.StructField(BLK, T.LongType()),
-        T.StructField(NXT, T.LongType()), T.StructField(BSTART, T.LongType()),
-        T.StructField(HCOUNT, T.LongType()), T.StructField(NTOTAL, T.LongType())])
-
-    def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
-        return plan_blocks(pdf, block_rows, lookback, keys)
-
-    plan = counts.groupBy(*keys).applyInPandas(_plan, plan_schema)
-    joined = with_bkt.join(plan, [*keys, BKT])
-    dst = F.explode(F.when(F.col(NXT).isNotNull(), F.array(F.col(BLK), F.col(NXT)))
-                    .otherwise(F.array(F.col(BLK))))
-    blocked = (joined.withColumn("_sq_dst", dst)
-               .withColumn(HALO, F.col("_sq_dst") != F.col(BLK))
-               .withColumn(BLK, F.col("_sq_dst")).drop("_sq_dst"))
-    return SeqFrame(blocked, keys, order, lookback)
+    rows = df.withColumn(BKT, bucket)
+    counts = materialize(rows.groupBy(*keys, BKT).agg(F.count(F.lit(1)).alias(CNT)))
+    most = (counts.groupBy(*keys).agg(F.sum(CNT).alias("n"), F.max(CNT).alias("m"))
+            .agg(F.max("n").alias("n"), F.max("m").alias("m")).first())
+    if (most["m"] or 0) > block_rows:
+        rows = _split_dense(rows, counts, keys, order, block_rows)
+        cells = materialize(rows.groupBy(*keys, BKT, SUB).agg(F.count(F.lit(1)).alias(CNT)))
+        plan = materialize(plan_blocks(cells, keys, block_rows, lookback).drop(CNT, BLK))
+        joined = join_small(rows, plan, [*keys, BKT, SUB])
+    else:
+        plan = plan_blocks(counts.withColumn(SUB, F.lit(0)), keys, block_rows, lookback)
+        joined = rows.join(plan.drop(CNT, BLK), [*keys, BKT])
+    blocked = (joined.select("*", F.posexplode(DST).alias("_sq_copy", BLK))
+               .withColumn(HALO, F.col("_sq_copy") > 0).drop(DST, "_sq_copy"))
+    return SeqFrame(blocked, keys, order, lookback, (most["n"] or 0) > block_rows)
 
 
 def position_frame(df: DataFrame, keys: list[str] | str, lookback: int, pos: str = "pos",
@@ -174,11 +186,11 @@ def position_frame(df: DataFrame, keys: list[str] | str, lookback: int, pos: str
     out = (df.withColumn("_sq_dst", dst)
            .withColumn(HALO, F.col("_sq_dst") != blk)
            .withColumn(BLK, F.col("_sq_dst"))
-           .withColumn(BSTART, F.col(BLK) * F.lit(block_rows))
-           .withColumn(HCOUNT, F.when(F.col(BLK) > 0, F.lit(lookback)).otherwise(F.lit(0)))
+           .withColumn(START, F.when(F.col(BLK) > 0, F.col(BLK) * F.lit(block_rows) - F.lit(lookback))
+                       .otherwise(F.lit(0)).cast("long"))
            .withColumn(NTOTAL, F.col(n) if n else F.lit(None).cast("long"))
            .withColumn(BKT, F.lit(None).cast("long"))
-           .withColumn(NXT, F.lit(None).cast("long"))
+           .withColumn(SUB, F.lit(0))
            .drop("_sq_dst"))
     return SeqFrame(out, keys, [pos], lookback)
 
@@ -219,7 +231,7 @@ def map_blocks(sf: SeqFrame, fn, added: list[T.StructField], with_position: str
         pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
         pdf = fn(pdf)
         if with_position:
-            pdf[with_position] = (pdf[BSTART] - pdf[HCOUNT]).to_numpy() + np.arange(len(pdf))
+            pdf[with_position] = pdf[START].iloc[0] + np.arange(len(pdf))
         if with_count:
             pdf[with_count] = pdf[NTOTAL]
         return pdf.loc[~pdf[HALO].astype(bool), names]

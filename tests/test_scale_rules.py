@@ -132,6 +132,38 @@ def test_only_published_versions_count(spark):
     assert UP.read_latest(spark, path).first()["v_"] == 3.0
 
 
+def _parts_written(spark, path, version):
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true").load(f"{path}/data/v={version}").select("path").collect()
+    return {r["path"].split("_part=")[1].split("/")[0] for r in files}
+
+
+def test_upsert_writes_only_the_partitions_a_batch_touches(spark):
+    path, schema = new_scratch(spark, "test-parts"), "k string, first double, last double"
+    plain = {}
+    batches = [[(f"{m:02d}-{i}", 0.0, 0.0) for m in range(6) for i in range(5)],
+               [("01-2", 1.0, 1.0), ("01-9", 1.0, 1.0), ("07/1", 1.0, 1.0)],
+               [], [("01-9", 3.0, 3.0), (None, 3.0, 3.0), ("", 3.0, 3.0)],
+               [("05-0", 4.0, 4.0)]]
+    want_parts = [{f"p{m:02d}" for m in range(6)}, {"p01", "p07"}, set(), {"p01", "p"}, {"p05"}]
+    for v, rows in enumerate(batches):
+        for _ in range(2 if v == 1 else 1):             # a replayed batch
+            UP.upsert_table(spark.createDataFrame(rows, schema), path, ["k"], ["last"], version=v,
+                            touched_col=None, part=F.substring("k", 1, 2))
+        for k, first, last in rows:
+            if k is not None:
+                plain[k] = (plain.get(k, (first,))[0], last)
+        if rows:
+            assert _parts_written(spark, path, v) == want_parts[v]
+        got = UP.read_latest(spark, path).collect()
+        assert {r["k"]: (r["first"], r["last"]) for r in got if r["k"] is not None} == plain
+        assert len(got) == len(plain) + (v >= 3)
+    assert UP.published(spark, path) == [3, 4]
+    # partitions that no kept list names are gone, the others stay where they were written
+    assert _parts_written(spark, path, 0) == {"p00", "p02", "p03", "p04", "p05"}
+    assert _parts_written(spark, path, 1) == {"p07"}
+
+
 def test_cleaning_needs_an_ingest_order(spark, six_bars):
     with pytest.raises(ValueError):
         C.clean_bars(six_bars)

@@ -569,6 +569,21 @@ def upsert_latest_q(spark, sf):
     return merged.drop("created_at")
 
 
+@query("upsert_batches", ORACLE["upsert_latest"])
+def upsert_batches_q(spark, sf):
+    """K4 on the stored table: the rows of ``upsert_latest`` in three batches,
+    each merged into the partitions (symbol share, month) it touches."""
+    rows = materialize(_with_lags(spark, sf))
+    late = rows.where(F.col("datetime") >= F.lit(UPDATES_FROM).cast("timestamp"))
+    path = SJ.new_scratch(spark, "upsert-batches")
+    batches = [result_rows(rows.where(F.col("datetime") < F.lit(TARGET_BEFORE).cast("timestamp")), "prev_close"),
+               result_rows(late, "prev_close"), result_rows(late, "prev_ema")]
+    for version, batch in enumerate(batches):
+        UP.upsert_table(batch, path, ["symbol", "trade_date"], UPSERT_UPDATE_COLS, version,
+                        part=SJ.result_part())
+    return UP.read_latest(spark, path).drop("created_at")
+
+
 @query("unpivot_predictions", """
 SELECT symbol, round(predicted_price, 6) AS predicted_price, round(actual_price, 6) AS actual_price,
        model_type, timestamp FROM (

@@ -167,6 +167,11 @@ def result_rows(bars: DataFrame) -> DataFrame:
         F.current_timestamp().alias("created_at"), F.unix_micros("datetime").alias("seq"))
 
 
+def result_part():
+    """Partition of a result row: one of 16 shares of the symbols, and the month."""
+    return F.concat_ws("-", F.pmod(F.xxhash64("symbol"), F.lit(16)), F.substring("trade_date", 1, 7))
+
+
 def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
                        console: bool = False, upsert_results: bool = True):
     """``foreachBatch`` handler (R3): compute stays in DataFrames; the
@@ -195,7 +200,7 @@ def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
                 from tickforge.sinks.upsert import last_per_key, upsert_table
                 keys = ["symbol", "trade_date"]
                 upsert_table(last_per_key(result_rows(bars), keys, "seq").drop("seq"), paths.results, keys,
-                             RESULT_UPDATE_COLS, version=batch_id)
+                             RESULT_UPDATE_COLS, version=batch_id, part=result_part())
             ready = bars.where("ready")
             if score_fn is not None:
                 wide = score_fn(ready).persist()

@@ -182,3 +182,26 @@ def test_rejected_messages_are_stored_once_with_a_reason(spark):
     got = sorted(r["reason"] for r in SJ.read_rejected(spark, paths).collect())
     assert got == ["no symbol", "no time", "not a bar", "not a bar", "not a bar"]
     assert spark.read.parquet(paths.capture).count() == bars.count()
+
+
+def test_graceful_stop_leaves_the_state_of_every_bar(spark):
+    """Bars that arrived before the stop are in the state; a restart goes on from it."""
+    from tickforge.schemas import RAW_BAR_CSV
+    from tickforge.operators import clean as C
+    from tickforge.sinks import messages as MSG
+    rows = [(f"2024-06-03 {9 + i // 4:02d}:{15 * (i % 4):02d}:00", s, 1.0, 2.0, 0.5, 10.0 * k + i * i, 1.0)
+            for k, s in enumerate(["IDX:000042", "IDX:000007"]) for i in range(12)]
+    bars = C.clean_bars(spark.createDataFrame(rows, RAW_BAR_CSV), unique=True)
+    want = with_ema(bars).toPandas()
+    root = SJ.new_scratch(spark, "test-stop")
+    for k, part in enumerate([F.col("datetime") < "2024-06-03 10:30:00", F.col("datetime") >= "2024-06-03 10:30:00"]):
+        MSG.write_messages(MSG.encode_bars(bars.where(part)), f"{root}/msgs/chunk={k:05d}")
+        others = {q.id for q in spark.streams.active}
+        SJ.run_replay(spark, f"{root}/msgs", f"{root}/out", trigger="1 second")
+        SJ.stop_gracefully([q for q in spark.streams.active if q.id not in others])
+        assert {q.id for q in spark.streams.active} <= others
+        got = SJ.read_bar_state(spark, f"{root}/out/_checkpoint").toPandas().set_index("symbol")
+        assert (got["seen"] == (6, 12)[k]).all() and len(got) == 2
+        for symbol, one in want.groupby("symbol"):
+            last = one.sort_values("datetime").iloc[(6, 12)[k] - 1]
+            assert got.loc[symbol, "EMA5"] == last["EMA5"] and got.loc[symbol, "datetime"] == last["datetime"]

@@ -662,6 +662,20 @@ def stream_ema5_q(spark, sf):
     return spark.read.parquet(paths.capture).select("symbol", "datetime", "close", "EMA5")
 
 
+@query("state_at_stop", f"""
+SELECT symbol, max_by(EMA5, datetime) AS EMA5, max(datetime) AS datetime, count(*) AS seen
+FROM ({Q.ema(Q.HOURLY)}) e GROUP BY symbol""")
+def state_at_stop_q(spark, sf):
+    """Long-running queries are stopped after the arrived bars went
+    through; the state they leave holds each symbol's last EMA, bar and count."""
+    root = SJ.new_scratch(spark, "state-at-stop")
+    SJ.replay_messages(I.hourly_bars(spark, sf), root + "/msgs", chunks=3)
+    others = {q.id for q in spark.streams.active}
+    SJ.run_replay(spark, root + "/msgs", root + "/out", max_files_per_trigger=8, trigger="1 second")
+    SJ.stop_gracefully([q for q in spark.streams.active if q.id not in others])
+    return SJ.read_bar_state(spark, root + "/out/_checkpoint")
+
+
 from tickforge.streaming import dedup as SD  # noqa: E402
 
 #: Deliveries of the dedup stream, and what each repeats: seconds before its

@@ -237,5 +237,27 @@ def run_replay(spark: SparkSession, source: str, out_root: str, scaler=None, see
     return paths
 
 
+def stop_gracefully(queries: list) -> None:
+    """Stop long-running queries after everything that has arrived went
+    through: each finishes its open batches and commits sinks and state."""
+    for q in queries:
+        q.processAllAvailable()
+    for q in queries:
+        q.stop()
+        q.awaitTermination()
+
+
+def read_bar_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """symbol, EMA5, datetime of the last bar and bars seen, from the keyed
+    state that a stopped forecasting stream committed last (or at a batch)."""
+    ensure_stream_state_store(spark)
+    state = spark.read.format("statestore").option("stateVarName", "bar")
+    if batch_id is not None:
+        state = state.option("batchId", int(batch_id))
+    kept = state.load(checkpoint)
+    return kept.select(F.col("key.symbol").alias("symbol"), F.col("value.ema").alias("EMA5"),
+                       F.timestamp_micros("value.last_ts").alias("datetime"), F.col("value.seen").alias("seen"))
+
+
 def new_scratch(spark: SparkSession, prefix: str) -> str:
     return scratch_path(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")

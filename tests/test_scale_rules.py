@@ -167,3 +167,57 @@ def test_upsert_writes_only_the_partitions_a_batch_touches(spark):
 def test_cleaning_needs_an_ingest_order(spark, six_bars):
     with pytest.raises(ValueError):
         C.clean_bars(six_bars)
+
+
+def _sse_tree(X, y, depth):
+    """Greedy tree with thresholds midway between neighbouring values, scored by error sums over slices."""
+    if depth == 0 or np.ptp(y) == 0:
+        return y.mean()
+    best = None
+    for f in range(X.shape[1]):
+        v = np.unique(X[:, f])
+        for a, b in zip(v, v[1:]):
+            left = X[:, f] <= a
+            drop = y.var() * len(y) - y[left].var() * left.sum() - y[~left].var() * (~left).sum()
+            if best is None or drop > best[0] * (1 + 1e-9):
+                best = (drop, f, a / 2 + b / 2)
+    if best is None:
+        return y.mean()
+    _, f, t = best
+    left = X[:, f] <= t
+    return f, t, _sse_tree(X[left], y[left], depth - 1), _sse_tree(X[~left], y[~left], depth - 1)
+
+
+def _walk(node, x):
+    while isinstance(node, tuple):
+        node = node[2] if x[node[0]] <= node[1] else node[3]
+    return node
+
+
+def test_tree_splits_distinct_values_like_brute_force_in_any_chunks(spark):
+    rng = np.random.default_rng(11)
+    X = rng.normal(size=(400, 3))
+    X[:150, 1] = 0.25  # a value that many rows share
+    y = np.sin(3 * X[:, 0]) + (X[:, 1] > 0.25) + rng.normal(scale=0.05, size=400)
+    new = rng.normal(size=(200, 3))
+    train = spark.createDataFrame([("s", X[i].tolist(), float(y[i])) for i in range(400)],
+                                  "symbol string, x array<double>, y double")
+    test = spark.createDataFrame([("s", i, new[i].tolist()) for i in range(200)],
+                                 "symbol string, i int, x array<double>")
+    root = _sse_tree(X, y, 3)
+    want = [_walk(root, x) for x in new]
+    for chunk_rows in (1 << 20, 40):
+        got = TR.predict(test, TR.fit(train, 3, max_depth=3, chunk_rows=chunk_rows), max_depth=3)
+        assert np.allclose(got.orderBy("i").toPandas()["pred_dt"], want, rtol=1e-9), chunk_rows
+
+
+def test_tree_with_nulls_constant_targets_and_no_rows(spark):
+    rows = [("s", [None, 1.0], 1.0), ("s", [None, 2.0], 1.0), ("s", [5.0, 3.0], 9.0),
+            ("s", [float("nan"), 3.0], 9.0), ("s", [5.0, 1.0], None), ("s", None, 4.0),
+            ("flat", [1.0, 2.0], 7.0), ("flat", [2.0, 2.0], 7.0)]
+    train = spark.createDataFrame(rows, "symbol string, x array<double>, y double")
+    model = TR.fit(train, 2, max_depth=2)
+    got = {(r["symbol"], str(r["x"])): r["pred_dt"] for r in TR.predict(train.where("x is not null"), model, 2).collect()}
+    assert got["s", "[None, 1.0]"] == 1.0 and got["s", "[5.0, 3.0]"] == 9.0 and got["s", "[nan, 3.0]"] == 9.0
+    assert got["flat", "[1.0, 2.0]"] == 7.0 and model.where("symbol = 'flat'").count() == 1
+    assert TR.fit(train.where("false"), 2, max_depth=2).count() == 0

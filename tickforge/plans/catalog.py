@@ -186,8 +186,8 @@ def _feat(spark, sf):
     return materialize(FT.with_positions(I.hourly_bars(spark, sf)))
 
 
-def _scaled(spark, sf, keep=("close",)):
-    feat = _feat(spark, sf)
+def _scaled(spark, sf, keep=("close",), bars=None):
+    feat = _feat(spark, sf) if bars is None else materialize(FT.with_positions(bars))
     return FT.apply_minmax(feat, materialize(FT.fit_minmax(feat)), keep_bounds=list(keep))
 
 
@@ -405,9 +405,9 @@ from tickforge.models import knn as KNN  # noqa: E402
 from tickforge.models import linear as LIN  # noqa: E402
 
 
-def _windows(spark, sf):
-    """Training/test windows of the hourly bars (symbol, widx, x, y, n, split)."""
-    w = FT.sliding_windows(_scaled(spark, sf), SCALED_COLS, SEQ)
+def _windows(spark, sf, bars=None):
+    """Training/test windows of ``bars`` or the hourly bars (symbol, widx, x, y, n, split)."""
+    w = FT.sliding_windows(_scaled(spark, sf, bars=bars), SCALED_COLS, SEQ)
     return w.withColumn("train", FT.window_split("widx", "n", SEQ))
 
 
@@ -605,15 +605,24 @@ from tickforge.models import tree as TREE  # noqa: E402
 from tickforge.plans import training as TRN  # noqa: E402
 
 
-@query("tree_predict")
+@query("tree_predict", Q.tree_sql(NX, 10))
 def tree_predict_q(spark, sf):
     """M2: per-symbol depth-10 regression tree fitted on the training
     windows, scored on the hold-out windows (scaled close)."""
-    w = _windows(spark, sf)
+    w = materialize(_windows(spark, sf))
     model = TREE.fit(w.where("train"), NX, max_depth=10)
     return TREE.predict(w.where(~F.col("train")), model).select("symbol", "datetime", "y", "pred_dt")
 
 
+@query("tree_depth2_brand", Q.tree_sql(NX, 2).replace(Q.HOURLY, Q.DAILY))
+def tree_depth2_brand_q(spark, sf):
+    """M2: a tree of depth two per part brand on the daily bars, its values
+    sorted in many chunks."""
+    w = materialize(_windows(spark, sf, I.daily_brand_bars(spark, sf)))
+    model = TREE.fit(w.where("train"), NX, max_depth=2, chunk_rows=512)
+    return TREE.predict(w.where(~F.col("train")), model, max_depth=2).select("symbol", "datetime", "y", "pred_dt")
+
+
 @query("recurrent_predict")
 def recurrent_predict_q(spark, sf):
     """M4/M5: per-symbol recurrent network (hidden 64, 50 epochs, batch 16, Adam 1e-4)

@@ -155,6 +155,56 @@ def sq_dist_sql(d: int, a: str = "te", b: str = "tr") -> str:
                                     for i in range(d)) + ")"
 
 
+def tree_sql(d: int, depth: int) -> str:
+    """Hold-out predictions of a regression tree of ``depth`` levels, one set
+    of named tables per level."""
+    cols = ", ".join(f"x_{i}" for i in range(d))
+    parts = [f"""
+w AS MATERIALIZED (SELECT *, {TRAIN_COND} AS train FROM ({WIN_H}) q),
+b AS MATERIALIZED (SELECT symbol, min(y) AS lo, max(y) - min(y) AS span FROM w WHERE train GROUP BY symbol),
+cells AS MATERIALIZED (
+  SELECT symbol, widx, train,
+         CASE WHEN span > 0 THEN CAST(floor((y - lo) / span * 1099511627776.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)
+              ELSE 0 END AS z,
+         unnest(range({d})) AS f, unnest([{cols}]) AS v
+  FROM w LEFT JOIN b USING (symbol)),
+at0 AS MATERIALIZED (SELECT symbol, widx, 1 AS node FROM w)"""]
+    for k in range(depth):
+        parts.append(f"""
+sums{k} AS MATERIALIZED (
+  SELECT symbol, node, f, v, count(*) AS c, sum(z) AS s FROM cells JOIN at{k} USING (symbol, widx)
+  WHERE train AND node >= {2 ** k} GROUP BY symbol, node, f, v),
+sides{k} AS (
+  SELECT symbol, node, f, v, lead(v) OVER o AS nxt, sum(c) OVER o AS cl, sum(s) OVER o AS sl,
+         sum(c) OVER a AS ct, sum(s) OVER a AS st
+  FROM sums{k} WINDOW o AS (PARTITION BY symbol, node, f ORDER BY v), a AS (PARTITION BY symbol, node, f)),
+means{k} AS (
+  SELECT *, CAST(cl AS DOUBLE) AS l, CAST(ct - cl AS DOUBLE) AS r, CAST(ct AS DOUBLE) AS t,
+         CAST(sl AS DOUBLE) / CAST(cl AS DOUBLE) AS ml, CAST(st - sl AS DOUBLE) / CAST(ct - cl AS DOUBLE) AS mr
+  FROM sides{k} WHERE ct > cl),
+best{k} AS MATERIALIZED (
+  SELECT symbol, node, f, CASE WHEN v / 2 + nxt / 2 >= v AND v / 2 + nxt / 2 < nxt THEN v / 2 + nxt / 2
+                               ELSE v END AS threshold
+  FROM (SELECT *, row_number() OVER (PARTITION BY symbol, node
+               ORDER BY l * r / t * abs(ml - mr) * abs(ml - mr) DESC, f, v) AS rn
+        FROM means{k} WHERE abs(ml - mr) > 1e-12::DOUBLE * greatest(abs(ml), abs(mr))) g WHERE rn = 1),
+at{k + 1} AS MATERIALIZED (
+  SELECT at{k}.symbol, at{k}.widx, CASE WHEN best{k}.node IS NULL THEN at{k}.node
+         ELSE 2 * at{k}.node + CASE WHEN cells.v > best{k}.threshold THEN 1 ELSE 0 END END AS node
+  FROM at{k} LEFT JOIN best{k} ON at{k}.symbol = best{k}.symbol AND at{k}.node = best{k}.node
+       LEFT JOIN cells ON cells.symbol = at{k}.symbol AND cells.widx = at{k}.widx AND cells.f = best{k}.f)""")
+    parts.append(f"""
+leaves AS (
+  SELECT symbol, node, lo + CAST(sum(z) AS DOUBLE) / CAST(count(*) AS DOUBLE) / 1099511627776.0::DOUBLE * span AS value
+  FROM cells JOIN at{depth} USING (symbol, widx) JOIN b USING (symbol) WHERE train AND f = 0
+  GROUP BY symbol, node, lo, span)""")
+    return f"""WITH {",".join(parts)}
+SELECT w.symbol, w.datetime, w.y, leaves.value AS pred_dt
+FROM w JOIN at{depth} USING (symbol, widx) LEFT JOIN leaves ON leaves.symbol = w.symbol
+     AND leaves.node = at{depth}.node
+WHERE NOT w.train"""
+
+
 def bar_json(src: str) -> str:
     return f"""
 SELECT symbol AS key,

@@ -21,6 +21,9 @@ class Value:
     def update(self, value):
         self.held = value
 
+    def clear(self):
+        self.held = None
+
 
 def run(proc, closes):
     proc.bar, proc.buf, proc.net = Value(), Value(), Value()

@@ -685,6 +685,38 @@ def state_at_stop_q(spark, sf):
     return SJ.read_bar_state(spark, root + "/out/_checkpoint")
 
 
+#: A symbol without bars for longer is closed; bars may come this much later than others.
+IDLE_SECONDS, IDLE_DELAY_SECONDS = 3600, 5400
+
+
+@query("stream_idle", f"""
+WITH RECURSIVE gaps AS (SELECT symbol, datetime, close, lag(datetime) OVER w AS before, lead(datetime) OVER w AS after,
+                     row_number() OVER w AS pos
+              FROM ({Q.HOURLY}) b WINDOW w AS (PARTITION BY symbol ORDER BY datetime)),
+marked AS (SELECT *, before IS NULL OR epoch_us(datetime) - epoch_us(before) > {IDLE_SECONDS * 1_000_000} AS fresh,
+                  after IS NULL OR epoch_us(after) - epoch_us(datetime) > {IDLE_SECONDS * 1_000_000} AS ends
+           FROM gaps),
+run AS (
+  SELECT symbol, pos, datetime, ends, after, close AS EMA5, CAST(1 AS BIGINT) AS seen FROM marked WHERE pos = 1
+  UNION ALL
+  SELECT m.symbol, m.pos, m.datetime, m.ends, m.after,
+         CASE WHEN m.fresh OR run.EMA5 = m.close THEN m.close
+              ELSE run.EMA5 * (1.0::DOUBLE - 1.0::DOUBLE / 3) + m.close * (1.0::DOUBLE / 3) END,
+         CASE WHEN m.fresh THEN 1 ELSE run.seen + 1 END
+  FROM run JOIN marked m ON m.symbol = run.symbol AND m.pos = run.pos + 1)
+SELECT symbol, datetime, EMA5, seen FROM run
+WHERE ends AND (after IS NOT NULL OR epoch_us(datetime) + {(IDLE_SECONDS + IDLE_DELAY_SECONDS) * 1_000_000} <
+                (SELECT max(epoch_us(datetime)) FROM gaps))""")
+def stream_idle_q(spark, sf):
+    """Symbols are closed by an event-time timer, or by a bar after a gap;
+    every closed stretch with its last EMA, bar and count."""
+    root = SJ.new_scratch(spark, "stream-idle")
+    SJ.replay_messages(I.hourly_bars(spark, sf), root + "/msgs", chunks=3, files_per_chunk=8)
+    paths = SJ.run_replay(spark, root + "/msgs", root + "/out", max_files_per_trigger=8,
+                          idle_seconds=IDLE_SECONDS, delay=f"{IDLE_DELAY_SECONDS} seconds")
+    return spark.read.parquet(paths.idle).select("symbol", "datetime", "EMA5", "seen")
+
+
 from tickforge.streaming import dedup as SD  # noqa: E402
 
 #: Deliveries of the dedup stream, and what each repeats: seconds before its

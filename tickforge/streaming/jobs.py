@@ -107,23 +107,27 @@ def seed_state(feat: DataFrame, scaler: DataFrame | None, net_state: DataFrame |
 def forecast_stream(bars: DataFrame, scaler: DataFrame | None = None,
                     seeds: DataFrame | None = None, seq_len: int = 3, hidden: int = 64,
                     lr: float = 1e-4, include_current: bool = False, online: bool = True,
-                    emit_state: bool = False, features: list[str] = FEATURES_G2) -> DataFrame:
+                    emit_state: bool = False, features: list[str] = FEATURES_G2,
+                    idle_seconds: int | None = None, delay: str = "1 hour") -> DataFrame:
     """Keyed stateful step (R4/R5/R6): ``groupBy(symbol)`` then the
-    per-symbol processor.  The scaler is a stream-static join."""
+    per-symbol processor.  The scaler is a stream-static join.  With
+    ``idle_seconds`` the state of a symbol without bars for longer is removed
+    (watermark ``delay``; bars older than the watermark are dropped)."""
     ensure_stream_state_store(bars.sparkSession)
-    rows = bars
+    rows = bars if idle_seconds is None else bars.withWatermark("datetime", delay)
     if scaler is not None:
         rows = rows.join(scaler_arrays(scaler, features), "symbol", "left")
     else:
         arr = "array<double>"
         rows = rows.withColumn("smin", F.lit(None).cast(arr)).withColumn("smax", F.lit(None).cast(arr))
     proc = BarForecaster(seq_len, len(features), hidden, lr, include_current, online,
-                         emit_state=emit_state, features=list(features))
+                         emit_state=emit_state, features=list(features), idle_seconds=idle_seconds)
     init = seeds.groupBy("symbol") if seeds is not None else None
     return (rows.select("symbol", "datetime", "open", "high", "low", "close", "volume",
                         "smin", "smax")
             .groupBy("symbol")
-            .transformWithStateInPandas(proc, OUTPUT, "append", "None", initialState=init))
+            .transformWithStateInPandas(proc, OUTPUT, "append", "None" if idle_seconds is None else "EventTime",
+                                        initialState=init))
 
 
 @dataclass
@@ -139,6 +143,7 @@ class SinkPaths:
     errors: str = field(init=False)
     rejected: str = field(init=False)
     predictions_long: str = field(init=False)
+    idle: str = field(init=False)
 
     def __post_init__(self):
         r = self.root.rstrip("/")
@@ -147,6 +152,7 @@ class SinkPaths:
         self.results = f"{r}/results"
         self.errors, self.rejected = f"{r}/errors", f"{r}/rejected"
         self.predictions_long = f"{r}/predictions_long"
+        self.idle = f"{r}/idle"
 
 
 # Columns of the keyed result table and the ones a conflict updates.
@@ -173,7 +179,7 @@ def result_part():
 
 
 def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
-                       console: bool = False, upsert_results: bool = True):
+                       console: bool = False, upsert_results: bool = True, keep_idle: bool = False):
     """``foreachBatch`` handler (R3): compute stays in DataFrames; the
     handler only writes.  Every write is keyed by ``batch_id`` so a replayed
     batch overwrites its own output (no side effects inside transforms)."""
@@ -191,6 +197,9 @@ def make_batch_handler(paths: SinkPaths, score_fn=None, write_csv: bool = False,
             errors = batch.where(F.col("kind") == "error")
             TB.append_capture(errors.select("symbol", "datetime", "open", "high", "low", "close",
                                             "volume"), paths.errors, batch_id)
+            if keep_idle:
+                idle = batch.where(F.col("kind") == "idle")
+                TB.append_capture(idle.select("symbol", "datetime", "EMA5", "seen"), paths.idle, batch_id)
             states = batch.where(F.col("kind") == "state")
             (states.select("symbol", "params", "adam_m", "adam_v", "step",
                            F.lit(int(batch_id)).alias("version"))
@@ -226,7 +235,8 @@ def run_replay(spark: SparkSession, source: str, out_root: str, scaler=None, see
     paths; the caller stops them)."""
     paths = SinkPaths(out_root)
     stream = forecast_stream(bar_stream(spark, source, max_files_per_trigger), scaler, seeds, **kw)
-    w = (stream.writeStream.foreachBatch(make_batch_handler(paths, score_fn, write_csv=write_csv))
+    w = (stream.writeStream.foreachBatch(make_batch_handler(
+        paths, score_fn, write_csv=write_csv, keep_idle=kw.get("idle_seconds") is not None))
          .option("checkpointLocation", checkpoint or f"{out_root.rstrip('/')}/_checkpoint"))
     w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
     q = w.start()

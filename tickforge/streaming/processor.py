@@ -4,7 +4,7 @@ State of a symbol, kept in the state store (checkpointed with the query):
 
 * ``bar``   — last EMA5, time of the last handled bar, bars seen;
 * ``buf``   — ring buffer of the last ``seq_len`` scaled feature rows;
-* ``net``   — recurrent network weights, Adam moments and step (online learning).
+* ``net``   — recurrent network weights, Adam moments (bytes of doubles) and step (online learning).
 
 For each micro-batch the rows of a symbol are sorted by bar time and folded
 in order: EMA5 is updated by one multiply-add (W2), the bar is scaled with
@@ -15,6 +15,13 @@ scaled bar enters the buffer.  A bar not newer than the last handled one is
 emitted with ``late = true`` and changes no state; a bar with a missing or
 non-finite price or volume is emitted with ``kind = "error"`` and changes no
 state either.
+
+With ``idle_seconds`` a symbol that has no bar for longer is closed: its last
+EMA, bar time and count are emitted with ``kind = "idle"`` (its network, if
+any, with ``kind = "state"``) and its state is removed.  An event-time timer
+does so once the watermark is past; a bar that comes after such a gap does so
+too, and then starts anew, so what is emitted does not depend on how the bars
+fall into batches.
 """
 
 from __future__ import annotations
@@ -32,9 +39,9 @@ BAR_STATE = T.StructType([T.StructField("ema", T.DoubleType()),
                           T.StructField("last_ts", T.LongType()),
                           T.StructField("seen", T.LongType())])
 BUF_STATE = T.StructType([T.StructField("rows", T.ArrayType(T.ArrayType(T.DoubleType())))])
-NET_STATE = T.StructType([T.StructField("params", T.ArrayType(T.DoubleType())),
-                          T.StructField("adam_m", T.ArrayType(T.DoubleType())),
-                          T.StructField("adam_v", T.ArrayType(T.DoubleType())),
+NET_STATE = T.StructType([T.StructField("params", T.BinaryType()),
+                          T.StructField("adam_m", T.BinaryType()),
+                          T.StructField("adam_v", T.BinaryType()),
                           T.StructField("step", T.LongType())])
 
 OUTPUT = T.StructType([
@@ -59,6 +66,7 @@ OUTPUT = T.StructType([
     T.StructField("adam_m", T.ArrayType(T.DoubleType())),
     T.StructField("adam_v", T.ArrayType(T.DoubleType())),
     T.StructField("step", T.LongType()),
+    T.StructField("seen", T.LongType()),
 ])
 
 SEED_SCHEMA = T.StructType([
@@ -86,12 +94,13 @@ class BarForecaster(StatefulProcessor):
     def __init__(self, seq_len: int = 3, n_features: int = 7, hidden: int = 64,
                  lr: float = 1e-4, include_current: bool = False, online: bool = True,
                  span: int = EMA_SPAN, emit_state: bool = False, target_idx: int = 3,
-                 features: list[str] | None = None):
+                 features: list[str] | None = None, idle_seconds: int | None = None):
         self.seq_len, self.n_features, self.hidden = seq_len, n_features, hidden
         self.lr, self.include_current, self.online = lr, include_current, online
         self.alpha = ema_alpha(span)
         self.emit_state = emit_state
         self.target_idx = target_idx
+        self.idle_us = None if idle_seconds is None else int(idle_seconds) * 1_000_000
         # inputs are taken by name, in the order the model was trained on
         self.features = list(features or {len(f): f for f in (FEATURES_G1, FEATURES_G2)}[n_features])
         unknown = [f for f in self.features if f not in FEATURES_G2]
@@ -100,6 +109,7 @@ class BarForecaster(StatefulProcessor):
         self.layout = N.Layout(n_features, hidden)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.bar = handle.getValueState("bar", BAR_STATE)
         self.buf = handle.getValueState("buf", BUF_STATE)
         self.net = handle.getValueState("net", NET_STATE)
@@ -108,11 +118,55 @@ class BarForecaster(StatefulProcessor):
         r = init.iloc[0]
         if pd.notna(r["ema"]):
             self.bar.update((float(r["ema"]), int(r["last_ts"]), int(r["seen"])))
+            self._set_timer(int(r["last_ts"]))
         if r["rows"] is not None:
             self.buf.update(([list(map(float, row)) for row in r["rows"]],))
         if r["params"] is not None:
-            self.net.update((list(r["params"]), list(r["adam_m"]), list(r["adam_v"]),
-                             int(r["step"])))
+            self._keep_net([np.asarray(r[c], float) for c in ("params", "adam_m", "adam_v")] + [int(r["step"])])
+
+    def _keep_net(self, net: list) -> None:
+        self.net.update((*(np.asarray(a, float).tobytes() for a in net[:3]), int(net[3])))
+
+    def _kept_net(self) -> list | None:
+        if not self.net.exists():
+            return None
+        *arrays, step = self.net.get()
+        return [np.frombuffer(bytes(a), float).copy() for a in arrays] + [int(step)]
+
+    def _set_timer(self, last_ts: int) -> None:
+        """One timer per symbol: a millisecond after it has been idle for long enough."""
+        if self.idle_us is None:
+            return
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+        self.handle.registerTimer((last_ts + self.idle_us) // 1000 + 1)
+
+    def _closed(self, key, ema, last_ts, seen, net) -> list[dict]:
+        """Rows emitted for a symbol whose state is removed."""
+        blank = {**dict.fromkeys(OUTPUT.fieldNames()), "symbol": key[0], "late": False, "ready": False}
+        out = [{**blank, "kind": "idle", "datetime": pd.Timestamp(last_ts * 1000), "EMA5": ema, "seen": seen}]
+        if net is not None:
+            out.append(self._net_row(key, net))
+        return out
+
+    @staticmethod
+    def _net_row(key, net) -> dict:
+        return {**dict.fromkeys(OUTPUT.fieldNames()), "kind": "state", "symbol": key[0], "params": net[0].tolist(),
+                "adam_m": net[1].tolist(), "adam_v": net[2].tolist(), "step": int(net[3])}
+
+    @staticmethod
+    def _frame(out: list[dict]) -> pd.DataFrame:
+        res = pd.DataFrame(out, columns=OUTPUT.fieldNames()).astype(object)
+        return res.where(pd.notna(res), None) if len(res) else res
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        ema, last_ts, seen = self.bar.get() if self.bar.exists() else (None, None, 0)
+        if last_ts is None or (last_ts + self.idle_us) // 1000 + 1 > expiredTimerInfo.getExpiryTimeInMs():
+            return
+        out = self._closed(key, ema, last_ts, seen, self._kept_net())
+        for kept in (self.bar, self.buf, self.net):
+            kept.clear()
+        yield self._frame(out)
 
     def _step_ema(self, ema, close):
         if ema is None:
@@ -126,10 +180,7 @@ class BarForecaster(StatefulProcessor):
         pdf = pdf.sort_values("datetime", kind="stable")
         ema, last_ts, seen = self.bar.get() if self.bar.exists() else (None, None, 0)
         buf = [np.asarray(r, float) for r in self.buf.get()[0]] if self.buf.exists() else []
-        net = None
-        if self.net.exists():
-            p, m, v, step = self.net.get()
-            net = [np.asarray(p, float), np.asarray(m, float), np.asarray(v, float), int(step)]
+        net = self._kept_net()
         out = []
         blank = dict.fromkeys(OUTPUT.fieldNames())
         L = self.seq_len
@@ -146,6 +197,10 @@ class BarForecaster(StatefulProcessor):
             if last_ts is not None and ts_us <= last_ts:
                 out.append({**base, "late": True, "ready": False})
                 continue
+            if last_ts is not None and self.idle_us is not None and ts_us - last_ts > self.idle_us:
+                out += self._closed(key, ema, last_ts, seen, net)
+                ema, seen, buf, net = None, 0, [], None
+                self.net.clear()
             ema = self._step_ema(ema, float(r.close))
             last_ts, seen = ts_us, seen + 1
             row = {**base, "EMA5": ema, "late": False, "ready": False}
@@ -185,14 +240,13 @@ class BarForecaster(StatefulProcessor):
             out.append(row)
         self.bar.update((ema, last_ts, seen))
         self.buf.update(([b.tolist() for b in buf],))
+        if last_ts is not None:
+            self._set_timer(last_ts)
         if net is not None:
-            self.net.update((net[0].tolist(), net[1].tolist(), net[2].tolist(), int(net[3])))
+            self._keep_net(net)
             if self.emit_state and self.online:
-                out.append({**blank, "kind": "state", "symbol": key[0], "params": net[0].tolist(),
-                            "adam_m": net[1].tolist(), "adam_v": net[2].tolist(),
-                            "step": int(net[3])})
-        res = pd.DataFrame(out, columns=OUTPUT.fieldNames()).astype(object)
-        yield res.where(pd.notna(res), None) if len(res) else res
+                out.append(self._net_row(key, net))
+        yield self._frame(out)
 
     def close(self) -> None:
         pass

@@ -28,7 +28,7 @@ def _run(spark, bars, chunks, per_batch):
 
 
 def _idle(spark, paths):
-    rows = spark.read.parquet(paths.idle).collect()
+    rows = SJ.read_idle(spark, paths).collect()
     return sorted((r["symbol"], str(r["datetime"]), r["EMA5"], r["seen"]) for r in rows)
 
 
@@ -58,6 +58,11 @@ def test_timer_removes_the_state_across_a_restart(spark):
     assert kept == {"a": 1, "b": 48} and len(_idle(spark, paths)) == 1
 
 
+def test_no_symbol_is_idle(spark):
+    _, paths = _run(spark, _bars(spark).where("symbol = 'b'"), 1, 100)
+    assert _idle(spark, paths) == []
+
+
 class Timers:
     def __init__(self):
         self.at = []

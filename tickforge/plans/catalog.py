@@ -714,7 +714,7 @@ def stream_idle_q(spark, sf):
     SJ.replay_messages(I.hourly_bars(spark, sf), root + "/msgs", chunks=3, files_per_chunk=8)
     paths = SJ.run_replay(spark, root + "/msgs", root + "/out", max_files_per_trigger=8,
                           idle_seconds=IDLE_SECONDS, delay=f"{IDLE_DELAY_SECONDS} seconds")
-    return spark.read.parquet(paths.idle).select("symbol", "datetime", "EMA5", "seen")
+    return SJ.read_idle(spark, paths)
 
 
 from tickforge.streaming import dedup as SD  # noqa: E402

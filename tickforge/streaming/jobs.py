@@ -269,5 +269,11 @@ def read_bar_state(spark: SparkSession, checkpoint: str, batch_id: int | None =
                        F.timestamp_micros("value.last_ts").alias("datetime"), F.col("value.seen").alias("seen"))
 
 
+def read_idle(spark: SparkSession, paths: SinkPaths) -> DataFrame:
+    """Closed stretches written so far: symbol, last bar, EMA5 and bars; no rows if none was closed."""
+    return (spark.read.schema("symbol string, datetime timestamp, EMA5 double, seen long").parquet(paths.idle)
+            .select("symbol", "datetime", "EMA5", "seen"))
+
+
 def new_scratch(spark: SparkSession, prefix: str) -> str:
     return scratch_path(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")

@@ -224,3 +224,29 @@ def test_long_words_are_contracted_as_the_library_does():
                 assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode_ordinary(text)
     finally:
         bpe.STEP_ROWS = keep
+
+
+def test_words_that_come_again_are_encoded_once_though_the_cache_is_full(monkeypatch):
+    own = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    library, asked, encode_words = encoding(), [], own.encode_words
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 40)
+    monkeypatch.setattr(own, "encode_words", lambda words: asked.extend(words) or encode_words(words))
+    for k in range(6):
+        once = ["once" + chr(97 + k) + chr(97 + i % 26) * (i // 26 + 1) for i in range(10 if k == 1 else 35)]
+        text = " ".join([f"often{chr(97 + i)}" for i in range(20 * (k > 0))] + once)
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode_ordinary(text)
+        assert len(own.cache) <= 40
+    often = [w for w in asked if "often" in w]
+    assert len(asked) > 100 and len(often) == len(set(often))
+
+
+def test_a_chunk_of_many_fairly_long_words_fits_the_memory_limit():
+    import random
+    r = random.Random(1)
+    text = " ".join("".join(r.choice("etaoinshrdlu") for _ in range(250)) for _ in range(1100))
+    own = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = np.frombuffer(own.encode([text])[0], "<u4")
+    assert ids.tolist() == encoding().encode_ordinary(text)
+    # slices that end within the text, ids of no text, an id outside the vocabulary
+    assert own.decode([ids[:0], ids, ids[:3], np.array([1 << 31], "<u4")], at_once=1000) == [
+        b"", text.encode(), encoding().decode_bytes(ids[:3].tolist()), b""]

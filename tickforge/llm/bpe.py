@@ -1,14 +1,16 @@
 """Byte-level BPE encoding and decoding with DuckDB queries per partition.
 
-A chunk's distinct pre-tokens become (word, position, token) rows.  A
-recursive query joins neighbouring rows with the merge table and contracts
-each word's leftmost pair of minimum rank until no pair is left; decoding
-joins ids with the vocabulary and concatenates in order of position.
+A chunk's distinct pre-tokens become (word, position, pair) rows, a pair being
+a token and its right neighbour.  A recursive query joins them with the merge
+table and contracts each word's leftmost pair of minimum rank until no pair is
+left; decoding joins ids with the vocabulary and concatenates in order of
+position.
 """
 
 from __future__ import annotations
 
 import base64
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -23,27 +25,31 @@ CACHE_ENTRIES = 100_000
 #: Bytes of words in one query.
 SLICE_BYTES = 250_000
 
+#: Right neighbour of a word's last token.
+NO_TOKEN = 0xFFFFFFFF
+
 #: One step: ``best`` has each word's lowest rank and, within it, the leftmost
-#: position; the pair there becomes one row and later positions move up.
-#: Words without a mergeable pair drop out, their rows of the last step stay.
+#: position ``at``.  That row goes; the next one, whose right neighbour stays,
+#: takes its place with the merged token, which the row before gets as its
+#: neighbour; later positions move up.  A word without a mergeable pair is
+#: given out as no longer live and takes no further step.
 CONTRACT = """
-WITH RECURSIVE step(depth, word, pos, token) AS (
-    SELECT 0, word, pos, token FROM words
+WITH RECURSIVE step(live, word, pos, pair) AS (
+    SELECT true, word, pos, pair FROM words
   UNION ALL
-    SELECT s.depth + 1, s.word,
+    SELECT best.at IS NOT NULL, s.word,
            CASE WHEN s.pos > best.at THEN s.pos - 1 ELSE s.pos END,
-           CASE WHEN s.pos = best.at THEN best.merged ELSE s.token END
-    FROM step s JOIN (
-        SELECT word, (min(choice) & 4294967295)::INT AS at, (min(choice) >> 32)::INT AS merged
+           CASE WHEN s.pos = best.at + 1 THEN (best.merged << 32) | (s.pair & 4294967295)
+                WHEN s.pos = best.at - 1 THEN ((s.pair >> 32) << 32) | best.merged
+                ELSE s.pair END
+    FROM step s LEFT JOIN (
+        SELECT word, (min(choice) & 4294967295)::INT AS at, min(choice) >> 32 AS merged
         FROM (SELECT l.word, (m.rank << 32) | l.pos AS choice
-              FROM step l JOIN step r ON r.word = l.word AND r.pos = l.pos + 1
-              JOIN merges m ON m.pair = ((l.token::BIGINT << 32) | r.token))
+              FROM step l JOIN merges m ON m.pair = l.pair)
         GROUP BY word) best ON best.word = s.word
-    WHERE s.pos <> best.at + 1
+    WHERE s.live AND (best.at IS NULL OR s.pos <> best.at)
 )
-SELECT s.word, s.pos, s.token
-FROM step s JOIN (SELECT word, max(depth) AS depth FROM step GROUP BY word) l USING (word, depth)
-ORDER BY s.word, s.pos
+SELECT word, pos, (pair >> 32)::INT AS token FROM step WHERE NOT live ORDER BY word, pos
 """
 
 #: Words of more bytes are contracted by CONTRACT_EQUAL.
@@ -94,8 +100,7 @@ ORDER BY s.word, s.pos
 """
 
 DECODE = """
-SELECT piece, array_to_string(list(symbols ORDER BY pos), '') AS text
-FROM ids JOIN vocabulary USING (id) GROUP BY piece ORDER BY piece
+SELECT pos, token FROM ids JOIN vocabulary USING (id) ORDER BY pos
 """
 
 
@@ -121,13 +126,13 @@ class Codec:
         self.db.execute("SET memory_limit = '250MB'")
         self.db.execute("SET temp_directory = ''")  # nothing is spilled; SLICE_BYTES bounds a query
         self.load("merges", {"pair": pa.array(pairs, pa.int64()), "rank": pa.array(merged, pa.int64())})
-        # bytes as characters U+0100 to U+01FF, so that any byte is text
-        self.load("vocabulary", {
-            "id": pa.array(ranks.values(), pa.int32()),
-            "symbols": pa.array(["".join(chr(0x100 + b) for b in t) for t in ranks])})
+        self.load("vocabulary", {"id": pa.array(ranks.values(), pa.int32()),
+                                 "token": pa.array(ranks, pa.binary())})
         self.first = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.splitter = Splitter(pattern, classify_by_tiktoken(pattern))
         self.cache: dict[str, bytes] = {}
+        #: Cached words that were asked for again after they were encoded.
+        self.again: set[str] = set()
 
     def load(self, name: str, columns: dict) -> None:
         import pyarrow as pa
@@ -155,8 +160,10 @@ class Codec:
                     for x in self.encode_words(words[part[0]:part[-1] + 1])]
         word = np.repeat(np.arange(len(raw), dtype=np.int32), sizes)
         pos = (np.arange(len(word)) - np.repeat(ends - sizes, sizes)).astype(np.int32)
-        self.load("words", {"word": pa.array(word), "pos": pa.array(pos),
-                            "token": pa.array(self.first[np.frombuffer(b"".join(raw), np.uint8)])})
+        token = self.first[np.frombuffer(b"".join(raw), np.uint8)].astype(np.int64)
+        after = np.roll(token, -1)
+        after[ends - 1] = NO_TOKEN
+        self.load("words", {"word": pa.array(word), "pos": pa.array(pos), "pair": pa.array(token << 32 | after)})
         out = self.db.sql(CONTRACT).to_arrow_table()
         ids = out.column("token").to_numpy().astype("<u4").tobytes()
         cut = np.searchsorted(out.column("word").to_numpy(), np.arange(len(raw) + 1)) * 4
@@ -178,6 +185,14 @@ class Codec:
         self.db.execute("SET memory_limit = '250MB'")
         return token.astype("<u4").tobytes()
 
+    def shrink(self, words: set[str]) -> None:
+        """Cut the cache to CACHE_ENTRIES: words that came again stay before
+        others, of which those of ``words``, the last ones met, fill the rest."""
+        if len(self.again) > CACHE_ENTRIES:
+            self.again = set(islice(self.again & words, CACHE_ENTRIES))
+        rest = islice(words.difference(self.again), CACHE_ENTRIES - len(self.again))
+        self.cache = {w: self.cache[w] for part in (self.again, rest) for w in part}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
         out: list[list[bytes]] = [[] for _ in texts]
@@ -185,16 +200,17 @@ class Codec:
 
         def settle():
             nonlocal pending
-            new = list(set().union(*(p for _, p in pending)).difference(self.cache))
-            fresh = dict(zip(new, self.encode_words(new))) if new else {}
-            if fresh and len(self.cache) + len(fresh) <= CACHE_ENTRIES:
-                self.cache.update(fresh)
-                fresh = {}
-            known = self.cache
-            find = known.__getitem__ if not fresh else (lambda w: known[w] if w in known else fresh[w])
+            words = set().union(*(p for _, p in pending))
+            new = list(words.difference(self.cache))
+            self.again.update(words.difference(new))
+            if new:
+                self.cache.update(zip(new, self.encode_words(new)))
+            find = self.cache.__getitem__
             for i, piece in pending:
                 out[i].append(b"".join(map(find, piece)))
             pending = []
+            if len(self.cache) > CACHE_ENTRIES:
+                self.shrink(words)
 
         for i, text in enumerate(texts):
             for piece in self.splitter.split(text) if text else ():
@@ -207,6 +223,7 @@ class Codec:
     def decode(self, ids: list[np.ndarray], at_once: int = 250_000) -> list[bytes]:
         """Bytes of each id sequence; long ones go through in slices."""
         import pyarrow as pa
+        import pyarrow.compute as pc
         out = [b""] * len(ids)
         slices, held = [], 0
 
@@ -214,12 +231,14 @@ class Codec:
             nonlocal slices, held
             if not held:
                 return
-            sizes = np.array([len(part) for _, part in slices])
-            piece = np.repeat(np.arange(len(slices), dtype=np.int32), sizes)
-            self.load("ids", {"piece": pa.array(piece), "pos": pa.array(np.arange(len(piece), dtype=np.int32)),
-                              "id": pa.array(np.concatenate([part for _, part in slices]).astype(np.int32))})
-            for piece, text in self.db.sql(DECODE).fetchall():
-                out[slices[piece][0]] += text.encode("utf-16-le")[::2]
+            line = np.concatenate([part for _, part in slices]).astype(np.int32)
+            self.load("ids", {"pos": pa.array(np.arange(len(line), dtype=np.int32)), "id": pa.array(line)})
+            found = self.db.sql(DECODE).to_arrow_table()
+            cuts = np.searchsorted(found.column("pos").to_numpy(),
+                                   np.cumsum([0] + [len(part) for _, part in slices]))
+            pieces = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), found.column("token").combine_chunks())
+            for (i, _), text in zip(slices, pc.binary_join(pieces, b"").to_pylist()):
+                out[i] += text
             slices, held = [], 0
 
         for i, seq in enumerate(ids):
